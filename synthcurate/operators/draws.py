@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from synthcurate.functions.hashing import HASH_BITS, hash60
 from synthcurate.functions.text import first_ticker
 from synthcurate.operators.ordinals import seeded_ordinals
+from synthcurate.session import materialize
 
 # Copies of a small group are joined under this many distinct keys.
 SPREAD = 1024
@@ -66,8 +67,10 @@ def draw_fewshot(
     draws = raced.select("prompt_id", F.posexplode(picks).alias("pos", "d")).select(
         "prompt_id", "pos", "d.label", "d.ord", "d._total"
     )
-    rows = seeded_ordinals(pool.select("label", "text", *(key or ["row_id"])), ["label"], key or ["row_id"],
-                           seed, total="_total").select("label", "ord", "text", "_total")
+    keys = key or ["row_id"]
+    rows = seeded_ordinals(pool.select("label", "text", *keys), ["label"], keys, seed, total="_total").select(
+        "label", "ord", "text", "_total"
+    )
     return (
         _join_drawn(draws, rows, "label")
         .groupBy("prompt_id")
@@ -118,7 +121,13 @@ def draw_tickers(
     key: list[str] | None = None,
 ) -> DataFrame:
     """``(prompt_id, tickers)`` for requests with a ``pool``; a request whose
-    pool has no ticker gets none."""
+    pool has no ticker gets none.
+
+    The pool is read three times below and usually comes out of whole texts,
+    so its few narrow columns are materialised first.
+    """
+    keys = key or ["row_id"]
+    pool = materialize(pool.select("pool", "ticker", *keys))
     sizes = pool.groupBy("pool").agg(F.count("*").alias("n"))
     stats = sizes.agg(F.map_from_entries(F.collect_list(F.struct("pool", "n"))))
     sized = (
@@ -129,8 +138,7 @@ def draw_tickers(
     positions = positions_with_replacement if replace else positions_without_replacement
     picks = positions(F.col("_total"), num_tickers, seed, F.col("prompt_id"))
     draws = sized.select("prompt_id", "pool", "_total", F.posexplode(picks).alias("pos", "ord"))
-    rows = seeded_ordinals(pool.select("pool", "ticker", *(key or ["row_id"])), ["pool"], key or ["row_id"],
-                           seed, total="_total").select("pool", "ord", "ticker", "_total")
+    rows = seeded_ordinals(pool, ["pool"], keys, seed, total="_total").select("pool", "ord", "ticker", "_total")
     drawn = _join_drawn(draws, rows, "pool").groupBy("prompt_id").agg(
         F.array_sort(F.collect_list(F.struct("pos", "ticker"))).alias("picks")
     )

@@ -8,8 +8,12 @@ of all rows is spread like any other.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from synthcurate.functions.hashing import bucket_of, hash60
 from synthcurate.session import broadcast_if_small, materialize
@@ -90,27 +94,51 @@ def running_totals(
     """Sum of ``value`` over the earlier rows of the group (their number if
     ``value`` is None), in ``order``, which must be unique within a group.
 
-    Two passes over range partitions. The partitions are checkpointed between
-    them, since a range shuffle run twice may cut at different bounds.
+    One distributed sort gives each row its total within its sort partition.
+    That is checkpointed, because a range shuffle run twice may cut elsewhere;
+    the totals of whole partitions then shift each row. Nothing is shuffled a
+    second time, and a group of any size is spread over many partitions.
     """
-    keys = [*group, *order]
-    parts = materialize(df.repartitionByRange(*keys)).withColumn("_part", F.spark_partition_id())
-    amount = F.col(value).cast("bigint") if value else F.lit(1).cast("bigint")
-    sums = parts.groupBy(*group, "_part").agg(F.sum(amount).alias("_sum"))
-    # One row per partition and group, so the window stays small.
+    rows = df.sort(*group, *order)
+    if value is None:
+        # Partition number and row number within it, in the upper and lower bits.
+        place = F.monotonically_increasing_id()
+        rows = rows.withColumn("_place", place).select(
+            *df.columns,
+            F.shiftright("_place", 33).alias("_part"),
+            F.col("_place").bitwiseAND((1 << 33) - 1).alias("_inside"),
+        )
+        amount = F.lit(1).cast("bigint")
+    else:
+        schema = T.StructType([*df.schema.fields, T.StructField("_inside", T.LongType())])
+        rows = rows.mapInPandas(_cumulate(value), schema).withColumn("_part", F.spark_partition_id())
+        amount = F.col(value).cast("bigint")
+    rows = materialize(rows)
+    # One row per partition and group that share rows: partitions + groups.
+    parts = rows.groupBy(*group, "_part").agg(F.sum(amount).alias("_sum"), F.min("_inside").alias("_first"))
     whole = Window.partitionBy(*group)
     earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
+    shift = parts.select(
         *group, "_part",
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"),
+        (F.coalesce(F.sum("_sum").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
         F.sum("_sum").over(whole).alias("_total"),
     )
-    inside = Window.partitionBy(*group, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = (
-        parts.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
-        .join(offsets, [*group, "_part"])
-        .withColumn(before, F.col("_offset") + F.col("_inside"))
-    )
-    if total:
-        out = out.withColumn(total, F.col("_total"))
-    return out.drop("_part", "_inside", "_offset", "_total")
+    placed = rows.join(broadcast_if_small(shift), [*group, "_part"])
+    extra = [F.col("_total").alias(total)] if total else []
+    return placed.select(*df.columns, (F.col("_inside") + F.col("_shift")).alias(before), *extra)
+
+
+def _cumulate(value: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Running total of ``value`` before each row of a sorted partition."""
+
+    def cumulate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        so_far = 0
+        for frame in frames:
+            amounts = frame[value].fillna(0).astype("int64")
+            upto = amounts.cumsum() + so_far
+            frame["_inside"] = upto - amounts
+            if len(frame):
+                so_far = int(upto.iloc[-1])
+            yield frame
+
+    return cumulate

@@ -23,6 +23,15 @@ MODELS = (
 )
 
 
+# Columns of the tables used, so that opening one does not read a footer.
+TABLES = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def _pick(names: tuple[str, ...], key: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, names)), (F.pmod(key, F.lit(len(names))) + 1).cast("int"))
 
@@ -38,7 +47,7 @@ class Inputs:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def headlines(self) -> DataFrame:
         """row_id, split, label, text"""

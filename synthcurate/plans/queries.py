@@ -419,7 +419,7 @@ def benchmark_union(i: Inputs) -> DataFrame:
 @query
 def runs_ordered(i: Inputs) -> DataFrame:
     ordered = metrics.runs_in_order(i.runs().select("run_id", "gpu_config", "finished_at", "total_time"))
-    return ordered.select("gpu_config", "run_no", "run_id", "total_time").orderBy("gpu_config", "run_no")
+    return ordered.select("gpu_config", "run_no", "run_id", "total_time")
 
 
 @query
