@@ -1,0 +1,105 @@
+import pytest
+from pyspark.sql import functions as F
+
+from synthcurate.operators import gate as g
+from synthcurate.operators import rounds as r
+
+GOOD = '[{"headline": "Up", "sentiment": "1"}]'
+
+
+@pytest.fixture
+def asked(rows):
+    return rows([(i, f"prompt {i}") for i in range(10)], "prompt_id long, prompt string")
+
+
+def completions(rows):
+    data = [(1, 1, "bad"), (1, 2, GOOD), (1, 3, "[]"), (2, 1, "[]"), (2, 2, GOOD), (3, 1, "bad")]
+    return rows(data, "prompt_id long, attempt long, raw string")
+
+
+def test_first_valid_and_pending(rows, asked):
+    best = r.first_valid(completions(rows))
+    assert sorted((x.prompt_id, x.attempt, x.n_items) for x in best.collect()) == [(1, 2, 1), (2, 1, 0)]
+    waiting = {x.prompt_id for x in r.pending(asked, best).collect()}
+    assert waiting == set(range(10)) - {1, 2}
+    assert [x.prompt_id for x in r.next_batch(asked, best, 3).collect()] == [0, 3, 4]
+
+
+def test_align_aux(rows, asked):
+    aux = rows([(i, f"x{i}") for i in range(10)], "prompt_id long, extra string")
+    assert {(x.prompt_id, x.extra) for x in r.align_aux(asked, aux).collect()} == {(i, f"x{i}") for i in range(10)}
+    assert r.align_aux(asked, aux).select("prompt").count() == 10
+    for bad in (aux.filter("prompt_id < 9"), aux.union(rows([(77, "y")], "prompt_id long, extra string"))):
+        with pytest.raises(Exception, match="prompts and auxiliary rows differ"):
+            r.align_aux(asked, bad).collect()
+        with pytest.raises(Exception, match="prompts and auxiliary rows differ"):
+            r.align_aux(asked, bad).select("prompt_id").collect()
+
+
+def test_provider_batches_and_errors(asked, tmp_path):
+    def provider(batch):
+        if len(batch) > 3:
+            raise AssertionError("batch too large")
+        if any(p.endswith(" 4") for p in batch):
+            raise RuntimeError("limit per minute exceeded")
+        return [p.upper() for p in batch]
+
+    out = r.apply_provider(asked.repartition(1).sortWithinPartitions("prompt_id"), provider, str(tmp_path / "a"), batch_size=3)
+    got = {x.prompt_id: x for x in r.classified(out).collect()}
+    assert len(got) == 10
+    assert [i for i in range(10) if got[i].raw is None] == [3, 4, 5]
+    assert got[4].action == "retry_after" and "limit per minute" in got[4].error
+    assert got[0].raw == "PROMPT 0" and got[0].action is None
+
+
+def test_provider_must_answer_every_prompt(asked, tmp_path):
+    out = r.apply_provider(asked, lambda batch: batch[:-1], str(tmp_path / "a"), parallel=2)
+    assert out.filter("raw is null and error like '%completions%'").count() == 10
+
+
+def test_rounds_retry_until_filled(asked, tmp_path):
+    def provider(batch):
+        return [GOOD if int(p.split()[-1]) % 2 else "no" for p in batch]
+
+    done, left = r.run_rounds(asked, r.provider_completer(provider), 3, str(tmp_path / "r"))
+    assert {(x.prompt_id, x.attempt) for x in done.collect()} == {(i, 1) for i in (1, 3, 5, 7, 9)}
+    assert {x.prompt_id for x in left.collect()} == {0, 2, 4, 6, 8}
+    assert len(list((tmp_path / "r" / "raw").iterdir())) == 3
+
+
+def test_rounds_stop_at_an_exhausted_limit(asked, tmp_path):
+    def provider(batch):
+        raise RuntimeError("daily limit exceeded")
+
+    done, left = r.run_rounds(asked, r.provider_completer(provider), 5, str(tmp_path / "r"))
+    assert done.count() == 0 and left.count() == 10
+    assert len(list((tmp_path / "r" / "raw").iterdir())) == 1
+
+
+def test_replayed_rounds_equal_first_valid(rows, asked):
+    table = completions(rows)
+    done, left = r.run_rounds(asked.filter("prompt_id between 1 and 3"), r.replay_completer(table), 4)
+    expected = r.first_valid(table).select("prompt_id", "attempt", "n_items").collect()
+    assert sorted(map(tuple, done.select("prompt_id", "attempt", "n_items").collect())) == sorted(map(tuple, expected))
+    assert [x.prompt_id for x in left.collect()] == [3]
+
+
+def test_quota_overshoots_by_one_completion(rows):
+    counts = rows([("a", i, 3) for i in range(6)] + [("b", i, i % 2) for i in range(6)], "by string, i long, n_items long")
+    kept = r.take_quota(counts, 7, ["i"], ["by"]).collect()
+    assert sorted(x.i for x in kept if x.by == "a") == [0, 1, 2]
+    assert sorted(x.i for x in kept if x.by == "b") == list(range(6))
+    assert all(x.before < 7 for x in kept)
+
+
+def test_resume_counts_earlier_examples(rows):
+    two = '[{"headline": "a", "sentiment": "1"}, {"headline": "b", "sentiment": "0"}]'
+    gated = g.gate(rows([("d", i, two) for i in range(5)] + [("e", 9, two)], "ds string, prompt_id long, raw string"))
+    earlier = rows([("d", -1, p, f"old{p}", "2") for p in range(3)],
+                   "ds string, prompt_id long, pos long, headline string, sentiment string")
+    out = r.resume_with(earlier, gated, 4, ["ds"], ["prompt_id"]).collect()
+    fresh = sorted((x.ds, x.prompt_id, x.pos) for x in out if x.phase == 1)
+    assert fresh == [("d", 0, 0), ("d", 0, 1), ("e", 9, 0), ("e", 9, 1)]
+    assert sum(x.phase == 0 for x in out) == 3
+    full = r.resume_with(earlier, gated, 2, ["ds"], ["prompt_id"]).collect()
+    assert sum(x.phase == 0 for x in full) == 3 and all(x.ds == "e" for x in full if x.phase == 1)
