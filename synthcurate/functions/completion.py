@@ -1,110 +1,69 @@
 """Parsing and gating of cleaned completions with the Variant type.
 
-A completion is parsed once. Its items keep every key and every value type
-until the gate has looked at them, which a ``from_json`` into a struct would
-not allow: that drops extra keys and turns ``1.0`` or ``true`` into text.
+The steps are SQL expressions over the columns ``text``, ``pair``, ``value``
+and ``candidates``, which ``operators/gate.py`` adds one after the other. A
+completion is parsed once, and its items keep every key and every value type
+until the gate has looked at them. ``from_json`` into a struct would not do:
+it drops extra keys and turns ``1.0`` or ``true`` into text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+# [text, marker] as one JSON array. ``try_parse_json`` stops after the first
+# complete value, so alone it accepts text with something behind the JSON. The
+# marker is made from the text itself: whatever follows the value, or closes
+# the array early, hides or moves it.
+PAIR = """try_variant_get(try_parse_json(concat('[', text, ',"', md5(text), '"]')), '$', 'array<variant>')"""
 
-from synthcurate.functions.text import has_letter
+# The JSON value of ``text``, NULL unless it is one complete value.
+VALUE = """CASE WHEN size(pair) = 2 AND try_variant_get(get(pair, 1), '$', 'string') = md5(text) THEN get(pair, 0) END"""
 
-ITEM_MAP = "map<string,variant>"
-SENTIMENTS = ("0", "1", "2")
+# The items of a JSON list; an item that is no object is NULL, and the whole
+# is NULL for anything but a list.
+LISTED = "try_variant_get(value, '$', 'array<map<string,variant>>')"
 
+# The same, with a single object taken as a list of one.
+_SINGLE = "try_variant_get(value, '$', 'map<string,variant>')"
+LISTED_OR_SINGLE = f"coalesce({LISTED}, CASE WHEN {_SINGLE} IS NOT NULL THEN array({_SINGLE}) END)"
 
-def marked_pair(text: Column) -> Column:
-    """``[text, marker]`` parsed as one JSON array.
+# Tests of one item ``x``.
+IS_OBJECT = "x IS NOT NULL"
+KEYS_OK = "size(x) = 2 AND map_contains_key(x, 'headline') AND map_contains_key(x, 'sentiment')"
+HEADLINE_OK = (
+    "schema_of_variant(x['headline']) = 'STRING'"
+    " AND try_variant_get(x['headline'], '$', 'string') RLIKE '[a-zA-Z]'"
+)
+SENTIMENT_OK = (
+    "schema_of_variant(x['sentiment']) IN ('STRING', 'BIGINT')"
+    " AND try_variant_get(x['sentiment'], '$', 'string') IN ('0', '1', '2')"
+)
 
-    ``try_parse_json`` stops after the first complete value, so it alone would
-    accept text with something behind the JSON. The marker is made from the
-    text itself: whatever follows the value, or closes the array early, hides
-    or moves it.
-    """
-    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.md5(text), F.lit('"]')))
-    return F.try_variant_get(pair, "$", "array<variant>")
+# array<struct<headline,sentiment>> of items that passed a gate.
+EXAMPLES = """transform(candidates, x -> named_struct(
+  'headline', try_variant_get(x['headline'], '$', 'string'),
+  'sentiment', try_variant_get(x['sentiment'], '$', 'string')))"""
 
 
-def intact_value(pair: Column, text: Column) -> Column:
-    """The JSON value of ``text``, NULL unless it is one complete value."""
-    marker = F.try_variant_get(F.get(pair, F.lit(1)), "$", "string")
-    return F.when((F.size(pair) == 2) & (marker == F.md5(text)), F.get(pair, F.lit(0)))
+def all_items(*tests: str) -> str:
+    """True where every item passes; the empty list does, a missing one not."""
+    return f"coalesce(forall(candidates, x -> coalesce({' AND '.join(tests)}, false)), false)"
 
 
-def listed_items(value: Column) -> Column:
-    """The items of a JSON list of objects. An item that is no object is NULL;
-    the whole is NULL for anything but a list."""
-    return F.try_variant_get(value, "$", f"array<{ITEM_MAP}>")
+def accepts(strict: bool) -> str:
+    """The gate: exactly the two keys, a letter in each headline; and, where
+    strict, each sentiment is 0, 1 or 2 as text or whole number."""
+    return all_items(KEYS_OK, HEADLINE_OK, SENTIMENT_OK) if strict else all_items(KEYS_OK, HEADLINE_OK)
 
 
-def items_of(value: Column) -> Column:
-    """Like :func:`listed_items`, with a single object taken as a list of one."""
-    single = F.try_variant_get(value, "$", ITEM_MAP)
-    return F.coalesce(listed_items(value), F.when(single.isNotNull(), F.array(single)))
+def candidates(strict: bool) -> str:
+    """Strict takes lists only."""
+    return LISTED if strict else LISTED_OR_SINGLE
 
 
-def _keys_ok(item: Column) -> Column:
-    return (
-        (F.size(item) == 2)
-        & F.map_contains_key(item, "headline")
-        & F.map_contains_key(item, "sentiment")
-    )
-
-
-def _headline_ok(item: Column) -> Column:
-    headline = item["headline"]
-    return (F.schema_of_variant(headline) == "STRING") & has_letter(F.try_variant_get(headline, "$", "string"))
-
-
-def _sentiment_ok(item: Column) -> Column:
-    value = item["sentiment"]
-    return F.schema_of_variant(value).isin("STRING", "BIGINT") & F.try_variant_get(value, "$", "string").isin(
-        *SENTIMENTS
-    )
-
-
-def _all(items: Column, test) -> Column:
-    return F.coalesce(F.forall(items, lambda item: F.coalesce(test(item), F.lit(False))), F.lit(False))
-
-
-def lenient_ok(items: Column) -> Column:
-    """Exactly the two keys and a letter in each headline; any sentiment value
-    passes, and so does the empty list."""
-    return _all(items, lambda item: _keys_ok(item) & _headline_ok(item))
-
-
-def strict_ok(items: Column) -> Column:
-    """As lenient, and each sentiment is 0, 1 or 2 as text or whole number."""
-    return _all(items, lambda item: _keys_ok(item) & _headline_ok(item) & _sentiment_ok(item))
-
-
-def examples_of(items: Column) -> Column:
-    """array<struct<headline,sentiment>> of items that passed a gate."""
-    return F.transform(
-        items,
-        lambda item: F.struct(
-            F.try_variant_get(item["headline"], "$", "string").alias("headline"),
-            F.try_variant_get(item["sentiment"], "$", "string").alias("sentiment"),
-        ),
-    )
-
-
-def reject_reason(value: Column, items: Column, strict: bool) -> Column:
+def reject_reason(strict: bool) -> str:
     """Name of the first failed test, ``accepted`` where none fails."""
-
-    def fails(test) -> Column:
-        return ~_all(items, test)
-
-    reason = (
-        F.when(value.isNull(), "not_json")
-        .when(items.isNull(), "wrong_shape")
-        .when(fails(lambda item: item.isNotNull()), "item_not_object")
-        .when(fails(_keys_ok), "wrong_keys")
-        .when(fails(_headline_ok), "bad_headline")
-    )
+    steps = [(IS_OBJECT, "item_not_object"), (KEYS_OK, "wrong_keys"), (HEADLINE_OK, "bad_headline")]
     if strict:
-        reason = reason.when(fails(_sentiment_ok), "bad_sentiment")
-    return reason.otherwise("accepted")
+        steps.append((SENTIMENT_OK, "bad_sentiment"))
+    tests = " ".join(f"WHEN NOT {all_items(test)} THEN '{name}'" for test, name in steps)
+    return f"CASE WHEN value IS NULL THEN 'not_json' WHEN candidates IS NULL THEN 'wrong_shape' {tests} ELSE 'accepted' END"

@@ -7,10 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from synthcurate.functions.completion import (
-    examples_of, intact_value, items_of, lenient_ok, listed_items, marked_pair,
-    reject_reason, strict_ok,
-)
+from synthcurate.functions import completion as sql
 from synthcurate.functions.text import fenced_part, without_json_tag
 
 
@@ -35,13 +32,11 @@ def _once(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def _parsed(completions: DataFrame, strict: bool, clean: bool) -> DataFrame:
-    items = listed_items if strict else items_of
     return (
         cleaned(completions, clean)
-        .withColumn("_pair", marked_pair(F.col("text")))
-        .withColumn("value", intact_value(F.col("_pair"), F.col("text")))
-        .withColumn("candidates", items(F.col("value")))
-        .drop("_pair")
+        .selectExpr("*", f"{sql.PAIR} AS pair")
+        .selectExpr("* EXCEPT (pair)", f"{sql.VALUE} AS value")
+        .selectExpr("*", f"{sql.candidates(strict)} AS candidates")
     )
 
 
@@ -62,14 +57,12 @@ def gate(
     ``checks`` are further named tests over ``items``; a completion must pass
     all of them.
     """
-    ok = strict_ok if strict else lenient_ok
-    out = _parsed(completions, strict, clean).withColumn(
-        "items", F.when(ok(F.col("candidates")), examples_of(F.col("candidates")))
+    out = _parsed(completions, strict, clean).selectExpr(
+        "* EXCEPT (raw, text, value, candidates)", f"CASE WHEN {sql.accepts(strict)} THEN {sql.EXAMPLES} END AS items"
     )
     for check in (checks or {}).values():
         out = out.withColumn("items", F.when(F.coalesce(check, F.lit(False)), F.col("items")))
-    out = out.drop("raw", "text", "value", "candidates")
-    n_items = F.when(F.col("items").isNotNull(), F.size("items")).cast("bigint")
+    n_items = F.expr("CASE WHEN items IS NOT NULL THEN cast(size(items) AS bigint) END")
     return _once(out, items=F.col("items"), n_items=n_items)
 
 
@@ -83,8 +76,7 @@ def flatten(gated: DataFrame) -> DataFrame:
 def reasons(completions: DataFrame, strict: bool = True, clean: bool = True) -> DataFrame:
     """Add ``reason``: why the gate rejects a completion, or ``accepted``."""
     out = _parsed(completions, strict, clean)
-    reason = reject_reason(F.col("value"), F.col("candidates"), strict)
-    return _once(out, reason=reason).drop("value", "candidates")
+    return _once(out, reason=F.expr(sql.reject_reason(strict))).drop("value", "candidates")
 
 
 def reason_counts(completions: DataFrame, strict: bool = True, clean: bool = True) -> DataFrame:

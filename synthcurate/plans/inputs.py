@@ -23,6 +23,21 @@ MODELS = (
 )
 
 
+# Twelve ways a model answers, from the example objects a, b and c.
+SHAPES = r"""
+ WHEN 0 THEN concat('[', a, ', ', b, ', ', c, ']')
+ WHEN 1 THEN concat('```json\n[', a, ', ', b, ', ', c, ']\n```')
+ WHEN 2 THEN concat('  JSON [', a, ', ', b, '] ')
+ WHEN 3 THEN a
+ WHEN 4 THEN concat('Sure!\n```\n[', a, ', ', c, ']\n``` done')
+ WHEN 5 THEN '[{"headline": "2024 1234", "sentiment": "1"}]'
+ WHEN 6 THEN concat('[', a, ', {"headline": "Odd", "sentiment": "9"}]')
+ WHEN 7 THEN concat('[', a, ', {"headline": "Extra", "sentiment": "1", "why": "x"}]')
+ WHEN 8 THEN concat('[', a, ', ', substr(b, 1, 20))
+ WHEN 9 THEN '[]'
+ WHEN 10 THEN concat('[', a, ', 7]')
+ ELSE concat('```json\n[', a, ']')"""
+
 # Columns of the tables used, so that opening one does not read a footer.
 TABLES = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
@@ -72,36 +87,17 @@ class Inputs:
 
     def completions(self) -> DataFrame:
         """prompt_id, attempt, raw: the assistant turns in twelve good and bad shapes"""
-        conv, turn = F.col("conv_id"), F.col("turn")
-        nl = "\n"
-        a = F.concat(F.lit('{"headline": '), json_text(F.col("text")), F.lit(', "sentiment": "1"}'))
-        b = F.concat(F.lit('{"headline": "Shares of '), letters(conv % 29), F.lit(' fall", "sentiment": "0"}'))
-        c = F.concat(F.lit('{"headline": "Market flat '), conv, F.lit('", "sentiment": 2}'))
-
-        def cat(*parts: Column | str) -> Column:
-            return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-
-        shapes = [
-            cat("[", a, ", ", b, ", ", c, "]"),
-            cat("```json", nl, "[", a, ", ", b, ", ", c, "]", nl, "```"),
-            cat("  JSON [", a, ", ", b, "] "),
-            a,
-            cat("Sure!", nl, "```", nl, "[", a, ", ", c, "]", nl, "``` done"),
-            F.lit('[{"headline": "2024 1234", "sentiment": "1"}]'),
-            cat("[", a, ', {"headline": "Odd", "sentiment": "9"}]'),
-            cat("[", a, ', {"headline": "Extra", "sentiment": "1", "why": "x"}]'),
-            cat("[", a, ", ", F.substring(b, 1, 20)),
-            F.lit("[]"),
-            cat("[", a, ", 7]"),
-            cat("```json", nl, "[", a, "]"),
-        ]
-        variant = F.pmod(conv * 7 + turn, F.lit(len(shapes)))
-        raw = F.when(variant == 0, shapes[0])
-        for i, shape in enumerate(shapes[1:], 1):
-            raw = raw.when(variant == i, shape)
-        return self.table("conversations").filter(F.col("role") == "assistant").select(
-            conv.alias("prompt_id"), turn.alias("attempt"), raw.alias("raw")
+        said = self.table("conversations").filter("role = 'assistant'").select(
+            F.col("conv_id").alias("prompt_id"), F.col("turn").alias("attempt"), json_text(F.col("text")).alias("said")
+        )
+        examples = said.selectExpr(
+            "prompt_id", "attempt",
+            """concat('{"headline": ', said, ', "sentiment": "1"}') AS a""",
+            """concat('{"headline": "Shares of ', translate(prompt_id % 29, '0123456789', 'ABCDEFGHIJ'),
+                      ' fall", "sentiment": "0"}') AS b""",
+            """concat('{"headline": "Market flat ', prompt_id, '", "sentiment": 2}') AS c""",
         )
+        return examples.selectExpr("prompt_id", "attempt", f"CASE pmod(prompt_id * 7 + attempt, 12) {SHAPES} END AS raw")
 
     def attempts(self) -> DataFrame:
         """prompt_id, attempt, error: every turn as a request that failed in one of three ways, or not"""
