@@ -45,35 +45,62 @@ def summary(runs: DataFrame, by: str = "gpu_config") -> DataFrame:
     return runs.groupBy(by).agg(*stats)
 
 
-def _quantile(q: float) -> Column:
-    """Linear interpolation between the two neighbouring positions."""
-    place = (F.col("_n") - 1) * F.lit(q)
-    low = F.floor(place).cast("bigint")
-    at_low = F.max(F.when(F.col("_pos") == low, F.col("_v")))
-    at_high = F.max(F.when(F.col("_pos") == F.least(low + 1, F.col("_n") - 1), F.col("_v")))
-    return at_low + (at_high - at_low) * F.first(place - low)
-
-
-def quartiles(runs: DataFrame, measure: str, by: str, key: str) -> DataFrame:
-    """Exact quartiles per group, from the positions of a distributed sort;
-    the exact ``percentile`` aggregate would hold a whole group in one task."""
-    slim = runs.select(by, F.col(measure).alias("_v"), key).filter(F.col("_v").isNotNull())
-    ranked = running_totals(slim, [by], ["_v", key], before="_pos", total="_n")
-    wanted = reduce(
-        lambda a, b: a | b,
-        [F.col("_pos").between(F.floor((F.col("_n") - 1) * F.lit(q)), F.floor((F.col("_n") - 1) * F.lit(q)) + 1)
-         for q in (0.25, 0.5, 0.75)],
+QUARTILES = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
+ACCURACY = 10_000  # the sketch is off by at most 1/ACCURACY of the rows
+
+
+def quartiles(runs: DataFrame, measure: str, by: str, whole_below: int = 100_000) -> DataFrame:
+    """Exact quartiles per group, interpolated linearly.
+
+    The exact ``percentile`` aggregate would hold all values of a group in one
+    task. Here a sketch brackets each quartile, everything below a bracket is
+    only counted, and the few distinct values inside are sorted across tasks.
+    Groups of up to ``whole_below`` rows are not worth a bracket.
+    """
+    v = F.col(measure)
+    values = runs.select(by, v.alias("_v")).filter(v.isNotNull() & ~F.isnan(v))
+    margin = 5 / ACCURACY
+    edges = [q + side * margin for _, q in QUARTILES for side in (-1, 1)]
+    sketched = values.groupBy(by).agg(
+        F.count("*").alias("n"), F.percentile_approx("_v", edges, ACCURACY).alias("_e"),
     )
-    near = ranked.filter(wanted)
-    return near.groupBy(by).agg(
-        F.first("_n").alias("n"), *[_quantile(q).alias(name) for q, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]
+    whole = F.col("n") <= whole_below
+    brackets = [
+        F.struct(
+            F.lit(name).alias("q"),
+            ((F.col("n") - 1) * F.lit(q)).alias("place"),
+            F.when(whole, F.lit(float("-inf"))).otherwise(F.col("_e")[2 * i]).alias("low"),
+            F.when(whole, F.lit(float("inf"))).otherwise(F.col("_e")[2 * i + 1]).alias("high"),
+        )
+        for i, (name, q) in enumerate(QUARTILES)
+    ]
+    bounds = broadcast_if_small(sketched.select(by, "n", F.array(*brackets).alias("_b")))
+    near = (
+        values.join(bounds, by)
+        .select(by, "n", "_v", F.inline("_b"))
+        .filter(F.col("_v") <= F.col("high"))
+        # Rows below the bracket share the value NULL, which sorts first.
+        .groupBy(by, "n", "q", "place", F.when(F.col("_v") >= F.col("low"), F.col("_v")).alias("_v"))
+        .agg(F.count("*").alias("_rows"))
     )
+    ranked = running_totals(near, [by, "q"], ["_v"], "_rows", before="_pos")
+    low = F.floor("place")
+
+    def at(position: Column) -> Column:
+        return F.max(F.when((F.col("_pos") <= position) & (position < F.col("_pos") + F.col("_rows")), F.col("_v")))
+
+    found = ranked.groupBy(by, "n", "q", "place").agg(
+        at(low).alias("_at"), at(F.least(low + 1, F.col("n") - 1)).alias("_next")
+    )
+    value = F.col("_at") + (F.col("_next") - F.col("_at")) * (F.col("place") - F.floor("place"))
+    sure = F.when(value.isNotNull(), value).otherwise(F.raise_error(F.lit("quartile outside its bracket")))
+    return found.groupBy(by, "n").agg(*[F.max(F.when(F.col("q") == name, sure)).alias(name) for name, _ in QUARTILES])
 
 
 def box_figures(runs: DataFrame, measure: str, by: str = "gpu_config", key: str = "run_id") -> tuple[DataFrame, DataFrame]:
     """Box-plot figures per group (quartiles, whiskers within 1.5 IQR, number
     of outliers) and the outlier rows themselves."""
-    q = broadcast_if_small(quartiles(runs, measure, by, key))
+    q = broadcast_if_small(quartiles(runs, measure, by))
     iqr = F.col("q3") - F.col("q1")
     fenced = runs.join(q, by).withColumn(
         "_in", F.col(measure).between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr)

@@ -21,8 +21,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
-# Summaries (counts per dataset, bucket offsets, template catalogs) are
-# broadcast up to this many bytes and shuffle-joined beyond it.
+# Summaries (counts per dataset, slice offsets, template catalogs) are
+# broadcast up to this size and joined by shuffle beyond it.
+BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
@@ -78,9 +79,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Materialise a summary and mark it for broadcast if its measured size
-    allows; otherwise return it plain, so that Spark shuffles the join."""
-    kept = materialize(df)
-    size = kept.agg(F.sum(F.octet_length(F.to_json(F.struct(*kept.columns))))).first()[0] or 0
-    return F.broadcast(kept) if size <= max_bytes else kept
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """Compute a summary and mark it for broadcast if it keeps within both
+    bounds; otherwise return it as it was, so that Spark shuffles the join.
+
+    At most ``max_rows`` + 1 rows reach the driver, where a broadcast has to
+    pass anyway.
+    """
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
+    head = df.limit(max_rows + 1).toArrow()
+    if head.num_rows > max_rows or head.nbytes > max_bytes:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))

@@ -60,3 +60,13 @@ def test_union_groups_and_throughput(rows):
 def test_dataset_counts(rows):
     df = rows([("a", "p"), ("a", "p"), ("b", "p")], "model string, prompt string")
     assert {tuple(r) for r in m.dataset_counts(df, ["model", "prompt"]).collect()} == {("a", "p", 2), ("b", "p", 1)}
+
+
+def test_bracketed_quartiles_match_numpy(spark, rows):
+    """Groups too large to be taken whole, one of them mostly ties."""
+    rng = random.Random(2)
+    groups = {"a": [rng.gauss(0, 1) for _ in range(30000)], "b": [1.0] * 9000 + [rng.random() for _ in range(6001)]}
+    out = m.quartiles(table(rows, groups), "total_time", "gpu_config", whole_below=1000)
+    got = {r.gpu_config: (r.n, r.q1, r.median, r.q3) for r in out.collect()}
+    for name, values in groups.items():
+        assert got[name][0] == len(values) and np.allclose(got[name][1:], np.percentile(values, [25, 50, 75]), rtol=1e-12)

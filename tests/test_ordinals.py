@@ -3,6 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from synthcurate import session
 from synthcurate.operators import ordinals as o
 from synthcurate.operators import select as s
 
@@ -68,8 +69,16 @@ def test_sample_is_the_seeded_prefix(spark, n):
         assert sorted(r.k for r in out if r.g == g) == sorted(expected)
 
 
-def test_sample_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(o, "broadcast_if_small", lambda df: df)
+def test_summaries_too_large_to_broadcast(spark, monkeypatch):
+    """Beyond the bounds the same results come from shuffle joins."""
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 1)
+    large = spark.range(5)
+    assert session.broadcast_if_small(large) is large
+    test_sample_is_the_seeded_prefix(spark, 10)
+    test_running_totals(spark, 4, "v")
+    test_running_totals(spark, 4, None)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 100)
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 8)
     test_sample_is_the_seeded_prefix(spark, 10)
 
 
