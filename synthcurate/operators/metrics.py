@@ -65,36 +65,41 @@ def quartiles(runs: DataFrame, measure: str, by: str, whole_below: int = 100_000
         F.count("*").alias("n"), F.percentile_approx("_v", edges, ACCURACY).alias("_e"),
     )
     whole = F.col("n") <= whole_below
-    brackets = [
-        F.struct(
-            F.lit(name).alias("q"),
-            ((F.col("n") - 1) * F.lit(q)).alias("place"),
-            F.when(whole, F.lit(float("-inf"))).otherwise(F.col("_e")[2 * i]).alias("low"),
-            F.when(whole, F.lit(float("inf"))).otherwise(F.col("_e")[2 * i + 1]).alias("high"),
-        )
-        for i, (name, q) in enumerate(QUARTILES)
-    ]
-    bounds = broadcast_if_small(sketched.select(by, "n", F.array(*brackets).alias("_b")))
+    low = [F.when(whole, F.lit(float("-inf"))).otherwise(F.col("_e")[2 * i]) for i in range(len(QUARTILES))]
+    high = [F.when(whole, F.lit(float("inf"))).otherwise(F.col("_e")[2 * i + 1]) for i in range(len(QUARTILES))]
+    bounds = broadcast_if_small(sketched.select(by, "n", F.array(*low).alias("_low"), F.array(*high).alias("_high")))
+    bracketed = values.join(bounds, by)
+    inside = [(F.col("_v") >= F.col("_low")[i]) & (F.col("_v") <= F.col("_high")[i]) for i in range(len(QUARTILES))]
+
+    below = bracketed.groupBy(by).agg(
+        *[F.count(F.when(F.col("_v") < F.col("_low")[i], True)).alias(f"_below{i}") for i in range(len(QUARTILES))]
+    )
     near = (
-        values.join(bounds, by)
-        .select(by, "n", "_v", F.inline("_b"))
-        .filter(F.col("_v") <= F.col("high"))
-        # Rows below the bracket share the value NULL, which sorts first.
-        .groupBy(by, "n", "q", "place", F.when(F.col("_v") >= F.col("low"), F.col("_v")).alias("_v"))
-        .agg(F.count("*").alias("_rows"))
+        bracketed.filter(inside[0] | inside[1] | inside[2])
+        .select(by, "n", "_v", F.explode(F.array_compact(F.array(
+            *[F.when(test, F.lit(i)) for i, test in enumerate(inside)]
+        ))).alias("_q"))
+        .groupBy(by, "n", "_q", "_v").agg(F.count("*").alias("_rows"))
+    )
+    ranked = running_totals(near, [by, "_q"], ["_v"], "_rows", before="_inside_before")
+    placed = ranked.join(broadcast_if_small(below), by).select(
+        by, "n", "_q", "_v", "_rows",
+        (F.col("_inside_before") + F.array(*[f"_below{i}" for i in range(len(QUARTILES))])[F.col("_q")]).alias("_pos"),
+        ((F.col("n") - 1) * F.array(*[F.lit(q) for _, q in QUARTILES])[F.col("_q")]).alias("_place"),
     )
-    ranked = running_totals(near, [by, "q"], ["_v"], "_rows", before="_pos")
-    low = F.floor("place")
+    first = F.floor("_place")
 
     def at(position: Column) -> Column:
         return F.max(F.when((F.col("_pos") <= position) & (position < F.col("_pos") + F.col("_rows")), F.col("_v")))
 
-    found = ranked.groupBy(by, "n", "q", "place").agg(
-        at(low).alias("_at"), at(F.least(low + 1, F.col("n") - 1)).alias("_next")
+    found = placed.groupBy(by, "n", "_q", "_place").agg(
+        at(first).alias("_at"), at(F.least(first + 1, F.col("n") - 1)).alias("_next")
     )
-    value = F.col("_at") + (F.col("_next") - F.col("_at")) * (F.col("place") - F.floor("place"))
+    value = F.col("_at") + (F.col("_next") - F.col("_at")) * (F.col("_place") - first)
     sure = F.when(value.isNotNull(), value).otherwise(F.raise_error(F.lit("quartile outside its bracket")))
-    return found.groupBy(by, "n").agg(*[F.max(F.when(F.col("q") == name, sure)).alias(name) for name, _ in QUARTILES])
+    return found.groupBy(by, "n").agg(
+        *[F.max(F.when(F.col("_q") == i, sure)).alias(name) for i, (name, _) in enumerate(QUARTILES)]
+    )
 
 
 def box_figures(runs: DataFrame, measure: str, by: str = "gpu_config", key: str = "run_id") -> tuple[DataFrame, DataFrame]:

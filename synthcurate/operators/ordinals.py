@@ -25,9 +25,9 @@ def slice_bits(df: DataFrame) -> int:
     return min(20, max(6, (4 * parts - 1).bit_length()))
 
 
-def _with_slices(df: DataFrame, key: list[str], seed: int, slot: str) -> DataFrame:
+def _with_slices(df: DataFrame, key: list[str], seed: int, slot: str, bits: int) -> DataFrame:
     h = hash60(seed, slot, *[F.col(c) for c in key])
-    return df.withColumn("_h", h).withColumn("_slice", bucket_of(F.col("_h"), slice_bits(df)))
+    return df.withColumn("_h", h).withColumn("_slice", bucket_of(F.col("_h"), bits))
 
 
 def _slice_offsets(sliced: DataFrame, group: list[str]) -> DataFrame:
@@ -56,7 +56,7 @@ def seeded_ordinals(
     ``key`` identifies a row within its group. The result does not depend on
     partitioning, slice count or session.
     """
-    sliced = _with_slices(df, key, seed, slot)
+    sliced = _with_slices(df, key, seed, slot, slice_bits(df))
     ranked = sliced.withColumn("_rank", _rank_in_slice(group, key))
     return (
         ranked.join(_slice_offsets(sliced, group), [*group, "_slice"])
@@ -76,7 +76,8 @@ def first_in_hash_order(
     can still hold a wanted row, later slices are dropped in the scan, and
     only the rest (about ``n`` plus one slice per group) is shuffled and ranked.
     """
-    sliced = _with_slices(df, key, seed, slot)
+    # Finer slices would only lengthen the list of slices a small group needs.
+    sliced = _with_slices(df, key, seed, slot, min(14, slice_bits(df)))
     needed = _slice_offsets(sliced, group).filter(F.col("_offset") < n)
     kept = sliced.join(broadcast_if_small(needed), [*group, "_slice"])
     return (

@@ -12,7 +12,7 @@ from synthcurate import schemas
 from synthcurate.functions.text import error_action
 from synthcurate.operators.gate import flatten, gate
 from synthcurate.operators.ordinals import running_totals
-from synthcurate.session import scratch_path
+from synthcurate.session import broadcast_if_small, scratch_path
 
 Provider = Callable[[list[str]], list[str]]
 
@@ -61,13 +61,14 @@ def resume_with(earlier: DataFrame, new: DataFrame, target: int, by: list[str],
     """Examples of an earlier run first, then whole new completions up to the
     target. Earlier examples all stay, even beyond it.
 
-    ``earlier`` holds examples with ``pos``; ``new`` is a gated table. Both
-    carry ``by``. ``phase`` is 0 for earlier and 1 for new rows.
+    ``earlier`` holds examples with ``pos``; ``new`` is a stored gated table,
+    since it is read twice. Both carry ``by``. ``phase`` is 0 for earlier and 1
+    for new rows.
     """
     old = earlier.groupBy(*by).agg(F.count("*").alias("have"))
     counts = new.filter(F.col("n_items") > 0).select(*by, *order, "n_items")
     totals = running_totals(counts, by, order, "n_items")
-    kept = totals.join(old, by, "left").filter(F.col("before") + F.coalesce("have", F.lit(0)) < target)
+    kept = totals.join(broadcast_if_small(old), by, "left").filter(F.col("before") + F.coalesce("have", F.lit(0)) < target)
     fresh = flatten(new.join(kept.select(*by, *order), [*by, *order], "left_semi"))
     return earlier.withColumn("phase", F.lit(0)).unionByName(
         fresh.withColumn("phase", F.lit(1)), allowMissingColumns=True

@@ -11,7 +11,7 @@ from synthcurate.functions import text as tx
 from synthcurate.operators import draws, gate, metrics, prompts, rounds, select
 from synthcurate.plans.curate import CurationSpec, curate
 from synthcurate.plans.inputs import Inputs
-from synthcurate.session import scratch_path
+from synthcurate.session import materialize, scratch_path
 from synthcurate.sources import readers, sinks
 from synthcurate.streaming import curate as streaming
 
@@ -317,7 +317,7 @@ def quota_take(i: Inputs) -> DataFrame:
 @query
 def resume_union(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "earlier")
-    gated = _by_dataset(gate.gate(i.completions()), i)
+    gated = materialize(_by_dataset(gate.gate(i.completions()), i))
     sinks.write_examples(gate.flatten(gated.filter(F.col("attempt") == 1)), path)
     earlier = readers.read_examples(i.spark, path)
     fresh = gated.filter(F.col("attempt") > 1)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from synthcurate.functions.text import example_json
 from synthcurate.operators.ordinals import running_totals
+from synthcurate.session import broadcast_if_small
 
 DATASET = ["model", "prompt"]
 
@@ -40,9 +41,13 @@ def write_json_arrays(
 
 
 def missing_datasets(examples: DataFrame, existing: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Rows whose dataset is not among the existing ones."""
+    """Rows whose dataset is not among the existing ones.
+
+    The names of existing datasets are few, so the rows are usually tested in
+    place; a dataset holding most rows would otherwise be one join key.
+    """
     keys = by or DATASET
-    return examples.join(existing.select(*keys).distinct(), keys, "left_anti")
+    return examples.join(broadcast_if_small(existing.select(*keys).distinct()), keys, "left_anti")
 
 
 def run_settings(runs: DataFrame, options: dict[str, object]) -> DataFrame:
