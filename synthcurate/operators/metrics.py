@@ -49,41 +49,41 @@ QUARTILES = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
 ACCURACY = 10_000  # the sketch is off by at most 1/ACCURACY of the rows
 
 
-def quartiles(runs: DataFrame, measure: str, by: str, whole_below: int = 100_000) -> DataFrame:
-    """Exact quartiles per group, interpolated linearly.
+def quartiles(values: DataFrame, by: list[str], value: str, whole_below: int = 10_000) -> DataFrame:
+    """Exact quartiles of ``value`` per group, interpolated linearly.
 
     The exact ``percentile`` aggregate would hold all values of a group in one
     task. Here a sketch brackets each quartile, everything below a bracket is
     only counted, and the few distinct values inside are sorted across tasks.
     Groups of up to ``whole_below`` rows are not worth a bracket.
     """
-    v = F.col(measure)
-    values = runs.select(by, v.alias("_v")).filter(v.isNotNull() & ~F.isnan(v))
+    v = F.col(value)
+    values = values.select(*by, v.alias("_v")).filter(v.isNotNull() & ~F.isnan(v))
     margin = 5 / ACCURACY
     edges = [q + side * margin for _, q in QUARTILES for side in (-1, 1)]
-    sketched = values.groupBy(by).agg(
+    sketched = values.groupBy(*by).agg(
         F.count("*").alias("n"), F.percentile_approx("_v", edges, ACCURACY).alias("_e"),
     )
     whole = F.col("n") <= whole_below
     low = [F.when(whole, F.lit(float("-inf"))).otherwise(F.col("_e")[2 * i]) for i in range(len(QUARTILES))]
     high = [F.when(whole, F.lit(float("inf"))).otherwise(F.col("_e")[2 * i + 1]) for i in range(len(QUARTILES))]
-    bounds = broadcast_if_small(sketched.select(by, "n", F.array(*low).alias("_low"), F.array(*high).alias("_high")))
+    bounds = broadcast_if_small(sketched.select(*by, "n", F.array(*low).alias("_low"), F.array(*high).alias("_high")))
     bracketed = values.join(bounds, by)
     inside = [(F.col("_v") >= F.col("_low")[i]) & (F.col("_v") <= F.col("_high")[i]) for i in range(len(QUARTILES))]
 
-    below = bracketed.groupBy(by).agg(
+    below = bracketed.groupBy(*by).agg(
         *[F.count(F.when(F.col("_v") < F.col("_low")[i], True)).alias(f"_below{i}") for i in range(len(QUARTILES))]
     )
     near = (
         bracketed.filter(inside[0] | inside[1] | inside[2])
-        .select(by, "n", "_v", F.explode(F.array_compact(F.array(
+        .select(*by, "n", "_v", F.explode(F.array_compact(F.array(
             *[F.when(test, F.lit(i)) for i, test in enumerate(inside)]
         ))).alias("_q"))
-        .groupBy(by, "n", "_q", "_v").agg(F.count("*").alias("_rows"))
+        .groupBy(*by, "n", "_q", "_v").agg(F.count("*").alias("_rows"))
     )
-    ranked = running_totals(near, [by, "_q"], ["_v"], "_rows", before="_inside_before")
+    ranked = running_totals(near, [*by, "_q"], ["_v"], "_rows", before="_inside_before")
     placed = ranked.join(broadcast_if_small(below), by).select(
-        by, "n", "_q", "_v", "_rows",
+        *by, "n", "_q", "_v", "_rows",
         (F.col("_inside_before") + F.array(*[f"_below{i}" for i in range(len(QUARTILES))])[F.col("_q")]).alias("_pos"),
         ((F.col("n") - 1) * F.array(*[F.lit(q) for _, q in QUARTILES])[F.col("_q")]).alias("_place"),
     )
@@ -92,29 +92,33 @@ def quartiles(runs: DataFrame, measure: str, by: str, whole_below: int = 100_000
     def at(position: Column) -> Column:
         return F.max(F.when((F.col("_pos") <= position) & (position < F.col("_pos") + F.col("_rows")), F.col("_v")))
 
-    found = placed.groupBy(by, "n", "_q", "_place").agg(
+    found = placed.groupBy(*by, "n", "_q", "_place").agg(
         at(first).alias("_at"), at(F.least(first + 1, F.col("n") - 1)).alias("_next")
     )
     value = F.col("_at") + (F.col("_next") - F.col("_at")) * (F.col("_place") - first)
     sure = F.when(value.isNotNull(), value).otherwise(F.raise_error(F.lit("quartile outside its bracket")))
-    return found.groupBy(by, "n").agg(
+    return found.groupBy(*by, "n").agg(
         *[F.max(F.when(F.col("_q") == i, sure)).alias(name) for i, (name, _) in enumerate(QUARTILES)]
     )
 
 
-def box_figures(runs: DataFrame, measure: str, by: str = "gpu_config", key: str = "run_id") -> tuple[DataFrame, DataFrame]:
-    """Box-plot figures per group (quartiles, whiskers within 1.5 IQR, number
-    of outliers) and the outlier rows themselves."""
-    q = broadcast_if_small(quartiles(runs, measure, by))
+def box_figures(
+    runs: DataFrame, measures: tuple[str, ...] = MEASURES, by: str = "gpu_config", key: str = "run_id",
+) -> tuple[DataFrame, DataFrame]:
+    """Box-plot figures per measure and group (quartiles, whiskers within 1.5
+    IQR, number of outliers), and the outlying runs with their ``figure``."""
+    groups = ["measure", by]
+    # Both measures in one pass, as rows.
+    figures = runs.select(by, key, F.inline(F.array(
+        *[F.struct(F.lit(m).alias("measure"), F.col(m).alias("figure")) for m in measures]
+    )))
+    q = broadcast_if_small(quartiles(figures, groups, "figure"))
     iqr = F.col("q3") - F.col("q1")
-    fenced = runs.join(q, by).withColumn(
-        "_in", F.col(measure).between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr)
+    inside = F.col("figure").between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr)
+    fenced = figures.join(q, groups)
+    box = fenced.groupBy(*groups, "n", "q1", "median", "q3").agg(
+        F.min(F.when(inside, F.col("figure"))).alias("whisker_low"),
+        F.max(F.when(inside, F.col("figure"))).alias("whisker_high"),
+        F.count(F.when(~inside, True)).alias("n_outliers"),
     )
-    inside = F.when(F.col("_in"), F.col(measure))
-    box = fenced.groupBy(by, "n", "q1", "median", "q3").agg(
-        F.min(inside).alias("whisker_low"),
-        F.max(inside).alias("whisker_high"),
-        F.count(F.when(~F.col("_in"), True)).alias("n_outliers"),
-    )
-    outliers = fenced.filter(~F.col("_in")).select(by, key, measure)
-    return box, outliers
+    return box, fenced.filter(~inside).select(*groups, key, "figure")

@@ -260,7 +260,7 @@ select 'strict', reason, count(*) from (select {reason('listed', True)} as reaso
 select t.*, r.n_requests from templates t
 join (select template, count(*) as n_requests from requests group by template) r on t.template = r.template""",
     "ticker_draw_worepl": "select prompt_id, slot, ticker from worepl",
-    "ticker_draw_repl": "select prompt_id, slot, ticker from repl",
+    "ticker_draw_repl": "select prompt_id, slot::bigint as slot, ticker from repl",
     "ticker_text": "select prompt_id, stock_ticker from ticker_texts",
     "fewshot_draw": "select prompt_id, pos, text, label from shots",
     "fewshot_json": "select prompt_id, examples, examples_xy from shot_texts",

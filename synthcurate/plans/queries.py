@@ -430,17 +430,12 @@ def benchmark_summary(i: Inputs) -> DataFrame:
 
 @query
 def benchmark_box(i: Inputs) -> DataFrame:
-    runs = i.runs()
-    boxes = {m: metrics.box_figures(runs, m)[0] for m in metrics.MEASURES}
-    both = metrics.union_groups(boxes, "measure")
+    box, _ = metrics.box_figures(i.runs())
     figures = ("q1", "median", "q3", "whisker_low", "whisker_high")
-    return both.select("measure", "gpu_config", "n", *[F.round(c, 6).alias(c) for c in figures], "n_outliers")
+    return box.select("measure", "gpu_config", "n", *[F.round(c, 6).alias(c) for c in figures], "n_outliers")
 
 
 @query
 def benchmark_outliers(i: Inputs) -> DataFrame:
-    runs = i.runs()
-    rows = {m: metrics.box_figures(runs, m)[1].withColumnRenamed(m, "figure") for m in metrics.MEASURES}
-    return metrics.union_groups(rows, "measure").select(
-        "measure", "gpu_config", "run_id", F.round("figure", 6).alias("figure")
-    )
+    _, outliers = metrics.box_figures(i.runs())
+    return outliers.withColumn("figure", F.round("figure", 6))

@@ -20,11 +20,12 @@ def test_box_figures_match_numpy(rows):
         "hot": [rng.lognormvariate(3, 1) for _ in range(900)], "ties": [5.0] * 50 + [7.0] * 3 + [100.0],
         "one": [4.0], "two": [1.0, 2.0], "four": [1.0, 2.0, 4.0, 9.0],
     }
-    box, outliers = m.box_figures(table(rows, groups), "total_time")
-    got = {r.gpu_config: r for r in box.collect()}
+    box, outliers = m.box_figures(table(rows, groups))
+    assert box.count() == 2 * len(groups)
+    got = {r.gpu_config: r for r in box.filter("measure = 'total_time'").collect()}
     out = {}
-    for r in outliers.collect():
-        out.setdefault(r.gpu_config, []).append(r.total_time)
+    for r in outliers.filter("measure = 'total_time'").collect():
+        out.setdefault(r.gpu_config, []).append(r.figure)
     assert got.keys() == groups.keys()
     for name, values in groups.items():
         q1, q2, q3 = np.percentile(values, [25, 50, 75])
@@ -66,7 +67,7 @@ def test_bracketed_quartiles_match_numpy(spark, rows):
     """Groups too large to be taken whole, one of them mostly ties."""
     rng = random.Random(2)
     groups = {"a": [rng.gauss(0, 1) for _ in range(30000)], "b": [1.0] * 9000 + [rng.random() for _ in range(6001)]}
-    out = m.quartiles(table(rows, groups), "total_time", "gpu_config", whole_below=1000)
+    out = m.quartiles(table(rows, groups), ["gpu_config"], "total_time", whole_below=1000)
     got = {r.gpu_config: (r.n, r.q1, r.median, r.q3) for r in out.collect()}
     for name, values in groups.items():
         assert got[name][0] == len(values) and np.allclose(got[name][1:], np.percentile(values, [25, 50, 75]), rtol=1e-12)
