@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from synthcurate import schemas
@@ -162,3 +163,39 @@ def run_rounds(
         if open_prompts.isEmpty() or not stops.isEmpty():
             break
     return done.select("prompt_id", "attempt", "items", "n_items"), open_prompts
+
+
+def run_quota(
+    make_prompts: Callable[[int, int], DataFrame], completer: Completer, target: int, max_rounds: int,
+    spark: SparkSession, path: str | None = None, have: int = 0, per_prompt: float = 3.0,
+    strict: bool = True, clean: bool = True,
+) -> DataFrame:
+    """Ask new prompts until ``target`` examples are accepted.
+
+    ``make_prompts(start, count)`` gives the prompts with ids from ``start``;
+    ``have`` examples of an earlier run count toward the target. Each round
+    asks as many prompts as the yield so far calls for, ``per_prompt`` examples
+    being the first guess. The result holds whole completions in prompt order
+    and may overshoot by the last one. An exhausted provider limit ends the loop.
+    """
+    path = path or scratch_path(spark, "quota")
+    asked, found, stored = 0, 0, None
+    for round_no in range(1, max_rounds + 1):
+        if have + found >= target:
+            break
+        rate = found / asked if found else per_prompt
+        count = max(1, math.ceil((target - have - found) / rate))
+        answers = completer(make_prompts(asked, count), round_no, f"{path}/raw/attempt={round_no}")
+        gated = gate(answers.withColumn("attempt", F.lit(round_no).cast("bigint")), strict, clean)
+        gated.drop("attempt").write.mode("overwrite").parquet(f"{path}/gated/attempt={round_no}")
+        stored = spark.read.schema(gated.schema).parquet(f"{path}/gated")
+        asked += count
+        found = stored.agg(F.coalesce(F.sum("n_items"), F.lit(0))).first()[0]
+        if not classified(stored.filter(F.col("attempt") == round_no)).filter(F.col("action") == "stop").isEmpty():
+            break
+    if stored is None:
+        return spark.createDataFrame([], "prompt_id bigint, attempt bigint, pos bigint, headline string, sentiment string")
+    counts = stored.filter(F.col("n_items") > 0).select("prompt_id", "n_items")
+    kept = take_quota(counts, target - have, ["prompt_id"], [])
+    rows = flatten(stored.join(kept.select("prompt_id"), "prompt_id", "left_semi"))
+    return rows.select("prompt_id", "attempt", "pos", "headline", "sentiment")

@@ -103,3 +103,33 @@ def test_resume_counts_earlier_examples(rows):
     assert sum(x.phase == 0 for x in out) == 3
     full = r.resume_with(earlier, gated, 2, ["ds"], ["prompt_id"]).collect()
     assert sum(x.phase == 0 for x in full) == 3 and all(x.ds == "e" for x in full if x.phase == 1)
+
+
+def test_quota_loop(spark, tmp_path):
+    """Every third prompt fails; the others give two examples each."""
+    sizes = []
+
+    def make_prompts(start, count):
+        sizes.append(count)
+        return spark.range(start, start + count).selectExpr("id as prompt_id", "concat('p ', id) as prompt")
+
+    def provider(batch):
+        return [f'[{{"headline": "a{p}", "sentiment": "1"}}, {{"headline": "b{p}", "sentiment": 0}}]'
+                if int(p.split()[-1]) % 3 else "sorry" for p in batch]
+
+    out = r.run_quota(make_prompts, r.provider_completer(provider), 25, 10, spark, str(tmp_path / "q"), have=4).collect()
+    ids = [i for i in range(100) if i % 3][:11]  # 21 examples missing, so 11 completions
+    assert sorted({x.prompt_id for x in out}) == ids and len(out) == 22
+    assert sizes[0] == 7 and 1 < len(sizes) < 6
+    assert r.run_quota(make_prompts, None, 3, 5, spark, have=3).count() == 0
+
+
+def test_quota_loop_stops(spark, tmp_path):
+    def provider(batch):
+        raise RuntimeError("token limit exceeded")
+
+    def make_prompts(start, count):
+        return spark.range(start, start + count).selectExpr("id as prompt_id", "'p' as prompt")
+
+    out = r.run_quota(make_prompts, r.provider_completer(provider), 5, 10, spark, str(tmp_path / "q"))
+    assert out.count() == 0 and len(list((tmp_path / "q" / "raw").iterdir())) == 1
