@@ -41,8 +41,9 @@ def draw_fewshot(
     Labels come in the order of the race -ln(u)/n_label (Efraimidis and
     Spirakis 2006), which is the order in which labels first show up when rows
     are drawn one after the other; the row within a label is uniform. More
-    shots than labels is an error.
+    shots than labels is an error. Rows without a label are left out.
     """
+    pool = pool.filter(F.col("label").isNotNull())
     sizes = pool.groupBy("label").agg(F.count("*").alias("n"))
     table = F.array_sort(F.collect_list(F.struct("label", "n")))
     stats = sizes.agg(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from synthcurate.functions.hashing import bucket_of, hash60
-from synthcurate.session import broadcast_if_small, materialize
+from synthcurate.session import broadcast_if_small, join_on, materialize
 
 
 def slice_bits(df: DataFrame) -> int:
@@ -54,7 +54,7 @@ def seeded_ordinals(
     """Number the rows of each group 0..n-1 in seeded hash order.
 
     ``key`` identifies a row within its group. The result does not depend on
-    partitioning, slice count or session.
+    partitioning, slice count or session. The group columns must not be NULL.
     """
     sliced = _with_slices(df, key, seed, slot, slice_bits(df))
     ranked = sliced.withColumn("_rank", _rank_in_slice(group, key))
@@ -79,7 +79,7 @@ def first_in_hash_order(
     # Finer slices would only lengthen the list of slices a small group needs.
     sliced = _with_slices(df, key, seed, slot, min(14, slice_bits(df)))
     needed = _slice_offsets(sliced, group).filter(F.col("_offset") < n)
-    kept = sliced.join(broadcast_if_small(needed), [*group, "_slice"])
+    kept = join_on(sliced, broadcast_if_small(needed), [*group, "_slice"])
     return (
         kept.withColumn("_rank", _rank_in_slice(group, key))
         .filter(F.col("_offset") + F.col("_rank") <= n)
@@ -124,7 +124,7 @@ def running_totals(
         (F.coalesce(F.sum("_sum").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
         F.sum("_sum").over(whole).alias("_total"),
     )
-    placed = rows.join(broadcast_if_small(shift), [*group, "_part"])
+    placed = join_on(rows, broadcast_if_small(shift), [*group, "_part"])
     extra = [F.col("_total").alias(total)] if total else []
     return placed.select(*df.columns, (F.col("_inside") + F.col("_shift")).alias(before), *extra)
 

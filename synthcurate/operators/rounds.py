@@ -13,7 +13,7 @@ from synthcurate import schemas
 from synthcurate.functions.text import error_action
 from synthcurate.operators.gate import flatten, gate
 from synthcurate.operators.ordinals import running_totals
-from synthcurate.session import broadcast_if_small, scratch_path
+from synthcurate.session import broadcast_if_small, join_on, scratch_path
 
 Provider = Callable[[list[str]], list[str]]
 
@@ -69,8 +69,8 @@ def resume_with(earlier: DataFrame, new: DataFrame, target: int, by: list[str],
     old = earlier.groupBy(*by).agg(F.count("*").alias("have"))
     counts = new.filter(F.col("n_items") > 0).select(*by, *order, "n_items")
     totals = running_totals(counts, by, order, "n_items")
-    kept = totals.join(broadcast_if_small(old), by, "left").filter(F.col("before") + F.coalesce("have", F.lit(0)) < target)
-    fresh = flatten(new.join(kept.select(*by, *order), [*by, *order], "left_semi"))
+    kept = join_on(totals, broadcast_if_small(old), by, "left").filter(F.col("before") + F.coalesce("have", F.lit(0)) < target)
+    fresh = flatten(join_on(new, kept.select(*by, *order), [*by, *order], "left_semi"))
     return earlier.withColumn("phase", F.lit(0)).unionByName(
         fresh.withColumn("phase", F.lit(1)), allowMissingColumns=True
     )

@@ -270,20 +270,16 @@ def run_grid(i: Inputs) -> DataFrame:
 # --- rounds ----------------------------------------------------------------------
 
 
-def _accepted(completions: DataFrame) -> DataFrame:
-    return rounds.first_valid(completions)
-
-
 @query
 def pending_prompts(i: Inputs) -> DataFrame:
     first = i.completions().filter(F.col("attempt") == 1)
-    return rounds.pending(i.requests(), _accepted(first))
+    return rounds.pending(i.requests(), rounds.first_valid(first))
 
 
 @query
 def next_batch(i: Inputs) -> DataFrame:
     first = i.completions().filter(F.col("attempt") == 1)
-    return rounds.next_batch(i.requests(), _accepted(first), batch_size=25)
+    return rounds.next_batch(i.requests(), rounds.first_valid(first), batch_size=25)
 
 
 @query
@@ -299,7 +295,7 @@ def first_valid(i: Inputs) -> DataFrame:
 @query
 def unfilled_prompts(i: Inputs) -> DataFrame:
     tries = i.completions().groupBy("prompt_id").agg(F.count("*").alias("tries"))
-    unfilled = rounds.pending(i.requests(), _accepted(i.completions()))
+    unfilled = rounds.pending(i.requests(), rounds.first_valid(i.completions()))
     return unfilled.join(tries, "prompt_id", "left").select(
         "prompt_id", "template", F.coalesce("tries", F.lit(0)).cast("bigint").alias("tries")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,3 +93,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None, max_bytes: in
     if head.num_rows > max_rows or head.nbytes > max_bytes:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
+
+
+def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where NULL equals NULL, so that rows of an unnamed
+    group are not lost. Keeps the left keys only."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys]
+    return left.join(renamed, reduce(lambda a, b: a & b, same), how).drop(*[f"_right_{k}" for k in keys])

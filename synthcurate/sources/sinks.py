@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from synthcurate.functions.text import example_json
 from synthcurate.operators.ordinals import running_totals
-from synthcurate.session import broadcast_if_small
+from synthcurate.session import broadcast_if_small, join_on
 
 DATASET = ["model", "prompt"]
 
@@ -47,7 +47,7 @@ def missing_datasets(examples: DataFrame, existing: DataFrame, by: list[str] | N
     place; a dataset holding most rows would otherwise be one join key.
     """
     keys = by or DATASET
-    return examples.join(broadcast_if_small(existing.select(*keys).distinct()), keys, "left_anti")
+    return join_on(examples, broadcast_if_small(existing.select(*keys).distinct()), keys, "left_anti")
 
 
 def run_settings(runs: DataFrame, options: dict[str, object]) -> DataFrame:

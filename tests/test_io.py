@@ -118,3 +118,8 @@ def test_summary_and_benchmark_files(spark, rows, tmp_path):
 def test_example_json_of_null(rows):
     df = rows([("a", None)], "h string, s string")
     assert json.loads(df.select(tx.example_json(F.col("h"), F.col("s"))).first()[0]) == {"headline": "a", "sentiment": None}
+
+
+def test_missing_datasets_without_a_name(rows):
+    df = rows([(None, "p", 1), ("m", "p", 2)], "model string, prompt string, x long")
+    assert [r.x for r in sinks.missing_datasets(df, df.filter("model is null")).collect()] == [2]

@@ -114,3 +114,10 @@ def test_first_headlines(spark):
 def test_letter_filter(rows):
     df = rows([("1a",), ("12",), ("é",), (None,)], "headline string")
     assert [r.headline for r in s.with_letter(df).collect()] == ["1a"]
+
+
+def test_unnamed_group_is_kept(spark):
+    df = skewed(spark, 60).withColumn("g", F.when(F.col("g") > 0, F.col("g")))
+    n = df.filter("g is null").count()
+    assert o.running_totals(df, ["g"], ["k"]).filter("g is null").count() == n > 20
+    assert s.sample_exact(df, ["g"], ["k"], 3, on_short="keep").filter("g is null").count() == 3
