@@ -93,6 +93,7 @@ def without_json_tag(text: Column) -> Column:
 
 def model_name(model: Column) -> Column:
     """Canonical model name used in dataset names."""
+    # The family, size and variant parts stored datasets are named with.
     flat = F.lower(F.regexp_replace(model, "-", ""))
 
     def has(part: str) -> Column:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from synthcurate.functions.text import json_text
 from synthcurate.session import configure
 
-# Template and model of a prompt, by prompt_id modulo the list length.
+# Template names as stored datasets carry them, and model names in
+# the spellings users give. Template and model of a prompt go by prompt_id modulo the list length.
 TEMPLATES = (
     "zero-shot_v1", "zero-shot_bg_v1", "zero-shot_bg_train-time-info_v1", "zero-shot_bg_test-time-info_v1",
     "few-shot_v1", "few-shot_bg_v1", "few-shot_bg_train-time-info_v1", "few-shot_bg_test-time-info_v1",
