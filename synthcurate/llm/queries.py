@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate_wm, pack_bestfit, quality_qda, warc_normalise
+from . import decontaminate_wm, fertility, pack_bestfit, pii_transducer, quality_qda, token_trie, warc_normalise
 from .common import in_fold, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,32 @@ def op3_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_bestfit.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
+@register
+def op6_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", token_trie.token_counts(F.col("text"), vocabulary("piece_bpe_32k.model")).alias("c")).select("doc_id", "c.*")
+
+
+@register
+def op8_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    m = docs.select("doc_id", "lang", fertility.measures(F.col("text"), vocabulary("piece_bpe_32k.model")).alias("m"))
+    rows = fertility.outside(stored(m.select("doc_id", "lang", "m.*"), "fertility"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+        (~failed & (F.size("outside") == 0)).alias("kept"), "n_tokens", *fertility.MEASURES, F.array_join("outside", ",").alias("outside"),
+    )
+
+
+@register
+def op9_pii_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", pii_transducer.personal_data(F.col("text")).alias("p"))
+    return docs.select(
+        "doc_id", *[F.col("p.counts")[i].alias(f"n_{kind}") for i, kind in enumerate(pii_transducer.KINDS)],
+        F.sha2(F.array_join("p.base", ","), 256).alias("base_sha256"), F.array_join("p.spans", ",").alias("spans"),
+    )
+
 
 from .oracle import ORACLE as _SQL  # noqa: E402
 
