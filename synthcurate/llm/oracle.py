@@ -40,3 +40,37 @@ select page_id, cast(octet_length(encode(body)) as bigint) as payload_bytes, {_D
   case when page_id = first_id then null else first_id end as refers_to
 from g
 """
+
+# Lines within one edit share the line without one character, or one of them is
+# the other without one character.
+ORACLE["op10_line_dedup"] = r"""
+with raw as (
+  select doc_id, string_split(text, chr(10)) as ls from documents
+), lines as (
+  select doc_id, i - 1 as pos, trim(ls[i], chr(32) || chr(9) || chr(13)) as line from raw, unnest(range(1, len(ls) + 1)) as r(i)
+), long as (
+  select *, row_number() over (order by doc_id, pos) as k from lines where length(line) >= 10
+), firsts as (
+  select line, min(k) as k from long group by line
+), variants as (
+  select k, line, line as variant from firsts where length(line) >= 32
+  union all
+  select k, line, substr(line, 1, i - 1) || substr(line, i + 1) from firsts, unnest(range(1, length(line) + 1)) as r(i)
+  where length(line) >= 32
+), hashed as (
+  select distinct k, md5_number(variant) as v from variants
+), pairs as (
+  select distinct a.k as k, b.k as earlier from hashed a join hashed b on a.v = b.v and b.k < a.k
+), near as (
+  select distinct p.k from pairs p join firsts a on a.k = p.k join firsts b on b.k = p.earlier where levenshtein(a.line, b.line) <= 1
+), marked as (
+  select l.doc_id, l.pos, l.k <> f.k as equal, n.k is not null as near
+  from long l join firsts f using (line) left join near n on n.k = f.k
+), gone as (
+  select doc_id, count(*) filter (where equal) as n_equal, count(*) filter (where near and not equal) as n_near,
+    string_agg(cast(pos as varchar), ',' order by pos) as removed from marked where equal or near group by doc_id
+)
+select doc_id, cast(coalesce(len(ls), 0) as bigint) as n_lines, coalesce(n_equal, 0) as n_equal, coalesce(n_near, 0) as n_near,
+  coalesce(removed, '') as removed
+from raw left join gone using (doc_id)
+"""

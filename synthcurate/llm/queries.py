@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate_wm, fertility, pack_bestfit, pii_transducer, quality_qda, token_trie, warc_normalise
+from . import decontaminate_wm, fertility, line_dedup, pack_bestfit, pii_transducer, quality_qda, token_trie, warc_normalise
 from .common import in_fold, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,15 @@ def op9_pii_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.decisions(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", F.col("n_lines").cast("bigint").alias("n_lines"), F.size("equal").cast("bigint").alias("n_equal"),
+        F.size("near").cast("bigint").alias("n_near"), F.array_join(F.sort_array(F.array_union("equal", "near")), ",").alias("removed"),
+    )
+
+
 from .oracle import ORACLE as _SQL  # noqa: E402
 
 ORACLE.update(_SQL)
