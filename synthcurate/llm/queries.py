@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate_wm, fertility, line_dedup, pack_bestfit, pii_transducer, quality_qda, token_trie, warc_normalise
+from . import decontaminate_wm, fertility, line_dedup, pack_bestfit, pii_transducer, quality_qda, simhash_vp, token_trie, warc_normalise
 from .common import in_fold, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,12 @@ def op6_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", token_trie.token_counts(F.col("text"), vocabulary("piece_bpe_32k.model")).alias("c")).select("doc_id", "c.*")
 
 
+@register
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash_vp.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", simhash_vp.hex_of(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 @register
 def op8_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
