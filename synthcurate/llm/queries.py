@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate_wm, fertility, line_dedup, pack_bestfit, pii_transducer, quality_qda, simhash_vp, token_trie, warc_normalise
+from . import decontaminate_wm, fertility, line_dedup, lm_hmm, pack_bestfit, pii_transducer, quality_qda, simhash_vp, token_trie, warc_normalise
 from .common import in_fold, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,12 @@ def op3_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_bestfit.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
+@register
+def op5_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lm_hmm.scores(table(spark, sf_dir, "documents"), ~in_fold(F.col("doc_id"), 7, 2))
+    return rows.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @register
 def op6_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
