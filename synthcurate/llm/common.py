@@ -51,12 +51,17 @@ def texts(array: pa.Array) -> Iterator[list[bytes | None]]:
         yield raw.slice(at, SLICE).to_pylist()
 
 
-def text_udf(each: Callable[[bytes], object], kind: pa.DataType, spark_type: str) -> Callable[..., Column]:
-    """An Arrow function that applies ``each`` to every whole text; NULL counts as empty."""
+def slice_udf(each: Callable[[list[bytes]], list], kind: pa.DataType, spark_type: str) -> Callable[..., Column]:
+    """An Arrow function that applies ``each`` to slices of whole texts; NULL counts as empty."""
 
     @F.arrow_udf(spark_type)
     def apply(text: pa.Array) -> pa.Array:
-        out = [pa.array([each(b or b"") for b in part], kind) for part in texts(text)]
+        out = [pa.array(each([b or b"" for b in part]), kind) for part in texts(text)]
         return pa.concat_arrays(out) if out else pa.array([], kind)
 
     return apply
+
+
+def text_udf(each: Callable[[bytes], object], kind: pa.DataType, spark_type: str) -> Callable[..., Column]:
+    """As ``slice_udf``, for a function of one text."""
+    return slice_udf(lambda part: list(map(each, part)), kind, spark_type)

@@ -16,23 +16,27 @@ open bins and one Arrow batch of narrow rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_udf
+from .common import slice_udf, stored
 
 CAPACITY = 4096
 OPEN_BINS = 512
 #: Pieces of one packing task, on average. More pieces waste less at the end of a task.
 TASK_PIECES = 50_000
 #: Entries of a task's table of tokenised words before it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
+
+_BEFORE_PUNCTUATION = re.compile(rb"(?<=[0-9A-Za-z])(?=[!-/:-@\[-`{-~])")
 
 PIECES = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
 _PIECES = pa.list_(pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]))
@@ -41,29 +45,63 @@ _PIECES = pa.list_(pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("le
 class WordTokens:
     """Token ids of a text, as packed 32-bit numbers, from a table of words.
 
-    The vocabulary drops white space and never merges across it, so the ids of
-    a text are those of its white-space separated parts, one after another.
+    The vocabulary drops white space, sets punctuation off from letters and
+    digits and never merges across either, so the ids of a text are those of its
+    parts between white space and before punctuation, one after another. It
+    ignores case; A-Z are lowered first, unless combining marks follow
+    letters, which compose with some letters in one case only.
     """
 
+    GROUP = 200
+
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
 
-    def ids(self, text: bytes) -> bytes:
-        parts, known = text.split(), self.known
-        new = list({p for p in parts if p not in known})
+    def _learn(self, parts: list[bytes]) -> None:
+        """Words of letters are encoded many at a time and told apart by the
+        word-end mark of their last token; all others one by one."""
+        known, encode = self.known, self.tokenizer.encode_batch_fast
+        names = [p.decode() for p in parts]
+        plain = [i for i, name in enumerate(names) if name.lower().isalpha()]
+        groups = [plain[at : at + self.GROUP] for at in range(0, len(plain), self.GROUP)]
+        for group, found in zip(groups, encode([" ".join([names[i] for i in g]) for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, np.uint32)
+            stops = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(stops) != len(group):
+                raise AssertionError("a word of letters is not one pre-token")
+            packed, start = ids.tobytes(), 0
+            for i, stop in zip(group, (4 * stops).tolist()):
+                known[parts[i]] = packed[start:stop]
+                start = stop
+        plain = set(plain)
+        rest = [i for i in range(len(parts)) if i not in plain]
+        for i, found in zip(rest, encode([names[i] for i in rest], add_special_tokens=False)):
+            known[parts[i]] = array("I", found.ids).tobytes()
+
+    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text; new words of all of them are learnt together."""
+        split = []
+        for text in texts:
+            if b"\xcc" not in text and b"\xcd" not in text:
+                text = text.lower()
+            split.append(_BEFORE_PUNCTUATION.sub(b" ", text).split())
+        every = set().union(*split)
+        new = [p for p in every if p not in self.known]
+        if len(self.known) + len(new) > CACHE_WORDS and self.known:
+            self.known.clear()
+            new = list(every)
         if new:
-            if len(known) + len(new) > CACHE_WORDS and known:
-                known.clear()
-                new = list(set(parts))
-            encoded = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
-            for part, e in zip(new, encoded):
-                known[part] = array("I", e.ids).tobytes()
-        return b"".join(map(known.__getitem__, parts))
+            self._learn(new)
+        for parts in split:
+            yield b"".join(map(self.known.__getitem__, parts))
 
 
 @lru_cache(maxsize=4)
@@ -71,8 +109,8 @@ def word_tokens(path: str) -> WordTokens:
     return WordTokens(path)
 
 
-def pieces_of(text: bytes, tokens: WordTokens, end_id: int, capacity: int) -> list[dict]:
-    ids = tokens.ids(text) + array("I", [end_id]).tobytes()
+def pieces_of(ids: bytes, end_id: int, capacity: int) -> list[dict]:
+    ids += array("I", [end_id]).tobytes()
     step = 4 * capacity
     return [
         {"piece": at // step, "start": at // 4, "length": len(cut) // 4, "ids_crc32": zlib.crc32(cut)}
@@ -82,7 +120,11 @@ def pieces_of(text: bytes, tokens: WordTokens, end_id: int, capacity: int) -> li
 
 def pieces(text: Column, tokenizer_path: str, end_id: int = 1, capacity: int = CAPACITY) -> Column:
     """The pieces of every text: its ids, then ``end_id``, cut at ``capacity``."""
-    return text_udf(lambda b: pieces_of(b, word_tokens(tokenizer_path), end_id, capacity), _PIECES, PIECES)(text)
+
+    def each(part: list[bytes]) -> list[list[dict]]:
+        return [pieces_of(ids, end_id, capacity) for ids in word_tokens(tokenizer_path).ids(part)]
+
+    return slice_udf(each, _PIECES, PIECES)(text)
 
 
 class OpenBins:
