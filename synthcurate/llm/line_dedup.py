@@ -16,7 +16,8 @@ equality only.
    those with a character more. A line is cut into blocks of about the square
    root of its length; a key is made of the hashes before and after a block and
    of the block without a character, so a line of n characters costs n times
-   the block, not n times n.
+   the block, not n times n. A block whose surroundings no other line has cannot
+   hold the one edit and emits nothing.
 4. Lines that agree on a key differ in that place only, so the earliest of them
    stands for all and no pairs within a key are listed. ``levenshtein`` confirms.
 
@@ -80,9 +81,9 @@ def with_possible_partner(distinct: DataFrame) -> DataFrame:
     return halves.join(shared, F.col("half") == F.col("of")).select("place").distinct()
 
 
-def neighbourhood(lines: DataFrame) -> DataFrame:
-    """Keys of (place, line): ``longer`` marks a line as the one with a
-    character more. Replacements have keys of their own, which hold the place."""
+def blocks_of(lines: DataFrame) -> DataFrame:
+    """Blocks of (place, line) with hashes of what is around them. ``longer``
+    marks a line as the one with a character more than its partner."""
     n = F.char_length("line")
     as_class = F.inline(F.array(
         F.struct(F.lit(False).alias("longer"), n.alias("length")), F.struct(F.lit(True).alias("longer"), (n - 1).alias("length")),
@@ -93,28 +94,36 @@ def neighbourhood(lines: DataFrame) -> DataFrame:
     rows = rows.select("*", F.explode(F.transform(starts, lambda i: i * F.col("size"))).alias("start"))
     after = F.greatest(F.lit(0), F.col("length") - F.col("start") - F.col("size"))
     more = F.col("longer").cast("int")
-    rows = rows.select(
-        "place", "longer", "length",
-        F.xxhash64("length", "start", F.substring("line", F.lit(1), F.col("start")), F.substring("line", F.col("length") + more - after + 1, after)).alias("around"),
-        F.xxhash64(F.lit(3), "length", "start", F.substring("line", F.lit(1), F.col("start")), F.substring("line", F.col("length") + more - after + 1, after)).alias("around2"),
-        F.substring("line", F.col("start") + 1, F.col("length") + more - after - F.col("start")).alias("block"),
-    )
+    before = F.substring("line", F.lit(1), F.col("start"))
+    behind = F.substring("line", F.col("length") + more - after + 1, after)
+    h1, h2 = _two_hashes("length", "start", before, behind)
+    block = F.substring("line", F.col("start") + 1, F.col("length") + more - after - F.col("start"))
+    return rows.select("place", "longer", h1.alias("around1"), h2.alias("around2"), block.alias("block"))
+
+
+def neighbourhood(blocks: DataFrame) -> DataFrame:
+    """Keys of the blocks without each of their characters, and of the shorter
+    lines' whole blocks. Keys for replacements hold the place in the block."""
     without = F.transform(
         F.sequence(F.lit(1), F.char_length("block")),
         lambda i: F.struct(i.alias("at"), F.concat(F.substring("block", F.lit(1), i - 1), F.substring("block", i + 1, F.char_length("block"))).alias("rest")),
     )
     whole = F.struct(F.lit(0).alias("at"), F.col("block").alias("rest"))
     variants = F.when(F.col("longer"), without).otherwise(F.concat(F.array(whole), without))
-    rows = rows.select("place", "longer", "around", "around2", F.inline(variants))
-    # Of a longer line the place does not matter: any of its characters may be the one more.
+    rows = blocks.select("place", "longer", "around1", "around2", F.inline(variants))
+    # Of a longer line any character may be the one more.
     at = F.when(F.col("longer"), F.lit(0)).otherwise(F.col("at"))
-    h1, h2 = _two_hashes("around", "around2", at, "rest")
+    h1, h2 = _two_hashes("around1", "around2", at, "rest")
     return rows.select("place", "longer", h1.alias("k1"), h2.alias("k2"))
 
 
 def partners(lines: DataFrame) -> DataFrame:
-    """(place, partner): the earliest line of each shared key, where it is earlier."""
-    keys = neighbourhood(lines).distinct()
+    """(place, partner): the earliest line of each shared key, where it is
+    earlier. Only blocks emit variants whose surroundings another line shares."""
+    blocks = stored(blocks_of(lines), "line-blocks")
+    around = blocks.groupBy(F.col("around1").alias("a1"), F.col("around2").alias("a2")).agg(F.count("*").alias("lines"))
+    around = stored(around.filter("lines > 1").drop("lines"), "shared-blocks")
+    keys = neighbourhood(blocks.join(around, (F.col("around1") == F.col("a1")) & (F.col("around2") == F.col("a2"))))
     groups = keys.groupBy(F.col("k1").alias("g1"), F.col("k2").alias("g2")).agg(
         F.count("*").alias("lines"), F.min(F.when(~F.col("longer"), F.col("place"))).alias("first"),
         F.min(F.when(F.col("longer"), F.col("place"))).alias("first_longer"),
