@@ -80,7 +80,7 @@ def op6_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash_vp.near_duplicates(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", simhash_vp.hex_of(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
+    return rows.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 @register

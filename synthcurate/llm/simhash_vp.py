@@ -4,19 +4,22 @@ Equal fingerprints are merged first, with the smallest id of each, so copies
 cost nothing further. The distinct fingerprints are dealt into shards by their
 Hamming distances from vantage points, in two steps:
 
-* A forest of trees over segments of the fingerprint. If two fingerprints differ
-  in at most ``bits`` places, one of ``bits + 1`` segments is equal, so in the tree
-  of that segment both lie at the same distance from every vantage point: rings
-  around the points are shards that need no overlap.
+* A forest of trees, each over a segment of the fingerprint. In the tree of a
+  segment in which two fingerprints agree both lie at the same distance from
+  every vantage point, so rings around the points are shards that need no
+  overlap. With one segment more than the ``bits`` allowed to differ some
+  segment agrees: the forest misses no link. ``SIMILAR`` allows more bits than
+  that and states its recall.
 * Where rings would grow too large, a tree over whole fingerprints cuts them
   further. By the triangle bound a fingerprint has partners on the other side of
   a radius only if its own distance is within ``bits`` of it; it then visits that
   shard as well.
 
 Within a shard a vantage-point tree is built on the fly and searched with the
-same bound; what is left is compared directly. A shard reports a spanning forest
-of its links, never all pairs. Forests are joined by rounds of large-star and
-small-star steps, each a grouping and a join over stored edges.
+same bound. What lies within ``bits`` of a vantage point is one component at
+once, whose pairs are never compared; the rest is compared directly. A shard
+reports a spanning forest of its links, not pairs. Forests are joined by rounds
+of large-star and small-star steps, each a grouping and a join over stored edges.
 
 Vantage points come from the ``SAMPLE`` fingerprints that are first by hash; they
 decide how evenly shards fill, not what is found.
@@ -39,22 +42,42 @@ from pyspark.sql import functions as F
 
 from .common import fresh, stored, text_udf
 
-SHINGLE = 4
-BITS = 4
 SAMPLE = 4096
 #: Vantage points of a segment tree, and fingerprints of a shard before it is cut.
 RINGS = 8
 SHARD_ROWS = 20_000
 LEAF = 64
 BLOCK = 1 << 20
+_MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """The SimHash as a signed 64-bit number."""
+@dataclass(frozen=True)
+class Plan:
+    """``words`` 64-bit parts of a fingerprint; ``bits`` that may differ;
+    segments of each of ``rounds`` ways to deal the bits out."""
+
+    shingle: int = 4
+    words: int = 1
+    bits: int = 4
+    segments: int = 5
+    rounds: int = 1
+
+
+#: Links at four bits, without a miss.
+EXACT = Plan()
+#: Five-word shingles with a Jaccard similarity of 0.8: 39 of 256 bits are expected
+#: to differ, with a deviation of six. A pair at 39 bits meets in some of the 38
+#: segments with probability 0.99, closer ones more surely.
+SIMILAR = Plan(shingle=5, words=4, bits=44, segments=19, rounds=2)
+
+
+def fingerprint(text: bytes, plan: Plan = EXACT) -> bytes:
+    """The SimHash, most significant byte first. Parts after the first use the
+    shingle hashes mixed with the number of the part."""
     words = text.lower().split()
-    n = len(words)
+    n, shingle = len(words), plan.shingle
     if not n:
-        return 0
+        return bytes(8 * plan.words)
     joined, digest = b" ".join(words), xxhash.xxh64_intdigest
     if n <= shingle:
         hashes = [digest(joined, 42)]
@@ -62,24 +85,33 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
         starts = np.concatenate(([0], ends[:-1] + 1))
         hashes = [digest(joined[a:b], 42) for a, b in zip(starts[: n - shingle + 1].tolist(), ends[shingle - 1 :].tolist())]
-    values, counts = np.array(hashes, "<u8"), np.zeros(64, np.int64)
-    for at in range(0, len(values), 1 << 15):
-        part = values[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
-    set_bits = np.packbits(2 * counts > len(values), bitorder="little")
-    return int(set_bits.view("<i8")[0])
+    values, out = np.array(hashes, np.uint64), []
+    for part in range(plan.words):
+        mixed = values
+        if part:
+            mixed = values + np.uint64(part * _MIX[0] % 2**64)
+            mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(_MIX[1])
+            mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(_MIX[2])
+            mixed = mixed ^ (mixed >> np.uint64(31))
+        counts = np.zeros(64, np.int64)
+        for at in range(0, len(mixed), 1 << 15):
+            bits = np.unpackbits(mixed[at : at + (1 << 15)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+            counts += bits.sum(0, dtype=np.int64)
+        out.append(np.packbits(2 * counts > len(mixed)).tobytes())
+    return b"".join(out)
 
 
-def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
-    return text_udf(lambda b: fingerprint(b, shingle), pa.int64(), "bigint")(text)
+def fingerprints(text: Column, plan: Plan = EXACT) -> Column:
+    return text_udf(lambda b: fingerprint(b, plan), pa.binary(), "binary")(text)
 
 
-def hex_of(value: Column) -> Column:
-    return F.lower(F.lpad(F.hex(value), 16, "0"))
+def _matrix(values: list[bytes], words: int) -> np.ndarray:
+    """Fingerprints as rows of 64-bit numbers."""
+    return np.frombuffer(b"".join(values), ">u8").reshape(-1, words).astype(np.uint64)
 
 
-def _distance(values: np.ndarray, point: np.uint64) -> np.ndarray:
-    return np.bitwise_count(values ^ point).astype(np.int16)
+def _distance(values: np.ndarray, point: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(values ^ point).sum(-1, dtype=np.int32)
 
 
 @dataclass(frozen=True)
@@ -87,7 +119,7 @@ class Node:
     """``radius`` splits by distance from ``point``; a leaf has a number only."""
 
     leaf: int = -1
-    point: np.uint64 = np.uint64(0)
+    point: np.ndarray | None = None
     radius: int = 0
     inner: Node | None = None
     outer: Node | None = None
@@ -103,7 +135,7 @@ def build_tree(sample: np.ndarray, depth: int) -> Node:
             away = _distance(values, point)
             radius = int(np.sort(away)[(len(away) - 1) // 2])
             inside = away <= radius
-            if inside.any() and not inside.all():
+            if not inside.all():
                 return Node(-1, point, radius, grow(values[inside], levels - 1), grow(values[~inside], levels - 1))
         return Node(next(leaves))
 
@@ -113,10 +145,9 @@ def build_tree(sample: np.ndarray, depth: int) -> Node:
 def visits(tree: Node, values: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(leaf, indices, at home) for all leaves a value lies in or may have
     partners in. Of two leaves only the one of smaller number is visited."""
-    every = np.arange(len(values))
     home = np.empty(len(values), np.int64)
     found = []
-    stack = [(tree, every, np.ones(len(values), bool))]
+    stack = [(tree, np.arange(len(values)), np.ones(len(values), bool))]
     while stack:
         node, at, own = stack.pop()
         if node.inner is None:
@@ -134,42 +165,45 @@ def visits(tree: Node, values: np.ndarray, bits: int) -> Iterator[tuple[int, np.
         yield leaf, at[goes], own[goes]
 
 
-def segments(bits: int) -> list[tuple[int, int]]:
-    """(shift, mask) of ``bits + 1`` segments that make up 64 bits."""
-    edges = [64 * i // (bits + 1) for i in range(bits + 2)]
-    return [(low, (1 << (high - low)) - 1) for low, high in zip(edges, edges[1:])]
+def segments(plan: Plan) -> list[np.ndarray]:
+    """Bit places of every segment; later rounds step through the bits in odd strides."""
+    total, out = 64 * plan.words, []
+    for turn in range(plan.rounds):
+        places = np.arange(total) * (1 + 100 * turn) % total
+        out += np.array_split(places, plan.segments)
+    return out
 
 
-def ring_points(sample: np.ndarray, bits: int) -> list[list[int]]:
-    """Vantage points of each segment: its first distinct values in the sample."""
-    out = []
-    for shift, mask in segments(bits):
-        values = dict.fromkeys(((sample >> np.uint64(shift)) & np.uint64(mask)).tolist())
-        out.append(list(values)[:RINGS])
-    return out
+def segment_values(values: np.ndarray, plan: Plan) -> Iterator[np.ndarray]:
+    bits = np.unpackbits(values.astype(">u8").view(np.uint8).reshape(len(values), -1), axis=1).astype(np.int64)
+    for places in segments(plan):
+        yield bits[:, places] @ (1 << np.arange(len(places), dtype=np.int64))
 
 
-def deal(distinct: DataFrame, sample: np.ndarray, depth: int, bits: int) -> DataFrame:
-    """(shard, fp, home) rows of every fingerprint (column ``fp``)."""
-    tree, points = build_tree(sample, depth), ring_points(sample, bits)
+def deal(distinct: DataFrame, sample: np.ndarray, depth: int, plan: Plan) -> DataFrame:
+    """(segment, leaf, ring, id, fp, home) rows of every fingerprint (id, fp)."""
+    tree = build_tree(sample, depth)
+    points = [list(dict.fromkeys(v.tolist()))[:RINGS] for v in segment_values(sample, plan)]
 
     def work(batches):
         for batch in batches:
-            values = np.asarray(batch.column(0)).view(np.uint64)
-            rings = []
-            for (shift, mask), own_points in zip(segments(bits), points):
-                part, ring = (values >> np.uint64(shift)) & np.uint64(mask), np.zeros(len(values), np.int64)
+            if not batch.num_rows:
+                continue
+            values, rings = _matrix(batch.column(1).to_pylist(), plan.words), []
+            for part, own_points in zip(segment_values(values, plan), points):
+                ring = np.zeros(len(values), np.int64)
                 for p in own_points:
-                    ring = ring * 32 + np.bitwise_count(part ^ np.uint64(p))  # a segment has at most 22 bits for 2 links or more
+                    ring = ring * 32 + np.bitwise_count(part ^ p)  # of fewer than 32 bits
                 rings.append(ring)
-            for leaf, at, own in visits(tree, values, bits):
+            for leaf, at, own in visits(tree, values, plan.bits):
+                rows = pa.array(at)
                 for segment, ring in enumerate(rings):
                     yield pa.record_batch({
                         "segment": pa.array(np.full(len(at), segment, np.int32)), "leaf": pa.array(np.full(len(at), leaf, np.int32)),
-                        "ring": pa.array(ring[at]), "fp": pa.array(values[at].view(np.int64)), "home": pa.array(own),
+                        "ring": pa.array(ring[at]), "id": batch.column(0).take(rows), "fp": batch.column(1).take(rows), "home": pa.array(own),
                     })
 
-    return distinct.select("fp").mapInArrow(work, "segment int, leaf int, ring bigint, fp bigint, home boolean")
+    return distinct.select("id", "fp").mapInArrow(work, "segment int, leaf int, ring bigint, id bigint, fp binary, home boolean")
 
 
 class Forest:
@@ -186,47 +220,62 @@ class Forest:
                 return
             a, b = a[apart], b[apart]
             np.minimum.at(self.root, np.maximum(a, b), np.minimum(a, b))
-            while (above := self.root[self.root]).tobytes() != self.root.tobytes():
+            while not np.array_equal(above := self.root[self.root], self.root):
                 self.root = above
 
 
 def link(values: np.ndarray, home: np.ndarray, bits: int) -> Forest:
     """Join all pairs within ``bits`` of which one is at home: a vantage-point
-    tree over those at home, searched by all. ``values`` are sorted."""
+    tree over those at home, searched by all."""
     forest = Forest(len(values))
-    stack = [(np.flatnonzero(home), np.arange(len(values)))]
+    stack = [(np.flatnonzero(home), np.arange(len(values)), True)]
     while stack:
-        data, query = stack.pop()
+        data, query, whole = stack.pop()
         if not len(data) or not len(query):
             continue
         if len(data) > LEAF:
-            point = values[data[len(data) // 2]]
-            away = _distance(values[data], point)
+            point = data[len(data) // 2]
+            away, reach = _distance(values[data], values[point]), _distance(values[query], values[point])
+            close, within = away <= bits, reach <= bits
+            if whole and close.sum() > max(LEAF, len(data) // 8):
+                # One component; its members need only those within twice the bound.
+                for group in (data[close], query[within]):
+                    forest.join(group, np.full(len(group), point))
+                stack.append((data[close], query[~within & (reach <= 2 * bits)], False))
+                stack.append((data[~close & (away <= 2 * bits)], query[within], False))
+                stack.append((data[~close], query[~within], True))
+                continue
             radius = int(np.sort(away)[(len(away) - 1) // 2])
             inside = away <= radius
             if not inside.all():
-                reach = _distance(values[query], point)
-                stack.append((data[inside], query[reach <= radius + bits]))
-                stack.append((data[~inside], query[reach > radius - bits]))
+                stack.append((data[inside], query[reach <= radius + bits], whole))
+                stack.append((data[~inside], query[reach > radius - bits], whole))
                 continue
         rows = max(1, BLOCK // len(data))
         for at in range(0, len(query), rows):
             part = query[at : at + rows]
-            q, d = np.nonzero(np.bitwise_count(values[part][:, None] ^ values[data][None, :]) <= bits)
+            apart = np.zeros((len(part), len(data)), np.int32)
+            for word in range(values.shape[1]):
+                apart += np.bitwise_count(values[part, word][:, None] ^ values[data, word][None, :])
+            q, d = np.nonzero(apart <= bits)
             forest.join(part[q], data[d])
     return forest
 
 
-def links(shards: DataFrame, bits: int) -> DataFrame:
+def links(shards: DataFrame, plan: Plan) -> DataFrame:
     """(a, b) edges, b < a, of a spanning forest of every shard."""
     keys = ["segment", "leaf", "ring"]
 
-    def solve(values: np.ndarray, home: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(values, kind="stable")
-        values, home = values[order], home[order]
-        root = link(values.view(np.uint64), home, bits).root
+    def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+        rows = pa.Table.from_batches(held)
+        if len(rows) < 2:
+            return None
+        ids, home = rows.column("id").to_numpy(), rows.column("home").to_numpy()
+        values, order = _matrix(rows.column("fp").to_pylist(), plan.words), np.argsort(ids, kind="stable")
+        ids = ids[order]
+        root = link(values[order], home[order], plan.bits).root
         moved = np.flatnonzero(root != np.arange(len(root)))
-        return pa.record_batch({"a": pa.array(values[moved]), "b": pa.array(values[root[moved]])})
+        return pa.record_batch({"a": pa.array(ids[moved]), "b": pa.array(ids[root[moved]])})
 
     def work(batches):
         key, held = None, []
@@ -234,20 +283,18 @@ def links(shards: DataFrame, bits: int) -> DataFrame:
             columns = [np.asarray(batch.column(i)) for i in range(3)]
             change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
             bounds = [0, *change.tolist(), batch.num_rows]
-            fps, home = np.asarray(batch.column(3)), batch.column(4).to_numpy(zero_copy_only=False)
             for low, high in zip(bounds, bounds[1:]):
                 if low == high:
                     continue
                 this = tuple(int(c[low]) for c in columns)
                 if held and this != key:
-                    out = solve(*map(np.concatenate, zip(*held))) if len(held) > 1 or len(held[0][0]) > 1 else None
-                    if out is not None and out.num_rows:
+                    if (out := solve(held)) is not None and out.num_rows:
                         yield out
                     held = []
                 key = this
-                held.append((fps[low:high], home[low:high]))
-        if held:
-            yield solve(*map(np.concatenate, zip(*held)))
+                held.append(batch.slice(low, high - low))
+        if held and (out := solve(held)) is not None:
+            yield out
 
     dealt = shards.repartition(*keys).sortWithinPartitions(*keys)
     return dealt.mapInArrow(work, "a bigint, b bigint")
@@ -260,8 +307,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         seen = edges.union(edges.select("b", "a")).toDF("u", "v")
     else:
         seen = edges.select(F.greatest("a", "b"), F.least("a", "b")).toDF("u", "v")
-    least = stored(seen.groupBy("u").agg(F.min("v").alias("least")).select(F.col("u").alias("n"), F.least("n", "least").alias("least")), "star")
-    tied = seen.join(least, F.col("u") == F.col("n"))
+    least = seen.groupBy("u").agg(F.min("v").alias("least")).select(F.col("u").alias("n"), F.least("u", "least").alias("least"))
+    tied = seen.join(stored(least, "star"), F.col("u") == F.col("n"))
     if large:
         pairs = tied.filter("v > u").select(F.col("v").alias("a"), F.col("least").alias("b"))
     else:
@@ -283,36 +330,39 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def classes(rows: DataFrame, bits: int = BITS, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(fp, root, component) for ``rows`` (doc_id, fp): the smallest fingerprint
-    and the smallest id of each fingerprint's component."""
-    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
+def classes(rows: DataFrame, plan: Plan = EXACT, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(fp, root, component) for ``rows`` (doc_id, fp): a number and the smallest
+    id of each fingerprint's component."""
+    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    distinct = stored(distinct.withColumn("id", F.monotonically_increasing_id()), "fingerprints")
     n = distinct.count()
-    first = distinct.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toArrow().column("fp").to_numpy()
-    sample = np.ascontiguousarray(first).view(np.uint64)
-    depth = max(0, int(n / (shard_rows * 1024)).bit_length())
-    roots = components(links(deal(distinct, sample, depth, bits), bits))
-    tied = stored(distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
+    sample = _matrix(distinct.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toArrow().column("fp").to_pylist(), plan.words)
+    # Cutting by whole fingerprints helps only where few reach across a radius.
+    cells = 2 ** min(64 * plan.words // plan.segments, 13)
+    depth = int(n / (shard_rows * cells)).bit_length() if 8 * plan.bits <= 64 * plan.words else 0
+    roots = components(links(deal(distinct, sample, depth, plan), plan))
+    tied = distinct.join(roots, F.col("id") == F.col("node"), "left")
+    tied = stored(tied.select("fp", "least", F.coalesce("root", "id").alias("root")), "rooted")
     top = stored(tied.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("component")), "components")
     return tied.join(top, F.col("root") == F.col("of")).select("fp", "root", "component")
 
 
-def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE) -> DataFrame:
+def near_duplicates(docs: DataFrame, plan: Plan = EXACT) -> DataFrame:
     """(doc_id, version, fp, root, component) of every document; ``version`` is
     a hash of the text, to tell texts of one id apart."""
-    rows = stored(docs.select("doc_id", F.xxhash64("text").alias("version"), fingerprints(F.col("text"), shingle).alias("fp")), "simhash")
-    found = classes(rows.select("doc_id", "fp"), bits)
+    rows = stored(docs.select("doc_id", F.xxhash64("text").alias("version"), fingerprints(F.col("text"), plan).alias("fp")), "simhash")
+    found = classes(rows.select("doc_id", "fp"), plan)
     found = stored(found.select(F.col("fp").alias("of"), "root", "component"), "classes")
     return rows.join(found, F.col("fp") == F.col("of")).select("doc_id", "version", "fp", "root", "component")
 
 
-def keep_one(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE) -> DataFrame:
+def keep_one(docs: DataFrame, plan: Plan = SIMILAR) -> DataFrame:
     """One document of each component: that of the smallest id, of several
     texts of that id the first by hash. Ids that are NULL come last."""
-    marked = stored(near_duplicates(docs, bits, shingle), "near-duplicates")
+    marked = stored(near_duplicates(docs, plan), "near-duplicates")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp", "version")
-    keepers = stored(marked.groupBy("root").agg(F.min(place).alias("keeper")), "keepers")
-    others = marked.join(keepers.select(F.col("root").alias("of"), "keeper"), F.col("root") == F.col("of"))
+    keepers = stored(marked.groupBy(F.col("root").alias("of")).agg(F.min(place).alias("keeper")), "keepers")
+    others = marked.join(keepers, F.col("root") == F.col("of"))
     is_keeper = place.eqNullSafe(F.col("keeper"))
     repeated = others.filter(is_keeper).groupBy("of").agg(F.count("*").alias("n")).filter("n > 1")
     name = fresh(docs, "_version")
