@@ -268,6 +268,13 @@ def expected(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.nda
             sums.emit[:, z] += np.bincount(seen, alpha[:, z], len(sums.emit))
 
 
+def in_pieces(starts: np.ndarray, lengths: np.ndarray, size: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of pieces of at most ``size`` that make up the sequences."""
+    parts = np.maximum(1, -(-lengths // size))
+    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    return np.repeat(starts, parts) + nth * size, np.minimum(size, np.repeat(lengths, parts) - nth * size)
+
+
 def first_model(lex: Lexicon, states: int) -> Model:
     """Unigram emissions, each token leaning to the state its ending hashes to,
     and states that last. Ties of the states are broken alike on every run."""
@@ -300,14 +307,7 @@ def train(encoded: DataFrame, lex: Lexicon, states: int = STATES, rounds: int =
         sums = Model(np.zeros(states), np.zeros((states, states)), np.zeros((SYMBOLS + CLASSES, states)))
         for batch in batches:
             flat, offsets = _rows(batch, "symbols")
-            starts, lengths = offsets[:-1].astype(np.int64), np.diff(offsets)
-            # Long texts are trained on in pieces.
-            parts = np.maximum(1, -(-lengths // PIECE))
-            first = np.repeat(np.cumsum(parts) - parts, parts)
-            nth = np.arange(len(first)) - first
-            starts = np.repeat(starts, parts) + nth * PIECE
-            lengths = np.minimum(PIECE, np.repeat(lengths, parts) - nth * PIECE)
-            expected(shared.value, flat, starts, lengths, sums)
+            expected(shared.value, flat, *in_pieces(offsets[:-1].astype(np.int64), np.diff(offsets)), sums)
         rows = np.vstack([sums.emit, sums.move * shared.value.move, sums.start[None]])
         used = np.flatnonzero(rows.any(1))
         yield pa.record_batch([pa.array(used.astype(np.int32)), *(pa.array(rows[used, z]) for z in range(states))], ["row", *names])

@@ -175,7 +175,7 @@ def segments(plan: Plan) -> list[np.ndarray]:
 
 
 def segment_values(values: np.ndarray, plan: Plan) -> Iterator[np.ndarray]:
-    bits = np.unpackbits(values.astype(">u8").view(np.uint8).reshape(len(values), -1), axis=1).astype(np.int64)
+    bits = np.unpackbits(values.astype(">u8").view(np.uint8).reshape(len(values), 8 * plan.words), axis=1).astype(np.int64)
     for places in segments(plan):
         yield bits[:, places] @ (1 << np.arange(len(places), dtype=np.int64))
 
