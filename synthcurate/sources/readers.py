@@ -54,9 +54,18 @@ def read_templates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def packaged_templates() -> dict[str, str]:
-    """The templates that come with this package, by name."""
+    """The templates that come with this package, by name.
+
+    A ``_bg_`` template also has a form with a ticker, under two names: the
+    name chooses the ticker pool, the body is the same.
+    """
     folder = resources.files("synthcurate") / "templates"
-    return {f.name.removesuffix(".txt"): f.read_text("utf-8") for f in folder.iterdir() if f.name.endswith(".txt")}
+    bodies = {f.name.removesuffix(".txt"): f.read_text("utf-8") for f in folder.iterdir() if f.name.endswith(".txt")}
+    timed = {
+        name.replace("_bg_", f"_bg_{pool}-time-info_"): body.replace("Task: one", "Task: about {stock_ticker}, one")
+        for name, body in bodies.items() if "_bg_" in name for pool in ("train", "test")
+    }
+    return bodies | timed
 
 
 def default_templates(spark: SparkSession) -> DataFrame:
@@ -69,9 +78,11 @@ def template_in_name(name: Column) -> Column:
 
 
 def read_named_datasets(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored examples of every ``*prompt=*.json`` file, with its dataset name."""
+    """Stored examples of every ``*prompt=*.json`` file of the folder itself,
+    with its dataset name. Settings in folders below have names of that form
+    too and are not read. A broken file is an error."""
     rows = (
-        spark.read.schema(schemas.EXAMPLE).option("multiLine", True).option("recursiveFileLookup", True)
+        spark.read.schema(schemas.EXAMPLE).option("multiLine", True).option("mode", "FAILFAST")
         .option("pathGlobFilter", "*prompt=*.json").json(folder)
     )
     return rows.withColumn("dataset", F.col("_metadata.file_name"))
@@ -107,8 +118,13 @@ def stamp_in_name(name: Column) -> Column:
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """Benchmark records of a folder with the time from the file name."""
-    rows = spark.read.schema(schemas.BENCHMARK).option("multiLine", True).option("pathGlobFilter", "*.json").json(path)
-    return rows.withColumn("run_id", F.col("_metadata.file_name")).withColumn(
-        "finished_at", stamp_in_name(F.col("run_id"))
-    )
+    """Benchmark records of a folder: files that are one record each, with the
+    time in their name, and files with a record per line, which hold its
+    ``run_id`` and ``finished_at``. A broken file is an error."""
+    stored = T.StructType([*schemas.BENCHMARK.fields, T.StructField("run_id", T.StringType()), T.StructField("finished_at", T.TimestampNTZType())])
+    reader = spark.read.option("mode", "FAILFAST")
+    lines = reader.schema(stored).option("timestampNTZFormat", schemas.MICROS).option("pathGlobFilter", "part-*.json").json(path)
+    single = reader.schema(schemas.BENCHMARK).option("multiLine", True).option("pathGlobFilter", "*.json").json(path)
+    name = F.col("_metadata.file_name")
+    single = single.filter(~name.startswith("part-")).withColumn("run_id", name).withColumn("finished_at", stamp_in_name(name))
+    return single.unionByName(lines)
