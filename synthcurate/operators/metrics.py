@@ -106,12 +106,13 @@ def box_figures(
     runs: DataFrame, measures: tuple[str, ...] = MEASURES, by: str = "gpu_config", key: str = "run_id",
 ) -> tuple[DataFrame, DataFrame]:
     """Box-plot figures per measure and group (quartiles, whiskers within 1.5
-    IQR, number of outliers), and the outlying runs with their ``figure``."""
+    IQR, number of outliers), and the outlying runs with their ``figure``. Runs
+    without a figure, or with NaN, count nowhere."""
     groups = ["measure", by]
     # Both measures in one pass, as rows.
     figures = runs.select(by, key, F.inline(F.array(
         *[F.struct(F.lit(m).alias("measure"), F.col(m).alias("figure")) for m in measures]
-    )))
+    ))).filter(F.col("figure").isNotNull() & ~F.isnan("figure"))
     q = broadcast_if_small(quartiles(figures, groups, "figure"))
     iqr = F.col("q3") - F.col("q1")
     inside = F.col("figure").between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr)

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,7 +114,7 @@ def running_totals(
         amount = F.lit(1).cast("bigint")
     else:
         schema = T.StructType([*df.schema.fields, T.StructField("_inside", T.LongType())])
-        rows = rows.mapInPandas(_cumulate(value), schema).withColumn("_part", F.spark_partition_id())
+        rows = rows.mapInArrow(_cumulate(df.columns.index(value)), schema).withColumn("_part", F.spark_partition_id())
         amount = F.col(value).cast("bigint")
     rows = materialize(rows)
     # One row per partition and group that share rows: partitions + groups.
@@ -129,17 +131,17 @@ def running_totals(
     return placed.select(*df.columns, (F.col("_inside") + F.col("_shift")).alias(before), *extra)
 
 
-def _cumulate(value: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Running total of ``value`` before each row of a sorted partition."""
+def _cumulate(at: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Running total of column ``at`` before each row of a sorted partition. All
+    columns pass through as Arrow has them, NULLs and large numbers included."""
 
-    def cumulate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         so_far = 0
-        for frame in frames:
-            amounts = frame[value].fillna(0).astype("int64")
+        for batch in batches:
+            amounts = np.asarray(pc.fill_null(batch.column(at).cast(pa.int64()), 0))
             upto = amounts.cumsum() + so_far
-            frame["_inside"] = upto - amounts
-            if len(frame):
-                so_far = int(upto.iloc[-1])
-            yield frame
+            if len(amounts):
+                so_far = int(upto[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(upto - amounts)], names=[*batch.schema.names, "_inside"])
 
     return cumulate

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from synthcurate import schemas
+from synthcurate.functions.completion import STRICT, Gate
 from synthcurate.functions.text import fewshot_json, ticker_text
 from synthcurate.session import broadcast_if_small
 
@@ -18,13 +16,9 @@ _SLOT = rf"(?<!\{{)\{{(?:{_NAMES})\}}(?!\}})"
 _ANY_SLOT = r"(?<!\{)\{(\w+)\}(?!\})"
 
 
-def format_instructions() -> str:
-    """What a completion must look like, derived from the example schema."""
-    fields = {f.name: f.dataType.simpleString() for f in schemas.EXAMPLE.fields}
-    return (
-        "Answer with a JSON list. Each element is an object with exactly these keys and value types: "
-        + json.dumps(fields)
-    )
+def format_instructions(spec: Gate = STRICT) -> str:
+    """What a completion must look like, derived from the gate it will meet."""
+    return spec.instructions()
 
 
 def mode_of(template: Column) -> Column:
@@ -46,7 +40,8 @@ def pool_of(template: Column) -> Column:
 def catalog(templates: DataFrame) -> DataFrame:
     """Add mode, pool, background flag and the body cut at its slots.
 
-    ``parts`` alternates text and ``{slot}``; a slot nobody can fill is an error.
+    ``parts`` alternates text, doubled braces undone, and ``{slot}``; a slot
+    nobody can fill is an error.
     """
     used = F.array_distinct(F.regexp_extract_all(F.col("body"), F.lit(_ANY_SLOT), 1))
     unknown = F.array_except(used, F.array(*map(F.lit, SLOTS)))
@@ -59,7 +54,10 @@ def catalog(templates: DataFrame) -> DataFrame:
         mode_of(F.col("template")).alias("mode"),
         pool_of(F.col("template")).alias("pool"),
         F.contains(F.col("template"), F.lit("_bg_")).alias("uses_bg"),
-        F.split(body, f"(?={_SLOT})|(?<=(?<!\\{{)\\{{(?:{_NAMES})\\}}(?!\\}}))").alias("parts"),
+        F.transform(
+            F.split(body, f"(?={_SLOT})|(?<=(?<!\\{{)\\{{(?:{_NAMES})\\}}(?!\\}}))"),
+            lambda part: F.replace(F.replace(part, F.lit("{{"), F.lit("{")), F.lit("}}"), F.lit("}")),
+        ).alias("parts"),
     )
 
 
@@ -73,7 +71,7 @@ def filled(parts: Column, values: dict[str, Column]) -> Column:
     so a value that itself contains ``{...}`` stays as it is."""
 
     def value(part: Column) -> Column:
-        out = F.replace(F.replace(part, F.lit("{{"), F.lit("{")), F.lit("}}"), F.lit("}"))
+        out = part
         for slot, col in values.items():
             out = F.when(part == "{" + slot + "}", col).otherwise(out)
         return out
@@ -81,15 +79,19 @@ def filled(parts: Column, values: dict[str, Column]) -> Column:
     return F.array_join(F.transform(parts, value), "")
 
 
-def with_prompt(inputs: DataFrame, templates: DataFrame) -> DataFrame:
-    """Add ``prompt`` to rows of (template, examples, stock_ticker)."""
+def with_prompt(inputs: DataFrame, templates: DataFrame, spec: Gate = STRICT) -> DataFrame:
+    """Add ``prompt`` to rows of (template, examples, stock_ticker). A template
+    that is not in the catalog is an error."""
     parts = broadcast_if_small(templates.select("template", "parts"))
+    missing = F.raise_error(F.concat(F.lit("no such template: "), F.coalesce("template", F.lit("NULL"))))
     values = {
-        "format_instructions": F.lit(format_instructions()),
+        "format_instructions": F.lit(format_instructions(spec)),
         "examples": F.coalesce(F.col("examples"), F.lit("")),
         "stock_ticker": F.coalesce(F.col("stock_ticker"), F.lit("")),
     }
-    return inputs.join(parts, "template").withColumn("prompt", filled(F.col("parts"), values)).drop("parts")
+    rows = inputs.join(parts, "template", "left")
+    known = F.when(F.col("parts").isNotNull(), F.col("parts")).otherwise(missing)
+    return rows.withColumn("prompt", filled(known, values)).drop("parts")
 
 
 def prompt_inputs(
@@ -113,8 +115,11 @@ def distinct_prompts(inputs: DataFrame, templates: DataFrame) -> DataFrame:
     ``prompt_key`` can be computed from a request's own slot values, so
     requests refer to the shared text without a join.
     """
-    uses = inputs.groupBy("template", "examples", "stock_ticker").agg(F.count("*").alias("n_uses"))
-    return with_prompt(uses, templates).withColumn("prompt_key", prompt_key())
+    slots = ("template", "examples", "stock_ticker")
+    uses = inputs.withColumn("prompt_key", prompt_key()).groupBy("prompt_key").agg(
+        F.count("*").alias("n_uses"), *[F.any_value(c).alias(c) for c in slots]
+    )
+    return with_prompt(uses, templates)
 
 
 def prompt_key() -> Column:

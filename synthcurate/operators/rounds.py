@@ -151,7 +151,7 @@ def run_rounds(
     spark = prompts.sparkSession
     path = path or scratch_path(spark, "attempts")
     open_prompts = prompts
-    done = None
+    done = spark.createDataFrame([], schemas.ACCEPTED)
     for round_no in range(first_round, first_round + max_rounds):
         answers = completer(open_prompts, round_no, f"{path}/raw/attempt={round_no}")
         gated = gate(answers.withColumn("attempt", F.lit(round_no).cast("bigint")), strict, clean)

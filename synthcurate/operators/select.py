@@ -14,15 +14,15 @@ def with_letter(examples: DataFrame) -> DataFrame:
     return examples.filter(has_letter(F.col("headline")))
 
 
-def first_headlines(examples: DataFrame, order: list[str], by: list[str] | None = None) -> DataFrame:
-    """Keep the first row (by ``order``) of each exact headline, per ``by``.
+def first_headlines(examples: DataFrame, order: list[str], by: list[str] | None = None, field: str = "headline") -> DataFrame:
+    """Keep the first row (by ``order``) of each exact ``field``, per ``by``.
 
     ``min_by`` keeps one candidate per headline and map task, so a headline
     repeated by a third of all rows reaches its reducer as one row per task.
     The hash leads the grouping key only to make sorting cheap; the headline
     itself decides equality.
     """
-    keys = [*(by or []), "headline"]
+    keys = [*(by or []), field]
     rest = [c for c in examples.columns if c not in keys]
     first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
     return (

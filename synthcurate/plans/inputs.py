@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from synthcurate.functions.text import json_text
+from synthcurate.functions.text import json_text, model_name
 from synthcurate.session import configure
 
 # Template names as stored datasets carry them, and model names in
@@ -57,6 +57,10 @@ def letters(n: Column) -> Column:
     return F.translate(n.cast("string"), "0123456789", "ABCDEFGHIJ")
 
 
+def _link(doc: Column) -> Column:
+    return F.when(doc % 7 == 0, F.concat(F.lit("https://x.example/$ABC/"), doc, F.lit(" "))).otherwise("")
+
+
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
@@ -68,15 +72,24 @@ class Inputs:
     def headlines(self) -> DataFrame:
         """row_id, split, label, text"""
         doc = F.col("doc_id")
-        url = F.when(doc % 7 == 0, F.concat(F.lit("https://x.example/$ABC/"), doc, F.lit(" "))).otherwise("")
         ticker = F.when(doc % 4 == 0, "").otherwise(F.concat(F.lit("$"), letters(doc % 97), F.lit(" - ")))
         return self.table("documents").join(self.table("labels"), "doc_id").select(
             doc.alias("row_id"),
             F.when(doc % 5 == 0, "validation").otherwise("train").alias("split"),
             F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 1, 1).otherwise(2).alias("label"),
-            F.concat(url, ticker, F.col("text")).alias("text"),
+            F.concat(_link(doc), ticker, F.col("text")).alias("text"),
         )
 
+    def links(self) -> DataFrame:
+        """doc_id, text: every document, some of them behind a link"""
+        return self.table("documents").select("doc_id", F.concat(_link(F.col("doc_id")), F.col("text")).alias("text"))
+
+    def by_dataset(self, rows: DataFrame) -> DataFrame:
+        """Rows with the ``model`` and ``prompt`` of their dataset. Both follow
+        from ``prompt_id``, so nothing is joined."""
+        key = F.col("prompt_id")
+        return rows.withColumn("model", model_name(_pick(MODELS, key))).withColumn("prompt", _pick(TEMPLATES, key))
+
     def requests(self) -> DataFrame:
         """prompt_id, template, model"""
         ids = self.table("conversations").select(F.col("conv_id").alias("prompt_id")).distinct()

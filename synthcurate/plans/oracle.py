@@ -80,6 +80,12 @@ SENTIMENT_OK = (
 )
 
 
+TEXTS_OK = (
+    "(coalesce(json_type(x, '$.headline') = 'VARCHAR' and regexp_matches(x->>'$.headline', '^\\$|^Shares|^[A-Z0-9]')"
+    " and json_type(x, '$.sentiment') = 'VARCHAR', false))"
+)
+
+
 def every(test: str, items: str) -> str:
     return f"len(list_filter({items}, lambda x: not {test})) = 0"
 
@@ -144,6 +150,10 @@ select prompt_id, attempt, listed as items,
     "lenient": f"""
 select prompt_id, attempt, either as items,
  coalesce({every(f'({KEYS_OK} and {HEADLINE_OK})', 'either')}, false) as ok from listed""",
+    "custom": f"""
+select prompt_id, attempt, either as items,
+ coalesce({every(f'({KEYS_OK} and {TEXTS_OK})', 'either')}, false) as ok from listed""",
+    "examples_custom": flattened("custom"),
     "examples": flattened("strict"),
     "examples_lenient": flattened("lenient"),
     "named": f"select prompt_id, {model_name('model')} as model, template as prompt from requests",
@@ -220,7 +230,11 @@ from measures m join quartiles q on m.measure = q.measure and m.gpu_config = q.g
 
 BODIES: dict[str, str] = {
     "scan_labeled": "select split, label, text from headlines",
-    "scan_synthetic": "select model, prompt, prompt_id, attempt, pos, headline, sentiment from datasets",
+    "scan_synthetic": """
+select concat(model, '_', count(*) over (partition by model, prompt), '_prompt=', prompt, '.json') as dataset, headline, sentiment
+from datasets""",
+    "named_files": """
+select concat(model, '_', count(*), '_prompt=', prompt, '.json') as file, count(*) as n from datasets group by model, prompt""",
     "write_roundtrip": "select model, prompt, prompt_id, attempt, pos, headline, sentiment from datasets",
     "missing_datasets": """
 select model, prompt, prompt_id, attempt, pos, headline from datasets d where not exists (
@@ -229,7 +243,9 @@ select model, prompt, prompt_id, attempt, pos, headline from datasets d where no
 select concat({model_name('model')}, '_prompt=', template, '_metadata.json') as file, count(*) as num_prompts,
  model, template as prompt, '3' as num_shots, '1.0' as temperature, '0.95' as top_p
 from requests group by model, template""",
-    "strip_urls": r"select row_id, regexp_replace(text, 'https?://\S+', '', 'g') as text from headlines",
+    "strip_urls": r"""
+select doc_id, regexp_replace(concat(case when doc_id % 7 = 0 then concat('https://x.example/$ABC/', doc_id, ' ') else '' end, text),
+ 'https?://\S+', '', 'g') as text from documents""",
     "ticker_pool": "select row_id, pool, ticker from pool",
     "ticker_freq": "select pool, ticker, count(*) as n from pool group by pool, ticker",
     "clean_completions": "select prompt_id, attempt, t as text from cleaned",
@@ -254,11 +270,15 @@ from cleaned""",
 select 'lenient' as gate, reason, count(*) as n from (select {reason('either', False)} as reason from listed) group by reason
 union all
 select 'strict', reason, count(*) from (select {reason('listed', True)} as reason from listed) group by reason""",
+    "gate_none": """
+select prompt_id, attempt, json_valid(t) as ok, case when json_valid(t) then 1 else -1 end as n_items from cleaned""",
+    "gate_custom": "select prompt_id, attempt, ok, case when ok then len(items) else -1 end as n_items from custom",
+    "flatten_custom": "select * from examples_custom",
     "flatten_examples": "select * from examples",
     "flatten_lenient": "select * from examples_lenient",
     "template_catalog": """
-select t.*, r.n_requests from templates t
-join (select template, count(*) as n_requests from requests group by template) r on t.template = r.template""",
+select t.*, coalesce(r.n_requests, 0) as n_requests from templates t
+left join (select template, count(*) as n_requests from requests group by template) r on t.template = r.template""",
     "ticker_draw_worepl": "select prompt_id, slot, ticker from worepl",
     "ticker_draw_repl": "select prompt_id, slot::bigint as slot, ticker from repl",
     "ticker_text": "select prompt_id, stock_ticker from ticker_texts",
@@ -290,7 +310,9 @@ select prompt, prompt_id, attempt, n_items, before from (
    rows between unbounded preceding and 1 preceding), 0)::bigint as before
  from strict s join named n on s.prompt_id = n.prompt_id where s.ok) where before < 10""",
     "resume_union": """
-select 0 as phase, model, prompt, prompt_id, attempt, pos, headline, sentiment from datasets where attempt = 1
+select 0 as phase, model, prompt, null::bigint as prompt_id, null::bigint as attempt,
+ row_number() over (partition by model, prompt order by prompt_id, attempt, pos) - 1 as pos, headline, sentiment
+from datasets where attempt = 1
 union all
 select 1, d.model, d.prompt, d.prompt_id, d.attempt, d.pos, d.headline, d.sentiment from datasets d join (
  select s.prompt_id, s.attempt, n.model, n.prompt, coalesce(sum(len(s.items)) over (partition by n.model, n.prompt
@@ -302,9 +324,7 @@ select 1, d.model, d.prompt, d.prompt_id, d.attempt, d.pos, d.headline, d.sentim
     "apply_provider": """
 select prompt_id, concat('[{"headline": "Prompt of ', length(prompt), ' characters", "sentiment": "2"}]') as raw,
  null::varchar as error from rendered""",
-    "retry_rounds": """
-select prompt_id, min(attempt) as attempt, arg_min(len(items), attempt) as n_items
-from strict where ok and attempt between 1 and 3 group by prompt_id""",
+    "retry_rounds": "select prompt_id, attempt, n_items from first_valid",
     "letter_filter": "select doc_id, text as headline from documents where regexp_matches(text, '[a-zA-Z]')",
     "dedup_headline": """
 select * from datasets qualify row_number() over (partition by model, prompt, headline order by prompt_id, attempt, pos) = 1""",
@@ -317,7 +337,7 @@ select * from (
  select * from datasets qualify row_number() over (partition by model, prompt, headline order by prompt_id, attempt, pos) = 1)
 where regexp_matches(headline, '[a-zA-Z]') qualify row_number() over (
  partition by model, prompt order by {hash60("'42'", "'sample'", 'prompt_id', 'attempt', 'pos')}, prompt_id, attempt, pos) <= 5""",
-    "stream_curate": "select distinct headline from examples",
+    "stream_curate": "select distinct model, prompt, headline from datasets",
     "throughput": """
 select run_id, num_examples, round(throughput, 6) as throughput, round(rows_written / total_time, 6) as written_per_second from runs""",
     "benchmark_union": """
@@ -325,6 +345,12 @@ select run_id, num_examples, total_time, gpu_config, case when gpu_config = '2 G
     "runs_ordered": """
 select gpu_config, row_number() over (partition by gpu_config order by finished_at, run_id) as run_no, run_id, total_time
 from runs order by gpu_config, run_no""",
+    "benchmark_files": """
+select gpu_config, row_number() over (partition by gpu_config order by finished_at, cast(run_id as varchar)) as run_no, run_id,
+ finished_at, num_examples from runs""",
+    "run_grid_modes": """
+select prompt_id, template, 'm' as model, case when contains(template, 'zero-shot') then 'zero-shot' else 'few-shot' end as mode
+from requests""",
     "benchmark_summary": """
 select gpu_config, """ + ", ".join(
         f"round({fn}({m}), 6) as {m}_{name}"
@@ -357,4 +383,5 @@ def compose(body: str) -> str:
     return f"with {parts} {body.strip()}"
 
 
+BODIES["summary_csv"] = BODIES["benchmark_summary"]
 ORACLE: dict[str, str] = {name: compose(body) for name, body in BODIES.items()}

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from synthcurate.functions import text as tx
+from synthcurate.functions.completion import Field, Gate
 from synthcurate.operators import draws, gate, metrics, prompts, rounds, select
 from synthcurate.plans.curate import CurationSpec, curate
 from synthcurate.plans.inputs import Inputs
-from synthcurate.session import materialize, scratch_path
+from synthcurate.session import broadcast_if_small, join_on, materialize, scratch_path
 from synthcurate.sources import readers, sinks
 from synthcurate.streaming import curate as streaming
 
@@ -25,20 +28,12 @@ def query(fn: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
     return fn
 
 
-def _by_dataset(rows: DataFrame, i: Inputs) -> DataFrame:
-    """Rows with the ``model`` and ``prompt`` columns of their dataset."""
-    names = i.requests().select(
-        "prompt_id", tx.model_name(F.col("model")).alias("model"), F.col("template").alias("prompt")
-    )
-    return rows.join(names, "prompt_id")
-
-
 def _examples(i: Inputs, strict: bool = True) -> DataFrame:
     return gate.flatten(gate.gate(i.completions(), strict))
 
 
 def _datasets(i: Inputs) -> DataFrame:
-    return _by_dataset(_examples(i), i)
+    return i.by_dataset(_examples(i))
 
 
 def _stored(i: Inputs, fmt: str = "parquet") -> DataFrame:
@@ -82,7 +77,28 @@ def scan_labeled(i: Inputs) -> DataFrame:
 
 @query
 def scan_synthetic(i: Inputs) -> DataFrame:
-    return _stored(i, "json").select("model", "prompt", "prompt_id", "attempt", "pos", "headline", "sentiment")
+    """Datasets as named array files, with settings files below them."""
+    folder = scratch_path(i.spark, "named")
+    _named_files(i, _datasets(i), folder)
+    settings = i.requests().select(
+        F.concat(F.lit("metadata_"), tx.model_name(F.col("model")), F.lit("_prompt="), "template", F.lit(".json")).alias("file")
+    ).distinct()
+    element = tx.object_json(MODEL=tx.json_text(F.col("file")))
+    sinks.write_named_arrays(settings, f"{folder}/metadata", F.col("file"), [], element)
+    return readers.read_named_datasets(i.spark, folder).select("dataset", "headline", "sentiment")
+
+
+def _named_files(i: Inputs, rows: DataFrame, folder: str) -> DataFrame:
+    """Write each dataset as ``<model>_<n>_prompt=<template>.json``."""
+    sizes = metrics.dataset_counts(rows, ["model", "prompt"])
+    sized = join_on(rows, broadcast_if_small(sizes), ["model", "prompt"])
+    name = tx.dataset_name(F.col("model"), F.col("n"), F.col("prompt"))
+    return sinks.write_named_arrays(sized, folder, name, ["prompt_id", "attempt", "pos"])
+
+
+@query
+def named_files(i: Inputs) -> DataFrame:
+    return _named_files(i, _datasets(i), scratch_path(i.spark, "named"))
 
 
 @query
@@ -119,7 +135,7 @@ def run_metadata(i: Inputs) -> DataFrame:
 
 @query
 def strip_urls(i: Inputs) -> DataFrame:
-    return i.headlines().select("row_id", tx.strip_urls(F.col("text")).alias("text"))
+    return i.links().select("doc_id", tx.strip_urls(F.col("text")).alias("text"))
 
 
 @query
@@ -172,7 +188,7 @@ def parse_completions(i: Inputs) -> DataFrame:
     )
 
 
-def _verdicts(i: Inputs, strict: bool) -> DataFrame:
+def _verdicts(i: Inputs, strict: bool | Gate | None) -> DataFrame:
     rows = gate.gate(i.completions(), strict)
     return rows.select("prompt_id", "attempt", F.col("items").isNotNull().alias("ok"),
                        F.coalesce("n_items", F.lit(-1)).alias("n_items"))
@@ -190,9 +206,26 @@ def gate_strict(i: Inputs) -> DataFrame:
 
 @query
 def reject_reasons(i: Inputs) -> DataFrame:
-    lenient = gate.reason_counts(i.completions(), strict=False).withColumn("gate", F.lit("lenient"))
-    strict = gate.reason_counts(i.completions(), strict=True).withColumn("gate", F.lit("strict"))
-    return lenient.unionByName(strict)
+    return gate.reason_counts(i.completions(), {"lenient": False, "strict": True})
+
+
+@query
+def gate_none(i: Inputs) -> DataFrame:
+    return _verdicts(i, None)
+
+
+#: Another schema over the same completions: any headline, sentiments as text.
+TEXTS = Gate((Field("headline", ("STRING",), r"^\$|^Shares|^[A-Z0-9]"), Field("sentiment", ("STRING",))), single=True)
+
+
+@query
+def gate_custom(i: Inputs) -> DataFrame:
+    return _verdicts(i, TEXTS)
+
+
+@query
+def flatten_custom(i: Inputs) -> DataFrame:
+    return gate.flatten(gate.gate(i.completions(), TEXTS))
 
 
 @query
@@ -210,8 +243,14 @@ def flatten_lenient(i: Inputs) -> DataFrame:
 
 @query
 def template_catalog(i: Inputs) -> DataFrame:
+    """Every template read from files, with the requests that name it."""
+    folder = scratch_path(i.spark, "templates")
+    bodies = readers.default_templates(i.spark)
+    file = F.concat("template", F.lit(".txt"))
+    sinks.write_named_texts(bodies, folder, file, F.col("body"))
     uses = i.requests().groupBy("template").agg(F.count("*").alias("n_requests"))
-    return uses.join(_templates(i).drop("parts"), "template")
+    catalog = prompts.catalog(readers.read_templates(i.spark, folder)).drop("parts")
+    return catalog.join(uses, "template", "left").withColumn("n_requests", F.coalesce("n_requests", F.lit(0)))
 
 
 def _slots(drawn: DataFrame) -> DataFrame:
@@ -261,6 +300,13 @@ def prompt_reuse(i: Inputs) -> DataFrame:
     return shared.select("prompt_key", "template", "n_uses", "prompt")
 
 
+@query
+def run_grid_modes(i: Inputs) -> DataFrame:
+    zero = prompts.run_grid(i.requests().drop("model"), ["m"], "zero-shot").withColumn("mode", F.lit("zero-shot"))
+    few = prompts.run_grid(i.requests().drop("model"), ["m"], "few-shot").withColumn("mode", F.lit("few-shot"))
+    return zero.unionByName(few)
+
+
 @query
 def run_grid(i: Inputs) -> DataFrame:
     models = ["llama3.1-8b", "llama3.3-70b", "qwen2.5:7b", "qwen2.5:32b"]
@@ -284,7 +330,11 @@ def next_batch(i: Inputs) -> DataFrame:
 
 @query
 def align_aux(i: Inputs) -> DataFrame:
-    return rounds.align_aux(i.requests(), i.aux())
+    path = scratch_path(i.spark, "aux")
+    element = tx.object_json(idx=F.col("prompt_id").cast("string"), opening=tx.json_text(F.col("opening")))
+    sinks.write_named_arrays(i.aux(), path, F.concat(F.lit("aux-"), F.pmod("prompt_id", F.lit(8)), F.lit(".json")), ["prompt_id"], element)
+    aux = readers.read_aux(i.spark, path, T.StructType.fromDDL("idx bigint, opening string"))
+    return rounds.align_aux(i.requests(), aux)
 
 
 @query
@@ -304,7 +354,7 @@ def unfilled_prompts(i: Inputs) -> DataFrame:
 @query
 def quota_take(i: Inputs) -> DataFrame:
     gated = gate.gate(i.completions())
-    counts = _by_dataset(gated, i).filter(F.col("n_items").isNotNull())
+    counts = i.by_dataset(gated).filter(F.col("n_items").isNotNull())
     return rounds.take_quota(
         counts.select("prompt", "prompt_id", "attempt", "n_items"), 10, ["prompt_id", "attempt"], ["prompt"]
     )
@@ -312,10 +362,16 @@ def quota_take(i: Inputs) -> DataFrame:
 
 @query
 def resume_union(i: Inputs) -> DataFrame:
-    path = scratch_path(i.spark, "earlier")
-    gated = materialize(_by_dataset(gate.gate(i.completions()), i))
-    sinks.write_examples(gate.flatten(gated.filter(F.col("attempt") == 1)), path)
-    earlier = readers.read_examples(i.spark, path)
+    """First attempts as an earlier run in files, read back for one template
+    each; later attempts fill up to the target."""
+    folder = scratch_path(i.spark, "earlier")
+    gated = materialize(i.by_dataset(gate.gate(i.completions())))
+    first = gate.flatten(gated.filter(F.col("attempt") == 1))
+    files = _named_files(i, first, folder).select(readers.template_in_name(F.col("file"))).distinct().collect()  # a row per template
+    parts = [readers.read_resume(i.spark, f"{folder}/*_prompt={t}.json", t).withColumn("prompt", F.lit(t)) for (t,) in files]
+    rows = reduce(DataFrame.unionByName, parts)
+    model, _, _ = tx.dataset_parts(F.element_at(F.split("file", "/"), -1))
+    earlier = rows.withColumn("model", model).withColumn("prompt_id", F.lit(None).cast("bigint")).withColumn("attempt", F.lit(None).cast("bigint")).drop("file")
     fresh = gated.filter(F.col("attempt") > 1)
     union = rounds.resume_with(earlier, fresh, 4, ["model", "prompt"], ["prompt_id", "attempt"])
     return union.select("phase", "model", "prompt", "prompt_id", "attempt", "pos", "headline", "sentiment")
@@ -334,7 +390,10 @@ def apply_provider(i: Inputs) -> DataFrame:
 
 @query
 def retry_rounds(i: Inputs) -> DataFrame:
-    accepted, _ = rounds.run_rounds(i.requests(), rounds.replay_completer(i.completions()), max_rounds=3)
+    """One round for each attempt there is, as long as prompts are open."""
+    low, high = i.completions().agg(F.min("attempt"), F.max("attempt")).first()
+    n = 0 if low is None else high - low + 1
+    accepted, _ = rounds.run_rounds(i.requests(), rounds.replay_completer(i.completions()), max_rounds=n, first_round=low or 1)
     return accepted.select("prompt_id", "attempt", "n_items")
 
 
@@ -365,7 +424,7 @@ def sample_per_dataset(i: Inputs) -> DataFrame:
 
 def curated(i: Inputs) -> DataFrame:
     """Completions to distinct accepted headlines per dataset; lazy."""
-    return curate(_by_dataset(i.completions(), i), CurationSpec(by=("model", "prompt")))
+    return curate(i.by_dataset(i.completions()), CurationSpec(by=("model", "prompt")))
 
 
 @query
@@ -384,11 +443,11 @@ def stream_curate(i: Inputs) -> DataFrame:
     completions = i.completions()
     completions.write.parquet(landing)
     landed = i.spark.readStream.schema(completions.schema).parquet(landing)
-    # Which of equal headlines comes first depends on arrival, so only the
-    # headline itself is comparable with the batch job.
-    rows = streaming.curate_stream(landed).select("headline")
+    # Which of equal headlines comes first depends on arrival, so what is
+    # comparable with the batch job is the dataset and the headline.
+    rows = streaming.curate_stream(i.by_dataset(landed), CurationSpec(by=("model", "prompt"))).select("model", "prompt", "headline")
     streaming.start(rows, out, state).awaitTermination()
-    return i.spark.read.schema("headline string").parquet(out)
+    return i.spark.read.schema("model string, prompt string, headline string").parquet(out)
 
 
 # --- run statistics ------------------------------------------------------------------
@@ -418,6 +477,24 @@ def runs_ordered(i: Inputs) -> DataFrame:
     return ordered.select("gpu_config", "run_no", "run_id", "total_time")
 
 
+@query
+def benchmark_files(i: Inputs) -> DataFrame:
+    """Runs through their files, then in order."""
+    path = scratch_path(i.spark, "benchmarks")
+    sinks.write_benchmarks(i.runs().withColumn("model", F.col("gpu_config")), path)
+    ordered = metrics.runs_in_order(readers.read_runs(i.spark, path), by="model")
+    return ordered.select(F.col("model").alias("gpu_config"), "run_no", F.col("run_id").cast("bigint").alias("run_id"), "finished_at", "num_examples")
+
+
+@query
+def summary_csv(i: Inputs) -> DataFrame:
+    path = scratch_path(i.spark, "summary")
+    stats = metrics.summary(i.runs())
+    sinks.write_summary(stats, path)
+    stored = i.spark.read.option("header", True).schema(stats.schema).csv(path)
+    return stored.select("gpu_config", *[F.round(c, 6).alias(c) for c in stats.columns if c != "gpu_config"])
+
+
 @query
 def benchmark_summary(i: Inputs) -> DataFrame:
     stats = metrics.summary(i.runs())

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# JSON writers keep milliseconds only unless told.
+MICROS = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+
 LABELED = T.StructType([
     T.StructField("text", T.StringType()),
     T.StructField("label", T.IntegerType()),
@@ -23,6 +26,13 @@ BENCHMARK = T.StructType([
     T.StructField("service", T.StringType()),
 ])
 
+ACCEPTED = T.StructType([
+    T.StructField("prompt_id", T.LongType()),
+    T.StructField("attempt", T.LongType()),
+    T.StructField("items", T.ArrayType(EXAMPLE)),
+    T.StructField("n_items", T.LongType()),
+])
+
 ATTEMPT = T.StructType([
     T.StructField("prompt_id", T.LongType()),
     T.StructField("raw", T.StringType()),

@@ -9,9 +9,9 @@ import pytest
 import __spark_entry__ as entry_module
 from conftest import DATA
 from synthcurate.plans.inputs import Inputs
+from synthcurate.plans.oracle import ORACLE
+from synthcurate.plans.queries import QUERIES
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
 TABLES = "documents labels conversations events".split()
 
 
@@ -35,6 +35,7 @@ def comparable(df):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= entry_module.queries().keys() and ORACLE.keys() <= entry_module.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
