@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from synthcurate.functions.hashing import HASH_BITS, hash60
 from synthcurate.functions.text import first_ticker
 from synthcurate.operators.ordinals import seeded_ordinals
-from synthcurate.session import materialize
+from synthcurate.session import broadcast_if_small, materialize
 
 # Copies of a small group are joined under this many distinct keys.
 SPREAD = 1024
@@ -43,7 +43,10 @@ def draw_fewshot(
     are drawn one after the other; the row within a label is uniform. More
     shots than labels is an error. Rows without a label are left out.
     """
-    pool = pool.filter(F.col("label").isNotNull())
+    keys = key or ["row_id"]
+    texts = pool
+    # Numbers and labels are read three times, texts once, for drawn rows.
+    pool = materialize(pool.select("label", *keys).filter(F.col("label").isNotNull()))
     sizes = pool.groupBy("label").agg(F.count("*").alias("n"))
     table = F.array_sort(F.collect_list(F.struct("label", "n")))
     stats = sizes.agg(
@@ -68,12 +71,11 @@ def draw_fewshot(
     draws = raced.select("prompt_id", F.posexplode(picks).alias("pos", "d")).select(
         "prompt_id", "pos", "d.label", "d.ord", "d._total"
     )
-    keys = key or ["row_id"]
-    rows = seeded_ordinals(pool.select("label", "text", *keys), ["label"], keys, seed, total="_total").select(
-        "label", "ord", "text", "_total"
-    )
+    rows = seeded_ordinals(pool, ["label"], keys, seed, total="_total").select("label", "ord", *keys, "_total")
+    drawn = _join_drawn(draws, rows, "label")
+    # A row drawn very often is one key of this join, with plain shuffles on both sides.
     return (
-        _join_drawn(draws, rows, "label")
+        drawn.join(texts.select(*keys, "text"), keys)
         .groupBy("prompt_id")
         .agg(F.array_sort(F.collect_list(F.struct("pos", "text", "label"))).alias("shots"))
     )
@@ -128,14 +130,9 @@ def draw_tickers(
     so its few narrow columns are materialised first.
     """
     keys = key or ["row_id"]
-    pool = materialize(pool.select("pool", "ticker", *keys))
-    sizes = pool.groupBy("pool").agg(F.count("*").alias("n"))
-    stats = sizes.agg(F.map_from_entries(F.collect_list(F.struct("pool", "n"))))
-    sized = (
-        requests.filter(F.col("pool").isNotNull())
-        .select("prompt_id", "pool", stats.scalar().alias("_sizes"))
-        .select("prompt_id", "pool", F.try_element_at("_sizes", F.col("pool")).alias("_total"))
-    )
+    pool = materialize(pool.select("pool", "ticker", *keys).filter(F.col("pool").isNotNull()))
+    sizes = pool.groupBy("pool").agg(F.count("*").alias("_total"))
+    sized = requests.select("prompt_id", "pool").join(broadcast_if_small(sizes), "pool")
     positions = positions_with_replacement if replace else positions_without_replacement
     picks = positions(F.col("_total"), num_tickers, seed, F.col("prompt_id"))
     draws = sized.select("prompt_id", "pool", "_total", F.posexplode(picks).alias("pos", "ord"))

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from synthcurate import schemas
+from synthcurate.functions.completion import Gate
 from synthcurate.functions.text import error_action
 from synthcurate.operators.gate import flatten, gate
 from synthcurate.operators.ordinals import running_totals
-from synthcurate.session import broadcast_if_small, join_on, scratch_path
+from synthcurate.session import broadcast_if_small, join_on, materialize, scratch_path
 
 Provider = Callable[[list[str]], list[str]]
 
@@ -165,6 +166,65 @@ def run_rounds(
     return done.select("prompt_id", "attempt", "items", "n_items"), open_prompts
 
 
+PromptMaker = Callable[[DataFrame], DataFrame]
+
+
+def run_quotas(
+    datasets: DataFrame, make_prompts: PromptMaker, completer: Completer, by: list[str], max_rounds: int,
+    path: str | None = None, per_prompt: float = 3.0, strict: bool | Gate | None = True, clean: bool = True,
+) -> DataFrame:
+    """Ask new prompts for many datasets at once until each has its examples.
+
+    ``datasets`` has ``by``, ``target`` and ``have`` (examples of an earlier
+    run). Every round is one pass over all open datasets: ``make_prompts`` gets
+    their ``by``, ``start`` and ``count`` and gives prompts (``by``,
+    ``prompt_id``, ``prompt``), numbered in dataset order. A dataset is closed
+    when it has enough, or when it got fewer prompts than it asked for. The
+    result holds whole completions in prompt order and may overshoot by the
+    last one of a dataset. An exhausted provider limit ends the loop.
+    """
+    spark = datasets.sparkSession
+    path = path or scratch_path(spark, "quotas")
+    zero = F.lit(0).cast("bigint")
+    state = materialize(datasets.select(*by, "target", "have", zero.alias("planned"), zero.alias("got"), zero.alias("found")))
+    stored = None
+    for round_no in range(1, max_rounds + 1):
+        missing = F.col("target") - F.col("have") - F.col("found")
+        rate = F.when(F.col("found") > 0, F.col("found") / F.col("got")).otherwise(per_prompt)
+        wanted = state.filter((missing > 0) & (F.col("got") >= F.col("planned"))).select(
+            *by, F.col("planned").alias("start"), F.greatest(F.lit(1), F.ceil(missing / rate)).cast("bigint").alias("count")
+        )
+        wanted = materialize(wanted)
+        if wanted.isEmpty():
+            break
+        prompts_path = f"{path}/prompts/attempt={round_no}"
+        make_prompts(wanted).write.mode("overwrite").parquet(prompts_path)
+        prompts = spark.read.parquet(prompts_path)
+        answers = completer(prompts, round_no, f"{path}/raw/attempt={round_no}")
+        named = answers.join(prompts.select(*by, "prompt_id"), "prompt_id")
+        gated = gate(named.withColumn("attempt", F.lit(round_no).cast("bigint")), strict, clean)
+        gated.drop("attempt").write.mode("overwrite").parquet(f"{path}/gated/attempt={round_no}")
+        stored = spark.read.schema(gated.schema).parquet(f"{path}/gated")
+        this = stored.filter(F.col("attempt") == round_no)
+        asked = prompts.groupBy(*by).agg(F.count("*").alias("_got"))
+        counted = this.groupBy(*by).agg(F.coalesce(F.sum("n_items"), F.lit(0)).alias("_found"))
+        news = join_on(join_on(wanted, asked, by, "left"), counted, by, "left")
+        state = join_on(state, news, by, "left").select(
+            *by, "target", "have", (F.col("planned") + F.coalesce("count", zero)).alias("planned"),
+            (F.col("got") + F.coalesce("_got", zero)).alias("got"), (F.col("found") + F.coalesce("_found", zero)).alias("found"),
+        )
+        state = materialize(state)
+        if not classified(this).filter(F.col("action") == "stop").isEmpty():
+            break
+    if stored is None:
+        kinds = {f.name: f.dataType.simpleString() for f in datasets.schema}
+        return spark.createDataFrame([], ", ".join([*(f"{k} {kinds[k]}" for k in by), "prompt_id bigint, attempt bigint, pos bigint, headline string, sentiment string"]))
+    counts = running_totals(stored.filter(F.col("n_items") > 0).select(*by, "prompt_id", "attempt", "n_items"), by, ["prompt_id", "attempt"], "n_items")
+    limits = broadcast_if_small(datasets.select(*by, (F.col("target") - F.col("have")).alias("_limit")))
+    kept = join_on(counts, limits, by).filter(F.col("before") < F.col("_limit")).select(*by, "prompt_id", "attempt")
+    return flatten(join_on(stored.drop("error"), kept, [*by, "prompt_id", "attempt"], "left_semi"))
+
+
 def run_quota(
     make_prompts: Callable[[int, int], DataFrame], completer: Completer, target: int, max_rounds: int,
     spark: SparkSession, path: str | None = None, have: int = 0, per_prompt: float = 3.0,

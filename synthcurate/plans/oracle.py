@@ -324,6 +324,17 @@ select 1, d.model, d.prompt, d.prompt_id, d.attempt, d.pos, d.headline, d.sentim
     "apply_provider": """
 select prompt_id, concat('[{"headline": "Prompt of ', length(prompt), ' characters", "sentiment": "2"}]') as raw,
  null::varchar as error from rendered""",
+    "quota_rounds": """
+select d.model, d.prompt, d.prompt_id, d.pos, d.headline, d.sentiment from datasets d join (
+ select n.model, n.prompt, s.prompt_id, coalesce(sum(len(s.items)) over (partition by n.model, n.prompt order by s.prompt_id
+  rows between unbounded preceding and 1 preceding), 0) as before
+ from strict s join named n on s.prompt_id = n.prompt_id where s.ok and s.attempt = 1 and len(s.items) > 0) k
+ on d.prompt_id = k.prompt_id where d.attempt = 1 and k.before < 6""",
+    "generate_e2e": """
+select n.model, r.template as prompt, r.prompt_id, 1::bigint as attempt, 0::bigint as pos,
+ concat('P ', length(r.prompt), ' ', substr(md5(r.prompt), 1, 8)) as headline, '1' as sentiment
+from rendered r join named n on r.prompt_id = n.prompt_id
+qualify row_number() over (partition by n.model, r.template, headline order by r.prompt_id) = 1""",
     "retry_rounds": "select prompt_id, attempt, n_items from first_valid",
     "letter_filter": "select doc_id, text as headline from documents where regexp_matches(text, '[a-zA-Z]')",
     "dedup_headline": """

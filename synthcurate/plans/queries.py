@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from synthcurate import schemas
 from synthcurate.functions import text as tx
 from synthcurate.functions.completion import Field, Gate
 from synthcurate.operators import draws, gate, metrics, prompts, rounds, select
+from synthcurate.operators.ordinals import running_totals
 from synthcurate.plans.curate import CurationSpec, curate
+from synthcurate.plans.generate import GenerationSpec, generate
 from synthcurate.plans.inputs import Inputs
 from synthcurate.session import broadcast_if_small, join_on, materialize, scratch_path
 from synthcurate.sources import readers, sinks
@@ -388,6 +391,45 @@ def apply_provider(i: Inputs) -> DataFrame:
     return answers.select("prompt_id", "raw", "error")
 
 
+@query
+def quota_rounds(i: Inputs) -> DataFrame:
+    """Rounds over all datasets at once, answered by the first attempts."""
+    by = ["model", "template"]
+    asked = i.by_dataset(i.requests().select("prompt_id")).withColumnRenamed("prompt", "template")
+    ordered = materialize(running_totals(asked, by, ["prompt_id"], before="ord"))
+    targets = ordered.select(*by).distinct().select(*by, F.lit(6).cast("bigint").alias("target"), F.lit(0).cast("bigint").alias("have"))
+
+    def make(wanted: DataFrame) -> DataFrame:
+        rows = join_on(ordered, wanted, by).filter((F.col("ord") >= F.col("start")) & (F.col("ord") < F.col("start") + F.col("count")))
+        return rows.select(*by, "prompt_id", F.lit("").alias("prompt"))
+
+    first = i.completions().filter(F.col("attempt") == 1)
+
+    def answer(prompts: DataFrame, round_no: int, path: str) -> DataFrame:
+        found = prompts.select("prompt_id").join(first.select("prompt_id", "raw"), "prompt_id", "left")
+        found.withColumn("error", F.lit(None).cast("string")).write.parquet(path)
+        return i.spark.read.schema(schemas.ATTEMPT).parquet(path)
+
+    rows = rounds.run_quotas(targets, make, answer, by, max_rounds=50)
+    return rows.select("model", F.col("template").alias("prompt"), "prompt_id", "pos", "headline", "sentiment")
+
+
+@query
+def generate_e2e(i: Inputs) -> DataFrame:
+    """Requests to stored examples; the stand-in for a model tells its prompt."""
+    def echo(batch: list[str]) -> list[str]:
+        import hashlib
+
+        return [f'[{{"headline": "P {len(p)} {hashlib.md5(p.encode()).hexdigest()[:8]}", "sentiment": 1}}]' for p in batch]
+
+    requests = i.requests().withColumn("model", tx.model_name(F.col("model")))
+    spec = GenerationSpec(num_tickers=2, seed=SEED, max_rounds=2)
+    examples, _ = generate(
+        requests, i.headlines(), readers.default_templates(i.spark), rounds.provider_completer(echo), scratch_path(i.spark, "generated"), spec,
+    )
+    return examples.select("model", "prompt", "prompt_id", "attempt", "pos", "headline", "sentiment")
+
+
 @query
 def retry_rounds(i: Inputs) -> DataFrame:
     """One round for each attempt there is, as long as prompts are open."""

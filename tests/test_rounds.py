@@ -133,3 +133,29 @@ def test_quota_loop_stops(spark, tmp_path):
 
     out = r.run_quota(make_prompts, r.provider_completer(provider), 5, 10, spark, str(tmp_path / "q"))
     assert out.count() == 0 and len(list((tmp_path / "q" / "raw").iterdir())) == 1
+
+
+def test_quotas_of_many_datasets_in_one_loop(rows):
+    """Datasets that fill at once, over several rounds, run dry, or are full."""
+    have = {"a": (6, 0), "b": (4, 0), "dry": (9, 0), "full": (3, 3), None: (2, 0)}
+    datasets = rows([(k, t, h) for k, (t, h) in have.items()], "name string, target long, have long")
+    yields = {"a": 3, "b": 1, "dry": 1, None: 2}
+    calls = []
+
+    def make(wanted):
+        w = wanted.collect()
+        calls.append({r.name: (r.start, r["count"]) for r in w})
+        ids = {"a": 0, "b": 100, "dry": 200, None: 300}
+        table = [(r.name, ids[r.name] + n, "p") for r in w for n in range(r.start, min(r.start + r["count"], 5 if r.name == "dry" else 99))]
+        return rows(table, "name string, prompt_id long, prompt string")
+
+    def answer(prompts, round_no, path):
+        kinds = {0: "a", 1: "b", 2: "dry", 3: None}
+        out = [(r.prompt_id, "[" + ", ".join('{"headline": "h", "sentiment": "1"}' for _ in range(yields[kinds[r.prompt_id // 100]])) + "]", None) for r in prompts.collect()]
+        return rows(out, "prompt_id long, raw string, error string")
+
+    got = r.run_quotas(datasets, make, answer, ["name"], 10)
+    counts = {x.name: x["count"] for x in got.groupBy("name").count().collect()}
+    assert counts == {"a": 6, "b": 4, "dry": 5, None: 2}
+    assert "full" not in calls[0] and calls[0]["a"] == (0, 2) and calls[1] == {"b": (2, 2), "dry": (3, 6)} and len(calls) == 2
+    assert r.run_quotas(datasets.filter("name = 'full'"), make, answer, ["name"], 10).count() == 0
