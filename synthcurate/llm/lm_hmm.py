@@ -35,6 +35,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +45,8 @@ from pyspark.sql import functions as F
 
 from .common import stored, texts
 
-STATES = 8
-ROUNDS = 6
+STATES = 12
+ROUNDS = 4
 SYMBOLS = 16_384
 KNOWN = 262_144
 CLASSES = 256
@@ -56,8 +57,8 @@ BATCH = 400_000
 TASK_COUNTS = 300_000
 END = b""
 
-_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
-_DIGITS = frozenset(b"0123456789")
+_LETTERS = b"abcdefghijklmnopqrstuvwxyz"
+_DIGITS = b"0123456789"
 
 
 def tokens_of(text: bytes) -> list[bytes]:
@@ -70,8 +71,8 @@ def tokens_of(text: bytes) -> list[bytes]:
 
 def class_of(token: bytes) -> int:
     """One of ``CLASSES``: what kinds of characters it has, and its ending."""
-    there = set(token)
-    kind = 0 if there <= _LETTERS else 1 if there & _DIGITS else 2 if max(there) < 128 else 3
+    other = token.translate(None, _LETTERS)
+    kind = 0 if not other else 1 if len(other.translate(None, _DIGITS)) < len(other) else 2 if other.isascii() else 3
     return kind * (CLASSES // 4) + zlib.crc32(token[-2:]) % (CLASSES // 4)
 
 
@@ -99,9 +100,12 @@ def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 @dataclass(frozen=True)
 class Lexicon:
-    """The commonest tokens with symbol and count; totals of all and of the classes."""
+    """The commonest tokens by number, with symbol and count of each; totals of
+    all and of the classes."""
 
-    known: dict[bytes, tuple[int, int]]
+    known: dict[bytes, int]
+    symbols: np.ndarray
+    counts: np.ndarray
     class_n: np.ndarray
     class_v: np.ndarray
     n: int
@@ -120,15 +124,11 @@ def lexicon(counts: DataFrame) -> Lexicon:
     """``counts`` is a stored table (token, c)."""
     top = counts.filter(F.octet_length("token") > 0).orderBy(F.desc("c"), "token").limit(KNOWN - 1).toArrow()
     end = counts.filter(F.octet_length("token") == 0).select("c").first()
-    known = {END: (0, end[0] if end else 0)}
-    for rank, (token, c) in enumerate(zip(top.column(0).to_pylist(), top.column(1).to_pylist()), 1):
-        known[token] = (rank if rank < SYMBOLS else SYMBOLS + class_of(token), c)
+    tokens = [END, *top.column(0).to_pylist()]
+    own = np.array([end[0] if end else 0, *top.column(1).to_pylist()], np.int64)
+    symbols = np.array([i if i < SYMBOLS else SYMBOLS + class_of(t) for i, t in enumerate(tokens)], np.int32)
     symbol_n = np.zeros(SYMBOLS + CLASSES)
-    common = []
-    for token, (symbol, c) in known.items():
-        if symbol < SYMBOLS:
-            symbol_n[symbol] = c
-            common.append(token)
+    symbol_n[: len(own[:SYMBOLS])] = own[:SYMBOLS]
 
     @F.arrow_udf("int")
     def class_column(token: pa.Array) -> pa.Array:
@@ -139,13 +139,12 @@ def lexicon(counts: DataFrame) -> Lexicon:
     class_n, class_v = np.zeros(CLASSES), np.zeros(CLASSES)
     for k, n, v in by_class:
         class_n[k], class_v[k] = n, v
-    for token in common:  # these are symbols of their own
-        if token:
-            k = class_of(token)
-            class_n[k] -= known[token][1]
-            class_v[k] -= 1
+    for token, c in zip(tokens[1:SYMBOLS], own[1:]):  # these are symbols of their own
+        k = class_of(token)
+        class_n[k] -= c
+        class_v[k] -= 1
     symbol_n[SYMBOLS:] = class_n
-    return Lexicon(known, class_n, class_v, totals[0] or 0, totals[1], symbol_n)
+    return Lexicon({t: i for i, t in enumerate(tokens)}, symbols, own, class_n, class_v, totals[0] or 0, totals[1], symbol_n)
 
 
 ENCODED = "n_tokens bigint, n_known bigint, base double, inner double, symbols array<int>, rare array<binary>, rare_n array<int>"
@@ -159,23 +158,19 @@ def encode(docs: DataFrame, words: Broadcast, keep: list[str]) -> DataFrame:
 
     def one(raw: bytes, lex: Lexicon) -> tuple:
         tokens = tokens_of(raw)
-        found = list(map(lex.known.get, tokens))
-        rare: Counter[bytes] = Counter()
-        symbols, counts = [], []
-        for token, hit in zip(tokens, found):
-            if hit is None:
-                rare[token] += 1
-                symbols.append(SYMBOLS + class_of(token))
-            else:
-                symbols.append(hit[0])
-                counts.append(hit[1])
-        ids = np.array(symbols, np.int32)
-        c = np.array(counts, float)
-        of = ids[[h is not None for h in found]] if rare else ids
-        in_class = of >= SYMBOLS
+        numbers = np.fromiter(map(lex.known.get, tokens, repeat(-1)), np.int32, len(tokens))
+        symbols, common = lex.symbols[numbers], numbers[numbers >= 0]
+        rare: dict[bytes, int] = {}
+        if len(common) < len(tokens):
+            places = np.flatnonzero(numbers < 0)
+            unknown = [tokens[i] for i in places.tolist()]
+            symbols[places] = [SYMBOLS + class_of(t) for t in unknown]
+            rare = Counter(unknown)
+        c = lex.counts[common]
+        in_class = common >= SYMBOLS
         return (
             len(tokens), int((c > 0).sum()), float(lex.log_base(c).sum()),
-            float(lex.log_in_class(of[in_class], c[in_class]).sum()), ids, list(rare), list(rare.values()),
+            float(lex.log_in_class(lex.symbols[common[in_class]], c[in_class]).sum()), symbols, list(rare), list(rare.values()),
         )
 
     def work(batches):
@@ -218,50 +213,58 @@ def _batches(lengths: np.ndarray) -> Iterator[np.ndarray]:
         low = high
 
 
+def _side_by_side(flat: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, list[int], np.ndarray, np.ndarray]:
+    """Sequences in falling order of length, step by step: the symbols, the
+    number of sequences at each step, where each step begins, and the sequence
+    of each symbol."""
+    active = np.searchsorted(-size, -np.arange(int(size[0])), side="left")
+    begin = np.concatenate(([0], np.cumsum(active)))
+    step = np.repeat(np.arange(len(active)), active)
+    sequence = np.arange(begin[-1]) - begin[step]
+    return flat[starts[sequence] + step], active.tolist(), begin, sequence
+
+
 def forward(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """log10 probability of each sequence by the scaled forward recursion."""
-    out = np.zeros(len(starts))
+    out, ones = np.zeros(len(starts)), np.ones(len(model.start))
     for at in _batches(lengths):
-        size = lengths[at]
-        active = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), side="left")
-        total, state = np.zeros(len(at)), np.broadcast_to(model.start, (len(at), len(model.start)))
-        for t, n in enumerate(active.tolist()):
-            state = state[:n] if t == 0 else state[:n] @ model.move
-            state = state * model.emit[flat[starts[at[:n]] + t]]
-            scale = state.sum(1)
-            state = state / scale[:, None]
-            total[:n] += np.log10(scale)
-        out[at] = total
+        seen, active, begin, sequence = _side_by_side(flat, starts[at], lengths[at])
+        emitted, scales = model.emit[seen], np.empty(len(seen))
+        state = np.repeat(model.start[None], len(at), 0)
+        for t, n in enumerate(active):
+            low, high = begin[t], begin[t + 1]
+            state = (state[:n] @ model.move if t else state) * emitted[low:high]
+            scales[low:high] = scale = state @ ones
+            state /= scale[:, None]
+        out[at] = np.bincount(sequence, np.log10(scales), len(at))
     return out
 
 
 def expected(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, sums: Model) -> None:
-    """Add the expected counts of the sequences to ``sums`` (forward-backward)."""
-    k = len(model.start)
+    """Add the expected counts of the sequences to ``sums`` (forward-backward);
+    those of moves still lack the factor of the model's own. Single precision
+    is enough for counts: every state is scaled to sum to one."""
+    k, move, back = len(model.start), model.move.astype(np.float32), model.move.T.astype(np.float32)
+    emit, ones = model.emit.astype(np.float32), np.ones(len(model.start), np.float32)
     for at in _batches(lengths):
-        size = lengths[at]
-        active = np.searchsorted(-size, -np.arange(int(size[0])), side="left").tolist()
-        begin = np.concatenate(([0], np.cumsum(active)))
-        alpha, emitted, seen = np.empty((begin[-1], k)), np.empty((begin[-1], k)), np.empty(begin[-1], np.int64)
-        state = np.broadcast_to(model.start, (len(at), k))
+        seen, active, begin, _ = _side_by_side(flat, starts[at], lengths[at])
+        emitted, alpha = emit[seen], np.empty((len(seen), k), np.float32)
+        state = np.repeat(model.start.astype(np.float32)[None], len(at), 0)
         for t, n in enumerate(active):
-            here = slice(begin[t], begin[t + 1])
-            seen[here] = flat[starts[at[:n]] + t]
-            emitted[here] = model.emit[seen[here]]
-            state = (state[:n] if t == 0 else state[:n] @ model.move) * emitted[here]
-            scale = state.sum(1)
-            state = state / scale[:, None]
-            alpha[here] = state
-            emitted[here] /= scale[:, None]
+            low, high = begin[t], begin[t + 1]
+            state = (state[:n] @ move if t else state) * emitted[low:high]
+            scale = (1 / (state @ ones))[:, None]
+            state *= scale
+            alpha[low:high] = state
+            emitted[low:high] *= scale
         # Backward: with scaled emissions every posterior is alpha times beta.
-        beta = np.ones((active[-1], k))
+        beta = np.ones((active[0], k), np.float32)
         for t in range(len(active) - 1, 0, -1):
-            n, here, before = active[t], slice(begin[t], begin[t + 1]), slice(begin[t - 1], begin[t - 1] + active[t])
-            weighted = emitted[here] * beta[:n]
-            sums.move += alpha[before].T @ weighted
-            alpha[here] *= beta[:n]
-            beta = np.ones((active[t - 1], k))
-            beta[:n] = weighted @ model.move.T
+            n, low, before = active[t], begin[t], begin[t - 1]
+            weighted = emitted[low : low + n] * beta[:n]
+            sums.move += alpha[before : before + n].T @ weighted
+            alpha[low : low + n] *= beta[:n]
+            beta[:n] = weighted @ back  # sequences that end here keep ones
         alpha[: active[0]] *= beta
         sums.start += alpha[: active[0]].sum(0)
         for z in range(k):
@@ -279,9 +282,9 @@ def first_model(lex: Lexicon, states: int) -> Model:
     """Unigram emissions, each token leaning to the state its ending hashes to,
     and states that last. Ties of the states are broken alike on every run."""
     lean = np.full((SYMBOLS + CLASSES, states), 1.0)
-    for token, (symbol, _) in lex.known.items():
-        if symbol < SYMBOLS:
-            lean[symbol, zlib.crc32(token[-2:]) % states] += 2.0
+    for token, number in lex.known.items():
+        if number < SYMBOLS:
+            lean[number, zlib.crc32(token[-2:]) % states] += 2.0
     for k in range(CLASSES):
         lean[SYMBOLS + k, k % states] += 1.0
     emit = lean * (lex.symbol_n + 0.5)[:, None]

@@ -57,7 +57,8 @@ def test_expected_counts_are_those_of_all_paths(flat, batch, monkeypatch):
                 move[a, b] += p / whole
             for z, x in zip(path, s):
                 emit[x, z] += p / whole
-    assert np.allclose(sums.start, start) and np.allclose(sums.move * model.move, move) and np.allclose(sums.emit, emit)
+    close = lambda a, b: np.allclose(a, b, atol=1e-4)
+    assert close(sums.start, start) and close(sums.move * model.move, move) and close(sums.emit, emit)
 
 
 def test_probabilities_of_all_tokens_sum_to_one(spark):
@@ -80,7 +81,7 @@ def test_classes_hold_what_is_no_symbol(spark, monkeypatch):
     k1, k2 = h.class_of(b"zz"), h.class_of(b"q1")
     assert lex.class_n[k1] + lex.class_n[k2] + lex.class_n[h.class_of(b"y")] >= 3
     for k in {k1, k2}:
-        own = [c for t, (s, c) in lex.known.items() if s == 3 + k]
+        own = lex.counts[lex.symbols == 3 + k]
         assert math.isclose(sum(10 ** h.Lexicon.log_in_class(lex, 3 + k, c) for c in own) + 1 / (lex.class_n[k] + lex.class_v[k] + 1), 1)
 
 
