@@ -15,18 +15,26 @@ from pyspark.sql import functions as F
 
 from synthcurate.session import configure, scratch_path
 
+# Rows of an Arrow batch, which a task holds on both sides; texts may be long.
+BATCH_ROWS = 1000
 # Rows of one slice of an Arrow batch: bounds what a task holds as Python objects.
 SLICE = 256
 
 
+def session(spark: SparkSession) -> SparkSession:
+    """The session with the settings the operators rely on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return configure(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return session(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a table below the shared folder and read it back: later steps
     start from the files, also when an executor is lost."""
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(session(df.sparkSession), name)
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
