@@ -5,7 +5,9 @@ Documents are tokenised in place; texts never leave their task, only pieces
 best fit: a fixed number of open bins, kept in lists keyed by their free space
 with one integer as bitset over the keys, so that the tightest bin that takes a
 piece is the lowest set bit at or above its length. When all places are taken
-the fullest bin closes. What is still open at the end of a task is packed once
+the fullest bin closes. A task's pieces arrive in falling order of length, which
+wastes least as long as the places last; ``OPEN_BINS`` is above what
+``TASK_PIECES`` can open. What is still open at the end of a task is packed once
 more, bins as pieces, by fewer tasks.
 
 Defined results: a NULL or empty text is the end token alone; ties go to the
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import slice_udf, stored
 
 CAPACITY = 4096
-OPEN_BINS = 512
+OPEN_BINS = 1 << 16
 #: Pieces of one packing task, on average. More pieces waste less at the end of a task.
 TASK_PIECES = 50_000
 #: Entries of a task's table of tokenised words before it starts anew.
@@ -196,7 +198,7 @@ def _pack(rows: DataFrame, tasks: int, capacity: int, places: int) -> DataFrame:
             "open_fill": pa.array([f for _, f in left], pa.int64()),
         })
 
-    spread = rows.repartition(tasks, F.xxhash64("key"))
+    spread = rows.repartition(tasks, F.xxhash64("key")).sortWithinPartitions(F.desc("length"), "key")
     return stored(spread.mapInArrow(work, _PLACED), "packed")
 
 

@@ -53,11 +53,11 @@ def check(rows, capacity):
 
 def test_pack_is_gapless_and_tight(spark):
     rnd = random.Random(1)
-    lengths = [rnd.choice([1, 7, 300, 900, 2000, 4095, 4096]) for _ in range(3000)]
+    lengths = [rnd.choice([rnd.randrange(1, 4097), 7, 300, 900, 4096]) for _ in range(3000)]
     items = spark.createDataFrame(list(enumerate(lengths)), "key long, length long").repartition(5)
     placed = p.pack(items, task_pieces=500).join(items, "key").collect()
     assert sorted(r.key for r in placed) == list(range(3000))
-    assert check(placed, 4096) <= -(-sum(lengths) // 4096) * 1.03
+    assert check(placed, 4096) <= -(-sum(lengths) // 4096) * 1.02
 
 
 def test_ids_are_those_of_the_tokenizer(vocabulary_path):
