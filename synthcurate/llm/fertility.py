@@ -35,10 +35,11 @@ SYMBOLS = b"#*$%&|<>"
 CACHE_WORDS = 400_000
 SPREAD = 5.0
 LEAST_ROWS = 50
-#: Width of a bin and least half-width of a band: share of the median, absolute.
+#: Width of a bin, least half-width of a band (share of the median, absolute), and
+#: how much wider the upper half is: texts in several languages have more entropy.
 MEASURES = {
-    "chars_per_token": (0.01, 0.07, 0.0), "fertility": (0.01, 0.25, 0.0),
-    "byte_share": (0.005, 0.0, 0.1), "entropy": (0.02, 0.08, 0.0),
+    "chars_per_token": (0.01, 0.07, 0.0, 1.0), "fertility": (0.01, 0.25, 0.0, 1.0),
+    "byte_share": (0.005, 0.0, 0.1, 1.0), "entropy": (0.02, 0.08, 0.0, 2.0),
 }
 _LONGS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens")
 MEASURED = "struct<" + ",".join(f"{k}:bigint" for k in _LONGS) + "," + ",".join(f"{k}:double" for k in MEASURES) + ",script:string>"
@@ -145,12 +146,12 @@ def bands(measured: DataFrame, measure_cols: dict[str, Column]) -> DataFrame:
     middle = _middle(counts, keys, "bin", "centre")
     away = counts.join(middle.drop("rows"), keys).withColumn("away", F.abs(F.col("bin") - F.col("centre")))
     spread = _middle(away.groupBy(*keys, "away").agg(F.sum("n").alias("n")), keys, "away", "mad")
-    setting = F.element_at(F.create_map(*[x for m, s in MEASURES.items() for x in (F.lit(m), F.struct(*[F.lit(v).alias(k) for k, v in zip("wfa", s)]))]), F.col("measure"))
+    setting = F.element_at(F.create_map(*[x for m, s in MEASURES.items() for x in (F.lit(m), F.struct(*[F.lit(v).alias(k) for k, v in zip("wfau", s)]))]), F.col("measure"))
     wide = F.greatest(
         SPREAD * 1.4826 * F.col("mad") * setting["w"], setting["f"] * F.col("centre") * setting["w"], setting["a"],
     )
     both = middle.join(spread.drop("rows"), keys).filter(F.col("rows") >= LEAST_ROWS)
-    return both.select(*keys, (F.col("centre") * setting["w"] - wide).alias("low"), (F.col("centre") * setting["w"] + wide).alias("high"))
+    return both.select(*keys, (F.col("centre") * setting["w"] - wide).alias("low"), (F.col("centre") * setting["w"] + setting["u"] * wide).alias("high"))
 
 
 def outside(measured: DataFrame, language: str = "lang") -> DataFrame:
