@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from synthcurate.operators.ordinals import running_totals
-from synthcurate.session import broadcast_if_small
+from synthcurate.session import broadcast_if_small, join_on, materialize
 
 MEASURES = ("throughput", "total_time")
 
@@ -69,22 +69,16 @@ def quartiles(values: DataFrame, by: list[str], value: str, whole_below: int = 1
     high = [F.when(whole, F.lit(float("inf"))).otherwise(F.col("_e")[2 * i + 1]) for i in range(len(QUARTILES))]
     bounds = broadcast_if_small(sketched.select(*by, "n", F.array(*low).alias("_low"), F.array(*high).alias("_high")))
     bracketed = values.join(bounds, by)
-    inside = [(F.col("_v") >= F.col("_low")[i]) & (F.col("_v") <= F.col("_high")[i]) for i in range(len(QUARTILES))]
-
-    below = bracketed.groupBy(*by).agg(
-        *[F.count(F.when(F.col("_v") < F.col("_low")[i], True)).alias(f"_below{i}") for i in range(len(QUARTILES))]
-    )
-    near = (
-        bracketed.filter(inside[0] | inside[1] | inside[2])
-        .select(*by, "n", "_v", F.explode(F.array_compact(F.array(
-            *[F.when(test, F.lit(i)) for i, test in enumerate(inside)]
-        ))).alias("_q"))
-        .groupBy(*by, "n", "_q", "_v").agg(F.count("*").alias("_rows"))
-    )
-    ranked = running_totals(near, [*by, "_q"], ["_v"], "_rows", before="_inside_before")
-    placed = ranked.join(broadcast_if_small(below), by).select(
+    # One pass: values inside a bracket by themselves, those below it as one NULL.
+    each = bracketed.select("*", F.explode(F.array(*map(F.lit, range(len(QUARTILES))))).alias("_q")).filter(F.col("_v") <= F.col("_high")[F.col("_q")])
+    pieces = each.select(*by, "n", "_q", F.when(F.col("_v") >= F.col("_low")[F.col("_q")], F.col("_v")).alias("_v"))
+    pieces = materialize(pieces.groupBy(*by, "n", "_q", "_v").agg(F.count("*").alias("_rows")))
+    keys = [*by, "_q"]
+    ranked = running_totals(pieces.filter("_v is not null"), keys, ["_v"], "_rows", before="_inside_before")
+    below = broadcast_if_small(pieces.filter("_v is null").select(*keys, F.col("_rows").alias("_below")))
+    placed = join_on(ranked, below, keys, "left").select(
         *by, "n", "_q", "_v", "_rows",
-        (F.col("_inside_before") + F.array(*[f"_below{i}" for i in range(len(QUARTILES))])[F.col("_q")]).alias("_pos"),
+        (F.col("_inside_before") + F.coalesce("_below", F.lit(0))).alias("_pos"),
         ((F.col("n") - 1) * F.array(*[F.lit(q) for _, q in QUARTILES])[F.col("_q")]).alias("_place"),
     )
     first = F.floor("_place")

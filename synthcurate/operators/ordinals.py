@@ -98,7 +98,7 @@ def running_totals(
     ``value`` is None), in ``order``, which must be unique within a group.
 
     One distributed sort gives each row its total within its sort partition.
-    That is checkpointed, because a range shuffle run twice may cut elsewhere;
+    That is stored, because a range shuffle run twice may cut elsewhere;
     the totals of whole partitions then shift each row. Nothing is shuffled a
     second time, and a group of any size is spread over many partitions.
     """
