@@ -54,6 +54,8 @@ LONGEST = 64
 #: Tokens of one training piece, and of a batch of pieces run side by side.
 PIECE = 65_536
 BATCH = 400_000
+#: Symbols a task holds at a time, besides one Arrow batch.
+GATHER = 3_000_000
 TASK_COUNTS = 300_000
 END = b""
 
@@ -202,6 +204,19 @@ def _rows(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(column.values), offsets
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches put together to about ``GATHER`` symbols: the more texts of
+    like length run side by side, the fewer steps there are."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(len(b.column(b.num_columns - 1).flatten()) for b in held) >= GATHER:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _batches(lengths: np.ndarray) -> Iterator[np.ndarray]:
     """Indices in falling order of length, in runs of bounded size."""
     order = np.argsort(-lengths, kind="stable")
@@ -308,7 +323,7 @@ def train(encoded: DataFrame, lex: Lexicon, states: int = STATES, rounds: int =
 
     def counted(batches, shared):
         sums = Model(np.zeros(states), np.zeros((states, states)), np.zeros((SYMBOLS + CLASSES, states)))
-        for batch in batches:
+        for batch in _gathered(batches):
             flat, offsets = _rows(batch, "symbols")
             expected(shared.value, flat, *in_pieces(offsets[:-1].astype(np.int64), np.diff(offsets)), sums)
         rows = np.vstack([sums.emit, sums.move * shared.value.move, sums.start[None]])
@@ -339,7 +354,7 @@ def scores(docs: DataFrame, training: Column, states: int = STATES, rounds: int
     model = sc.broadcast(train(encoded.filter("train"), lex, states, rounds))
 
     def work(batches):
-        for batch in batches:
+        for batch in _gathered(batches):
             flat, offsets = _rows(batch, "symbols")
             found = forward(model.value, flat, offsets[:-1].astype(np.int64), np.diff(offsets))
             yield pa.record_batch([*batch.columns[:-1], pa.array(found)], [*batch.schema.names[:-1], "forward"])
