@@ -8,8 +8,7 @@ Hamming distances from vantage points, in two steps:
   segment in which two fingerprints agree both lie at the same distance from
   every vantage point, so rings around the points are shards that need no
   overlap. With one segment more than the ``bits`` allowed to differ some
-  segment agrees: the forest misses no link. ``SIMILAR`` allows more bits than
-  that and states its recall.
+  segment agrees: the forest misses no link.
 * Where rings would grow too large, a tree over whole fingerprints cuts them
   further. By the triangle bound a fingerprint has partners on the other side of
   a radius only if its own distance is within ``bits`` of it; it then visits that
@@ -21,6 +20,10 @@ once, whose pairs are never compared; the rest is compared directly. A shard
 reports a spanning forest of its links, not pairs. Forests are joined by rounds
 of large-star and small-star steps, each a grouping and a join over stored edges.
 
+``keep_one`` decides by the Jaccard similarity of whole sets of five-word shingles.
+Fingerprints tell that too roughly, so it takes candidates from MinHash bands and
+confirms each by its exact similarity; see ``similar``.
+
 Vantage points come from the ``SAMPLE`` fingerprints that are first by hash; they
 decide how evenly shards fill, not what is found.
 
@@ -65,27 +68,38 @@ class Plan:
 
 #: Links at four bits, without a miss.
 EXACT = Plan()
-#: Five-word shingles with a Jaccard similarity of 0.8: 39 of 256 bits are expected
-#: to differ, with a deviation of six. A pair at 39 bits meets in some of the 38
-#: segments with probability 0.99, closer ones more surely.
+#: Five-word shingles by fingerprints alone. At a Jaccard similarity of 0.8, 39 of
+#: 256 bits are expected to differ, with a deviation of six: a rough cut, which
+#: misses a sixth of the pairs there and takes half of those at 0.75.
 SIMILAR = Plan(shingle=5, words=4, bits=44, segments=19, rounds=2)
+#: Shingles have ``SHINGLE`` words; a link has a similarity of ``NEAR[0] / NEAR[1]`` at
+#: least. A pair at 0.8 shares one of the bands with probability
+#: 1 - (1 - 0.8 ** BAND_ROWS) ** BANDS = 0.9993, at whatever length of the texts.
+SHINGLE = 5
+NEAR = (4, 5)
+BANDS, BAND_ROWS = 24, 6
+_FACTORS, _MASKS = (np.array([xxhash.xxh64_intdigest(b"%d" % i, seed) | 1 for i in range(BANDS * BAND_ROWS)], np.uint64)[:, None] for seed in (1, 2))
+SKETCH = "struct<fp:binary,n:bigint,bands:array<bigint>>"
+_SKETCH = pa.struct([("fp", pa.binary()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))])
+
+
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """Hashes of all shingles in their order; fewer words are one shingle."""
+    words = text.lower().split()
+    n, joined, digest = len(words), b" ".join(words), xxhash.xxh64_intdigest
+    if n <= shingle:
+        return np.array([digest(joined, 42)] if n else [], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    return np.array([digest(joined[a:b], 42) for a, b in zip(starts[: n - shingle + 1].tolist(), ends[shingle - 1 :].tolist())], np.uint64)
 
 
 def fingerprint(text: bytes, plan: Plan = EXACT) -> bytes:
     """The SimHash, most significant byte first. Parts after the first use the
     shingle hashes mixed with the number of the part."""
-    words = text.lower().split()
-    n, shingle = len(words), plan.shingle
-    if not n:
+    values, out = shingle_hashes(text, plan.shingle), []
+    if not len(values):
         return bytes(8 * plan.words)
-    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
-    if n <= shingle:
-        hashes = [digest(joined, 42)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        hashes = [digest(joined[a:b], 42) for a, b in zip(starts[: n - shingle + 1].tolist(), ends[shingle - 1 :].tolist())]
-    values, out = np.array(hashes, np.uint64), []
     for part in range(plan.words):
         mixed = values
         if part:
@@ -356,10 +370,94 @@ def near_duplicates(docs: DataFrame, plan: Plan = EXACT) -> DataFrame:
     return rows.join(found, F.col("fp") == F.col("of")).select("doc_id", "version", "fp", "root", "component")
 
 
-def keep_one(docs: DataFrame, plan: Plan = SIMILAR) -> DataFrame:
+def bands(values: np.ndarray) -> np.ndarray:
+    """A number for each band of the MinHash of a set of hashes; none of an empty set."""
+    if not len(values):
+        return np.array([], np.int64)
+    least = np.full(BANDS * BAND_ROWS, -1).astype(np.uint64)
+    for at in range(0, len(values), 1 << 11):
+        np.minimum(least, ((values[at : at + (1 << 11)] ^ _MASKS) * _FACTORS).min(1), out=least)
+    rows = least.reshape(BANDS, BAND_ROWS)
+    return np.array([xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(rows)], np.uint64).view(np.int64)
+
+
+def sketch(text: bytes) -> dict:
+    """A digest of the set of shingles, its size and its bands."""
+    values = np.unique(shingle_hashes(text, SHINGLE))
+    return {"fp": xxhash.xxh3_128_digest(values.tobytes()), "n": len(values), "bands": bands(values)}
+
+
+def _shingle_set(text: Column) -> Column:
+    each = lambda b: np.unique(shingle_hashes(b, SHINGLE)).view(np.int64)
+    return text_udf(each, pa.list_(pa.int64()), "array<bigint>")(text)
+
+
+def _may_link(n: Column, m: Column) -> Column:
+    """Sets of sizes too far apart cannot be similar."""
+    return NEAR[1] * F.least(n, m) >= NEAR[0] * F.greatest(n, m)
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """Those of the (a, b) pairs whose shingle sets have the similarity, counted exactly.
+    Sets are made of the texts in ``pairs`` only."""
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("of")).distinct()
+    own = distinct.join(needed, F.col("id") == F.col("of"), "left_semi").select("id", "text_of")
+    named = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("v"), "text")
+    found = named.join(own, F.col("d").eqNullSafe(F.col("text_of.doc_id")) & (F.col("v") == F.col("text_of.version")))
+    sets = stored(found.select("id", "text").dropDuplicates(["id"]).select("id", _shingle_set(F.col("text")).alias("set")), "sets")
+    both = pairs.join(sets.toDF("a_id", "a_set"), F.col("a") == F.col("a_id")).join(sets.toDF("b_id", "b_set"), F.col("b") == F.col("b_id"))
+    both = both.select("a", "b", (F.size("a_set") + F.size("b_set")).alias("sizes"), F.size(F.array_intersect("a_set", "b_set")).alias("common"))
+    return both.filter(NEAR[1] * F.col("common") >= NEAR[0] * (F.col("sizes") - F.col("common"))).select("a", "b")
+
+
+def similar(docs: DataFrame) -> DataFrame:
+    """(doc_id, version, fp, root, component) of every document, by links of exact
+    Jaccard similarity; ``fp`` is a digest of the set of shingles.
+
+    Candidates share a band. First each set is compared with one other, the leader
+    of most of its bands, and components are formed of the confirmed links. Of pairs
+    that share a band, only those of different components are compared then: all of
+    them, but no pairs within a large group of copies."""
+    rows = docs.select("doc_id", F.xxhash64("text").alias("version"), text_udf(sketch, _SKETCH, SKETCH)(F.col("text")).alias("s"))
+    rows = stored(rows.select("doc_id", "version", "s.*"), "sketches")
+    distinct = rows.groupBy("fp").agg(
+        F.min("doc_id").alias("least"), F.first(F.struct("doc_id", "version")).alias("text_of"), F.first("n").alias("n"), F.first("bands").alias("bands"),
+    )
+    distinct = stored(distinct.withColumn("id", F.monotonically_increasing_id()), "shingle-sets")
+    members = distinct.select("id", "n", F.explode("bands").alias("band"))
+    order = F.xxhash64("id")
+    leaders = members.groupBy(F.col("band").alias("of")).agg(F.min_by("id", order).alias("b"), F.min_by("n", order).alias("m"), F.count("*").alias("rows"))
+    members = members.join(stored(leaders.filter("rows > 1"), "leaders"), F.col("band") == F.col("of"))
+    members = stored(members.select("band", "id", "n", "b", "m"), "band-members")
+
+    led = members.filter((F.col("id") != F.col("b")) & _may_link(F.col("n"), F.col("m"))).groupBy("id", "b").agg(F.count("*").alias("bands"))
+    led = led.groupBy("id").agg(F.max_by("b", F.struct("bands", "b")).alias("b"))
+    pair = (F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b"))
+    near = stored(confirmed(stored(led.select(*pair).distinct(), "led"), docs, distinct), "near")
+
+    roots = components(near).withColumnRenamed("node", "of")
+    parted = members.join(roots, F.col("id") == F.col("of"), "left").select("band", "id", "n", F.coalesce("root", "id").alias("part"))
+    parted = stored(parted, "parted")
+    main = parted.groupBy("band", "part").agg(F.count("*").alias("rows")).groupBy(F.col("band").alias("of"))
+    main = stored(main.agg(F.max_by("part", "rows").alias("main"), F.count("*").alias("parts")).filter("parts > 1"), "main-parts")
+    mixed = parted.join(main, F.col("band") == F.col("of")).select("band", "id", "n", "part", "main")
+    others = mixed.filter("part <> main").select(F.col("band").alias("of"), F.col("id").alias("b"), F.col("n").alias("m"), F.col("part").alias("of_part"))
+    across = mixed.join(others, (F.col("band") == F.col("of")) & (F.col("part") != F.col("of_part")) & _may_link(F.col("n"), F.col("m")))
+    more = confirmed(stored(across.select(*pair).distinct(), "across"), docs, distinct)
+
+    roots = components(near.union(more))
+    tied = distinct.join(roots, F.col("id") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "id").alias("root"))
+    tied = stored(tied, "rooted")
+    top = stored(tied.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("component")), "components")
+    found = stored(tied.join(top, F.col("root") == F.col("of")).select(F.col("fp").alias("of"), "root", "component"), "classes")
+    return rows.join(found, F.col("fp") == F.col("of")).select("doc_id", "version", "fp", "root", "component")
+
+
+def keep_one(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     """One document of each component: that of the smallest id, of several
-    texts of that id the first by hash. Ids that are NULL come last."""
-    marked = stored(near_duplicates(docs, plan), "near-duplicates")
+    texts of that id the first by hash. Ids that are NULL come last. Components
+    are those of ``similar``, or of fingerprints with a ``plan``."""
+    marked = stored(near_duplicates(docs, plan) if plan else similar(docs), "near-duplicates")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp", "version")
     keepers = stored(marked.groupBy(F.col("root").alias("of")).agg(F.min(place).alias("keeper")), "keepers")
     others = marked.join(keepers, F.col("root") == F.col("of"))

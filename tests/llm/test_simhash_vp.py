@@ -118,3 +118,49 @@ def test_segments_cover_all_bits():
             places = np.concatenate(parts[turn * plan.segments : (turn + 1) * plan.segments])
             assert sorted(places) == list(range(64 * plan.words))
     assert s.EXACT.segments > s.EXACT.bits  # so that no link can be missed
+
+
+def jaccard(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def at_similarity(rnd, g, shared, own):
+    """Two texts with ``shared`` common shingles and ``own`` in each alone."""
+    words = [f"g{g}w{rnd.randrange(10**6)}" for _ in range(shared + 4)]
+    return [" ".join(words + [f"g{g}{side}{i}" for i in range(own)]) for side in "xy"]
+
+
+def test_links_are_those_of_exact_similarity(spark):
+    """Pairs at 0.8 and just above go, pairs just below stay."""
+    rnd, docs, expected = random.Random(5), [], set()
+    for g in range(300):
+        shared, own, near = ((400, 50, True), (410, 49, True), (397, 50, False), (300, 50, False), (8, 1, True))[g % 5]
+        a, b = at_similarity(rnd, g, shared, own)
+        assert (jaccard(a, b) >= 0.8) == near
+        docs += [(2 * g, a), (2 * g + 1, b)]
+        expected |= {2 * g} if near else {2 * g, 2 * g + 1}
+    kept = {r.doc_id for r in s.keep_one(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert kept == expected
+
+
+def test_large_group_with_stragglers_equals_brute_force(spark):
+    """Copies of copies: links across components are found, also where the leader is not similar."""
+    rnd, texts = random.Random(3), []
+    base = [f"w{rnd.randrange(5000)}" for _ in range(300)]
+    for _ in range(70):
+        words = list(rnd.choice(texts).split()) if texts and rnd.random() < 0.5 else list(base)
+        for at in rnd.sample(range(300), rnd.randrange(1, 9)):
+            words[at] = f"n{rnd.randrange(10**6)}"
+        texts.append(" ".join(words))
+    label = closure(texts, lambda i, j: jaccard(texts[i], texts[j]) >= 0.8)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component for r in s.similar(rows).collect()} == dict(enumerate(label))
+
+
+def test_bands_meet_at_the_stated_rate():
+    rnd, met = np.random.default_rng(1), 0
+    for _ in range(2000):
+        values = rnd.integers(0, 2**64, 90, np.uint64)
+        met += bool((s.bands(values[:81]) == s.bands(np.concatenate((values[:72], values[81:])))).any())
+    assert met >= 0.997 * 2000
