@@ -11,9 +11,8 @@ character keeps the span of the source characters it stands for:
    spelled digits become digits, a spelled plus before digits its sign.
 
 The detectors run again on the output; a match whose source differs from it is
-mapped back and added. Only stretches of text around a trigger (an odd character
-or a disguise word) are rewritten, so plain text is read once by the plain
-detectors and once by the trigger pattern.
+mapped back and added. Only lines that a transducer may change are rewritten;
+no pattern goes across a line end, so nothing is lost by that.
 
 Defined results: offsets are code points, ends exclusive; NULL is an empty text.
 Matches of one kind are leftmost and do not overlap; one that fails its check
@@ -27,6 +26,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -105,11 +105,6 @@ _NUMBER_WORDS = "|".join(sorted(_DIGIT, key=len, reverse=True))
 _ODD = re.compile(r"[\u0300-\U0010ffff\u00ad]")
 _SIGN = {"at": "@", "arroba": "@", "dot": ".", "punkt": ".", "point": ".", "punto": "."}
 _DOT, _AT = "dot|punkt|point|punto", "at|arroba"
-_TRIGGER = re.compile(
-    r"[\u0300-\u1fff\u200b-\u200f\u2060\u2460-\u24ff\uff00-\uffef\ufeff\u00ad\U0001d400-\U0001d7ff]"
-    rf"|[(\[{{<] ?(?:{_AT}|{_DOT}) ?[)\]}}>]|[A-Za-z0-9][ _-](?:{_DOT})[ _-][A-Za-z0-9]"
-    rf"|\b(?:{_NUMBER_WORDS})(?:[ .,()-]{{1,3}}(?:{_NUMBER_WORDS})){{2}}\b", re.IGNORECASE,
-)
 _BRACKETED = re.compile(rf" ?[(\[{{<] ?({_AT}|{_DOT}) ?[)\]}}>] ?", re.IGNORECASE)
 # Bare words are signs only in the shape of a whole address with a spelled dot.
 _BARE = re.compile(
@@ -123,12 +118,38 @@ _SPELLED = re.compile(
     rf"(?:{_BETWEEN}(?:{_NUMBER_WORDS}|{_DOT})\b|[ .,()-]{{0,3}}[0-9])+", re.IGNORECASE,
 )
 _SPELLED_PART = re.compile(rf"(?:plus|{_DOT}|{_NUMBER_WORDS})(?![A-Za-z])", re.IGNORECASE)
-# A text without these words and signs has nothing to rewrite.
-_LETTERS = bytes(b if b >= 128 or 65 <= b < 91 or 97 <= b < 123 else 32 for b in range(256))
-_DIGIT_BYTES = frozenset(w.encode() for w in _DIGIT)
-_SIGN_BYTES = frozenset(w.encode() for w in _SIGN)
-#: Characters around a trigger that are rewritten with it.
-MARGIN = 200
+# A bare "at" with dots in plain sight: before a domain, after a name of several parts.
+_PLAIN_AT = re.compile(
+    rf"(?<![a-z0-9._%+-])[a-z][a-z0-9]{{0,63}}(?:[._+][a-z][a-z0-9]{{0,63}}){{1,4}}([ _-](?:{_AT})[ _-])(?:[a-z0-9-]{{1,63}}\.){{1,4}}[a-z]{{2,24}}(?![a-z0-9-])",
+    re.IGNORECASE,
+)
+
+
+def plain_of(c: str) -> str:
+    """What an odd character becomes."""
+    if c in _INVISIBLE:
+        return ""
+    if c in _LOOKALIKE:
+        return _LOOKALIKE[c]
+    if c.isdecimal():
+        return str(unicodedata.decimal(c))
+    new = unicodedata.normalize("NFKC", c)
+    return new if new.isascii() and len(new) <= 3 else c
+
+
+def _changed() -> str:
+    """All characters that ``plain_of`` changes, as ranges of a pattern."""
+    places = [n for n in range(0x300, 0x110000) if (c := chr(n)) in _LOOKALIKE or c in _INVISIBLE or c.isdecimal() or unicodedata.decomposition(c)]
+    places = [0xAD, *(n for n in places if plain_of(chr(n)) != chr(n))]
+    starts = [n for n, before in zip(places, [-1, *places]) if n != before + 1]
+    ends = [n for n, after in zip(places, [*places[1:], -1]) if n != after - 1]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
+
+
+#: What the transducers need to change a line; each alternative is implied by one of them.
+_CHANGED = re.compile(f"[{_changed()}]")
+_SIGN_WORD = re.compile(rf"[(\[{{<] ?(?:{_AT}|{_DOT}) ?[)\]}}>]|[ _-](?:{_DOT})[ _-]", re.IGNORECASE)
+_NUMBER = re.compile(rf"\b(?:{_NUMBER_WORDS})\b", re.IGNORECASE)
 
 
 class Tape:
@@ -159,15 +180,7 @@ def plain_characters(tape: Tape) -> Tape:
     edits = []
     for m in _ODD.finditer(tape.text):
         c = m.group()
-        if c in _INVISIBLE:
-            new = ""
-        elif c in _LOOKALIKE:
-            new = _LOOKALIKE[c]
-        elif c.isdecimal():
-            new = str(unicodedata.decimal(c))
-        else:
-            new = unicodedata.normalize("NFKC", c)
-            new = new if new.isascii() and len(new) <= 3 else c
+        new = plain_of(c)
         if new != c:
             edits.append((m.start(), m.end(), new))
     return tape.rewrite(edits) if edits else tape
@@ -179,6 +192,9 @@ def signs(tape: Tape) -> Tape:
     edits = []
     for m in _BARE.finditer(tape.text):
         edits += [(s.start(), s.end(), _SIGN[s[1].lower()]) for s in _BARE_SIGN.finditer(tape.text, m.start(), m.end())]
+    tape, edits = tape.rewrite(edits) if edits else tape, []
+    for m in _PLAIN_AT.finditer(tape.text):
+        edits.append((m.start(1), m.end(1), "@"))
     return tape.rewrite(edits) if edits else tape
 
 
@@ -199,18 +215,20 @@ def spelled_digits(tape: Tape) -> Tape:
     return tape.rewrite(edits) if edits else tape
 
 
+def may_hide(line: str) -> bool:
+    return bool(
+        _SIGN_WORD.search(line) or not line.isascii() and _CHANGED.search(line) or _PLAIN_AT.search(line)
+        or sum(1 for _ in islice(_NUMBER.finditer(line), 3)) == 3
+    )
+
+
 def stretches(text: str) -> Iterator[tuple[int, int]]:
-    """Stretches around triggers, cut at white space where there is some near."""
-    low = high = -1
-    for m in _TRIGGER.finditer(text):
-        start, end = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
-        if start > high:
-            if high >= 0:
-                yield low, high
-            low = start
-        high = end
-    if high >= 0:
-        yield low, high
+    """Whole lines that a transducer may change. No pattern goes across a line end."""
+    low = 0
+    for line in text.split("\n"):
+        if may_hide(line):
+            yield low, low + len(line)
+        low += len(line) + 1
 
 
 def disguised(text: str) -> list[Span]:
@@ -229,27 +247,12 @@ def disguised(text: str) -> list[Span]:
     return found
 
 
-def may_hide(raw: bytes, text: str) -> bool:
-    """Whether a text has an odd character, three digit words or a sign word
-    other than a bare "at"."""
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return True
-    words = raw.lower().translate(_LETTERS).split()
-    there = _SIGN_BYTES.intersection(words)
-    return (
-        bool(there - {b"at"}) or sum(map(_DIGIT_BYTES.__contains__, words)) >= 3 or "\u00ad" in text
-        or bool(there) and any(c in text for c in "([{<")
-    )
-
-
 def find(text: str) -> tuple[list[Span], list[Span]]:
     """Plain spans, and all spans, each in order."""
     base = detect(text)
     order = lambda s: (s[0], KINDS.index(s[2]), s[1])
     covered = lambda s: any(b[2] == s[2] and b[0] <= s[0] and s[1] <= b[1] for b in base)
-    hidden = disguised(text) if may_hide(text.encode(), text) else ()
+    hidden = disguised(text)
     added = {s for s in hidden if not covered(s)}
     # Of added spans of a kind that overlap, the widest stands.
     kept: list[Span] = []

@@ -92,3 +92,22 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert no_docs.select(column).count() == 0
     row = spark.createDataFrame([("é a@b.cd x (at) y.zz",)], "text string").select(column).first().p
     assert row.base == ["email:2:8"] and row.spans == ["email:2:8", "email:9:20"] and row.counts == [1, 0, 0, 0]
+
+
+@pytest.mark.parametrize("kind, shown", [
+    ("email", "jane\ufe6bexample\u2024com"), ("email", "jane\ufe6bexample\ufe52com"), ("card", "4 one 1 one 1 one 1 one 1 one 1 one 1 one 1 one"),
+    ("phone", "+1 nine 8 eight 5 five 5 two 4 eight 5"), ("ip", "\u2074\u2082.144.35.254"), ("email", "jane.doe at example.com"),
+])
+def test_disguises_of_all_transducers(kind, shown):
+    for text in (shown, f"write to {shown}, said so.", "no " * 200 + f"«{shown}»\n"):
+        assert spans(text) == [(kind, shown)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_lines_that_are_skipped_hide_nothing(seed, monkeypatch):
+    rnd = random.Random(seed)
+    bits = ["one", "two", "4", "1", " ", " ", " ", "-", "\n", "jane.doe", " at ", " dot ", "(at)", "x.com", "\ufe6b", "\u2024", "\u2074", "а", "plus ", "+", "·", "é", "_dot_"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(60))) for _ in range(1500)]
+    some = [p.find(t) for t in texts]
+    monkeypatch.setattr(p, "stretches", lambda text: [(0, len(text))])
+    assert some == [p.find(t) for t in texts]
