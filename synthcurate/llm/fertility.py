@@ -7,14 +7,17 @@ is gathered over all documents of a language (of a script where the language is
 NULL), entropy also by the power of two of the token count, since it grows with
 length. A text is rejected when a measure leaves the band: the median, plus or
 minus the larger of ``SPREAD`` robust deviations and a fixed share of the median.
+A group of fewer than ``LEAST_ROWS`` texts sets no band; its texts are judged by
+the band of their script, then of all documents, and entropy at last by that of the
+nearest size, opened by a bit for each power of two between, or of all sizes.
 
 Medians and median deviations come from counts by bin, so that the driver and
 any task see bins, never documents. Bands follow a language's texts; the fixed
 shares keep them open where copies of one text make up much of a language.
 
 Defined results: NULL is a text without words. Texts without words have no
-measures and fail the plain rules. A group of fewer than ``LEAST_ROWS`` texts
-sets no band and rejects nothing.
+measures and fail the plain rules. A table of fewer than ``LEAST_ROWS`` texts with
+words sets no band and rejects nothing.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 
 from synthcurate.session import broadcast_if_small
 
-from .common import text_udf
+from .common import stored, text_udf
 
 SYMBOLS = b"#*$%&|<>"
 CACHE_WORDS = 400_000
@@ -134,14 +137,14 @@ def _middle(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFram
     return share.filter(F.col("_up_to") * 2 >= F.col("_all")).groupBy(*keys).agg(F.min(value).alias(name), F.max("_all").alias("rows"))
 
 
-def bands(measured: DataFrame, measure_cols: dict[str, Column]) -> DataFrame:
+def bands(measured: DataFrame, measure_cols: dict[str, Column | list[Column]]) -> DataFrame:
     """(band, measure, low, high) for every group; ``measure_cols`` gives for
-    each measure the key of its band."""
+    each measure the key of its band, or several."""
     long = F.inline(F.array(*[
         F.struct(F.lit(m).alias("measure"), key.alias("band"), F.round(F.col(m) / MEASURES[m][0]).cast("bigint").alias("bin"))
-        for m, key in measure_cols.items()
+        for m, keys in measure_cols.items() for key in (keys if isinstance(keys, list) else [keys])
     ]))
-    counts = measured.select(long).filter("bin is not null").groupBy("measure", "band", "bin").agg(F.count("*").alias("n"))
+    counts = measured.select(long).filter("bin is not null and band is not null").groupBy("measure", "band", "bin").agg(F.count("*").alias("n"))
     keys = ["measure", "band"]
     middle = _middle(counts, keys, "bin", "centre")
     away = counts.join(middle.drop("rows"), keys).withColumn("away", F.abs(F.col("bin") - F.col("centre")))
@@ -156,13 +159,31 @@ def bands(measured: DataFrame, measure_cols: dict[str, Column]) -> DataFrame:
 
 def outside(measured: DataFrame, language: str = "lang") -> DataFrame:
     """Adds ``outside``: the measures that leave their band."""
-    group = F.coalesce(F.col(language).cast("string"), F.concat(F.lit("script "), F.col("script")))
-    keys = {m: group for m in MEASURES}
-    keys["entropy"] = F.concat(group, F.lit(" 2^"), F.floor(F.log2("n_tokens")).cast("string"))
-    table = bands(measured, keys)
-    rows = measured
-    for m, key in keys.items():
-        mine = table.filter(F.col("measure") == m).select(F.col("band").alias(f"_{m}"), F.col("low").alias(f"_{m}_low"), F.col("high").alias(f"_{m}_high"))
-        rows = rows.join(broadcast_if_small(mine), key == F.col(f"_{m}"), "left")
-    broken = [F.when((F.col(m) < F.col(f"_{m}_low")) | (F.col(m) > F.col(f"_{m}_high")), F.lit(m)) for m in keys]
+    script = F.concat(F.lit("script "), F.col("script"))
+    groups = [F.coalesce(F.concat(F.lit("lang "), F.col(language).cast("string")), script), script, F.lit("all")]
+    size = F.floor(F.log2("n_tokens")).cast("int")
+    sized = [F.concat(g, F.lit(" 2^"), size.cast("string")) for g in groups]
+    keys = {m: list(groups) for m in MEASURES}
+    keys["entropy"] = [*sized, F.lit("all")]
+    own = {m: [F.array_distinct(F.array(*k))] for m, k in keys.items()}
+    named = measured.select("*", *[k[0].alias(f"_{m}_keys") for m, k in own.items()])
+    table = stored(bands(named, {m: [F.get(f"_{m}_keys", i) for i in range(len(k))] for m, k in keys.items()}), "bands")
+    ends = table.filter(F.col("measure") == "entropy").filter(F.col("band").startswith("all 2^"))
+    ends = ends.select(F.substring("band", 7, 9).cast("int").alias("near"), "low", "high")
+    nearest = ends.select("*", F.explode(F.sequence(F.lit(0), F.lit(62))).alias("size")).withColumn("gap", F.col("size") - F.col("near"))
+    nearest = nearest.groupBy("size").agg(F.min_by(F.struct("gap", "low", "high"), F.struct(F.abs("gap"), "gap")).alias("b"))
+    nearest = nearest.select(
+        F.concat(F.lit("near 2^"), F.col("size").cast("string")).alias("band"), (F.col("b.low") + F.least("b.gap", F.lit(0))).alias("low"),
+        (F.col("b.high") + F.greatest("b.gap", F.lit(0))).alias("high"),
+    )
+    keys["entropy"].insert(3, F.concat(F.lit("near 2^"), size.cast("string")))
+    rows, broken = measured, []
+    for m, levels in keys.items():
+        mine = table.filter(F.col("measure") == m).select("band", "low", "high")
+        mine = mine.union(nearest) if m == "entropy" else mine
+        for i, key in enumerate(levels):
+            at = mine.select(F.col("band").alias(f"_{m}{i}"), F.struct("low", "high").alias(f"_{m}{i}_band"))
+            rows = rows.join(broadcast_if_small(at), key == F.col(f"_{m}{i}"), "left")
+        band = F.coalesce(*[F.col(f"_{m}{i}_band") for i in range(len(levels))])
+        broken.append(F.when((F.col(m) < band["low"]) | (F.col(m) > band["high"]), F.lit(m)))
     return rows.select(*measured.columns, F.array_compact(F.array(*broken)).alias("outside"))

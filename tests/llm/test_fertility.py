@@ -82,3 +82,12 @@ def test_a_full_table_starts_anew(vocabulary_path, monkeypatch):
     monkeypatch.setattr(f, "CACHE_WORDS", 2)
     pieces.ids([b"three", b"four"])
     assert pieces.ids([b"one", b"two"]).tolist() == first
+
+
+def test_rare_languages_and_sizes_are_judged(spark):
+    cols = "doc_id long, lang string, script string, n_tokens long, chars_per_token double, fertility double, byte_share double, entropy double"
+    rows = [(i, "en", "latin", 600 + i, 4.0 + i % 5 / 50, 1.3, 0.0, 7.0 + i % 7 / 20) for i in range(200)]
+    rows += [(1000, "xx", "latin", 700, 1.0, 1.3, 0.0, 7.1), (1001, "yy", "thai", 700, 4.0, 9.0, 0.9, 7.1)]
+    rows += [(1002, "en", "latin", 50_000, 4.0, 1.3, 0.0, 1.0), (1003, "en", "latin", 50_000, 4.0, 1.3, 0.0, 9.5), (1004, "zz", "latin", 700, 4.0, 1.3, 0.0, 7.1)]
+    out = {r.doc_id: r.outside for r in f.outside(spark.createDataFrame(rows, cols)).collect()}
+    assert {k: v for k, v in out.items() if v} == {1000: ["chars_per_token"], 1001: ["fertility", "byte_share"], 1002: ["entropy"]}
