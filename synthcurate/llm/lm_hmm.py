@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from .common import stored, texts
 
 STATES = 12
-ROUNDS = 4
+ROUNDS = 6
 SYMBOLS = 16_384
 KNOWN = 262_144
 CLASSES = 256

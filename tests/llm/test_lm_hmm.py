@@ -124,3 +124,11 @@ def test_query_base_and_gain(spark):
         assert math.isclose(r.base_score, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), rel_tol=1e-9)
     out = [r for r in rows if r.held_out]
     assert sum(r.score for r in out) > 0.97 * sum(r.base_score for r in out)
+
+
+def test_queries_train_six_rounds(spark, monkeypatch):
+    done, whole = [], h.maximised
+    monkeypatch.setattr(h, "maximised", lambda *a: done.append(1) or whole(*a))
+    docs = spark.createDataFrame([(1, "a b a b c"), (2, "b a c")], "doc_id long, text string")
+    h.scores(docs, F.lit(True), states=2)
+    assert len(done) == 6
