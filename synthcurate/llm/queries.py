@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate_wm, fertility, line_dedup, lm_hmm, pack_bestfit, pii_transducer, quality_qda, simhash_vp, token_trie, warc_normalise
+from . import (
+    decontaminate_wm, fertility, line_dedup, lm_hmm, pack_bestfit, pii_transducer, quality_qda, secrets_trigram, simhash_vp, token_trie,
+    warc_normalise,
+)
 from .common import in_fold, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +116,24 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _spans(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _of_kind(kind: str) -> Callable[[Column], Column]:
+    return lambda span: span["kind"] == kind
+
+
+@register
+def op11_secret_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", secrets_trigram.secrets(F.col("text")).alias("s"))
+    base = F.filter("s", lambda s: s["kind"].isin(*secrets_trigram.BASE))
+    return docs.select(
+        "doc_id", *[F.size(F.filter("s", _of_kind(k))).cast("bigint").alias(f"n_{k}") for k in secrets_trigram.BASE],
+        F.sha2(_spans(base), 256).alias("base_sha256"), _spans(F.col("s")).alias("spans"),
+    )
+
+
 from .oracle import ORACLE as _SQL  # noqa: E402
 
 ORACLE.update(_SQL)
