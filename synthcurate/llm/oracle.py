@@ -74,3 +74,42 @@ select doc_id, cast(coalesce(len(ls), 0) as bigint) as n_lines, coalesce(n_equal
   coalesce(removed, '') as removed
 from raw left join gone using (doc_id)
 """
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLE["op13_source_divergence"] = f"""
+with d as (
+  select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source, {_TERMS} as ts from documents
+), occ as (
+  select rid, lang, source, unnest(ts) as term from d
+), df as (
+  select lang, term from occ group by lang, term having count(distinct rid) >= 30
+), v as (
+  select l.lang, count(df.term) as v from (select distinct lang from d) l left join df using (lang) group by l.lang
+), gc as (
+  select lang, source, term, count(*) as c from occ join df using (lang, term) group by all
+), groups as (
+  select g.lang, g.source, coalesce(sum(gc.c), 0) as n from (select distinct lang, source from d) g left join gc using (lang, source) group by all
+), langs as (
+  select lang, sum(n) as n from groups group by lang
+), p as (
+  select g.lang, g.source, df.term, coalesce(gc.c, 0) as c,
+    1 + (1000000000::hugeint * (coalesce(gc.c, 0) + 5)) // (g.n + 5 * v.v) as p
+  from groups g join df using (lang) join v using (lang) left join gc on gc.lang = g.lang and gc.source = g.source and gc.term = df.term
+), q as (
+  select df.lang, df.term, 1 + (1000000000::hugeint * (coalesce(sum(gc.c), 0) + 5)) // (langs.n + 5 * v.v) as q
+  from df join langs using (lang) join v using (lang) left join gc using (lang, term) group by df.lang, df.term, langs.n, v.v
+), diffs as (
+  select pa.lang, pa.source, pb.source as item, sum(abs(pa.p - pb.p)) as value
+  from p pa join p pb on pa.lang = pb.lang and pa.term = pb.term and pa.source <> pb.source group by all
+), pair as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(diffs.value, 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join diffs on diffs.lang = a.lang and diffs.source = a.source and diffs.item = b.source
+), term as (
+  select p.lang, p.source, 'term' as part, p.term as item, p.p - q.q as value from p join q using (lang, term) where p.c > 0 and p.p > q.q
+), ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, encode(item) asc) as rank from (select * from pair union all select * from term)
+)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank from ranked where part = 'pair' or rank <= 50
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate_wm, fertility, line_dedup, lm_hmm, pack_bestfit, pii_transducer, quality_qda, secrets_trigram, simhash_vp, token_trie,
+    decontaminate_wm, fertility, line_dedup, lm_hmm, pack_bestfit, pii_transducer, quality_qda, secrets_trigram, simhash_vp, source_stripes, token_trie,
     warc_normalise,
 )
 from .common import in_fold, stored, table
@@ -134,6 +134,11 @@ def op11_secret_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_stripes.audit(table(spark, sf_dir, "documents"))
+
+
 from .oracle import ORACLE as _SQL  # noqa: E402
 
 ORACLE.update(_SQL)
