@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate_wm, fertility, line_dedup, lm_hmm, pack_bestfit, pii_transducer, quality_qda, secrets_trigram, simhash_vp, source_stripes, token_trie,
+    decontaminate_wm, fertility, line_dedup, lm_hmm, pack_bestfit, pii_transducer, quality_qda, secrets_trigram, simhash_vp, source_stripes, token_align, token_trie,
     warc_normalise,
 )
 from .common import in_fold, stored, table
@@ -134,6 +134,12 @@ def op11_secret_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_align.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 @register
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_stripes.audit(table(spark, sf_dir, "documents"))
