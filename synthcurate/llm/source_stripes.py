@@ -4,10 +4,10 @@ Each task folds whole documents into stripes: for a (lang, term), the number of
 documents that hold the term and, per source, its documents and occurrences.
 A task keeps its stripes in a hash table and spills them as rows when the table
 holds ``STRIPE_ENTRIES`` entries, so its memory is bounded whatever it reads.
-Spilled stripes are merged by key in Spark (a sum per (lang, term, source),
-combined on the map side first), so a term or source that fills a third of all
-rows arrives as at most one row per task and spill. The merged stripes of kept
-terms carry their source counts; each emits its share of every divergence at
+Spilled stripes are merged by key in Spark: one shuffle by (lang, term), then
+sums per source and per term in the same partitions, so a term or source that
+fills a third of all rows arrives as at most one row per task, spill and
+source. Only stripes of kept terms are written; they carry their source counts; each emits its share of every divergence at
 once: a p value per source of its language, the term rows, and |p - q| for each
 pair of sources, which one more aggregation sums.
 
@@ -30,6 +30,7 @@ columns of the input are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,6 +40,8 @@ from pyspark.sql import functions as F
 
 from synthcurate.session import broadcast_if_small
 
+from .common import stored
+
 # Fixed values of the audit.
 MIN_DOCS = 30
 TOP_TERMS = 50
@@ -49,20 +52,21 @@ SCALE = 1_000_000_000
 STRIPE_ENTRIES = 200_000
 
 _TERM = regex.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_STRIPE = pa.schema([
-    ("lang", pa.string()), ("term", pa.string()),
-    ("entries", pa.list_(pa.struct([("source", pa.string()), ("docs", pa.int64()), ("count", pa.int64())]))),
-])
-_STRIPE_DDL = "lang string, term string, entries array<struct<source:string,docs:bigint,count:bigint>>"
+_STRIPE = pa.schema([("lang", pa.string()), ("term", pa.string()), ("source", pa.string()), ("docs", pa.int64()), ("count", pa.int64())])
+_STRIPE_DDL = "lang string, term string, source string, docs bigint, count bigint"
 
 
 def _spill(table: dict) -> pa.RecordBatch:
-    langs, terms, entries = [], [], []
-    for (lang, term), sources in table.items():
-        langs.append(lang)
-        terms.append(term)
-        entries.append([{"source": s, "docs": d, "count": c} for s, (d, c) in sources.items()])
-    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(terms, pa.string()), pa.array(entries, _STRIPE.field("entries").type)], schema=_STRIPE)
+    """The entries of all stripes of a task, one row each."""
+    langs, terms, sources, docs, counts = [], [], [], [], []
+    for (lang, term), stripe in table.items():
+        for source, (d, c) in stripe.items():
+            langs.append(lang)
+            terms.append(term)
+            sources.append(source)
+            docs.append(d)
+            counts.append(c)
+    return pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip((langs, terms, sources, docs, counts), _STRIPE)], schema=_STRIPE)
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,15 +77,13 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lang = batch.column("lang").to_pylist()
         source = batch.column("source").to_pylist()
         for raw, lg, src in zip(text, lang, source):
-            counts: dict[bytes, int] = {}
-            for m in _TERM.finditer((raw or b"").lower()):
-                w = m.group()
-                counts[w] = counts.get(w, 0) + 1
-            for w, c in counts.items():
-                sources = table.setdefault((lg, w.decode("utf-8")), {})
-                entry = sources.get(src)
+            for w, c in Counter(_TERM.findall((raw or b"").lower())).items():
+                stripe = table.get((lg, w))
+                if stripe is None:
+                    stripe = table[(lg, w)] = {}
+                entry = stripe.get(src)
                 if entry is None:
-                    sources[src] = [1, c]
+                    stripe[src] = [1, c]
                     held += 1
                 else:
                     entry[0] += 1
@@ -94,7 +96,7 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def stripes(docs: DataFrame) -> DataFrame:
-    """Stripes of each task, spilled: (lang, term, entries of source, docs, count)."""
+    """Entries of the stripes of each task, spilled: (lang, term, source, docs, count)."""
     read = docs.select(
         F.coalesce(F.col("text"), F.lit("")).alias("text"), F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
         F.coalesce(F.col("source"), F.lit("")).alias("source"),
@@ -103,10 +105,14 @@ def stripes(docs: DataFrame) -> DataFrame:
 
 
 def merged(docs: DataFrame) -> DataFrame:
-    """Stripes merged by key: (lang, term, source, docs, count), summed over tasks."""
-    entries = stripes(docs).select("lang", "term", F.explode("entries").alias("e"))
-    return entries.groupBy("lang", "term", F.col("e.source").alias("source")).agg(
-        F.sum("e.docs").alias("docs"), F.sum("e.count").alias("count"),
+    """Stripes merged by key, (lang, term, df, lang_count, counts by source). One
+    shuffle by (lang, term): the stripes were combined in the tasks already."""
+    by_source = stripes(docs).repartition("lang", "term").groupBy("lang", "term", "source").agg(
+        F.sum("docs").alias("docs"), F.sum("count").alias("count"),
+    )
+    return by_source.groupBy("lang", "term").agg(
+        F.sum("docs").alias("df"), F.sum("count").alias("lang_count"),
+        F.map_from_entries(F.collect_list(F.struct("source", "count"))).alias("counts"),
     )
 
 
@@ -117,15 +123,10 @@ def _p(count: Column, n: Column, v: Column) -> Column:
 
 def audit(docs: DataFrame) -> DataFrame:
     """The audit rows: lang, source, part, item, value, rank."""
-    entries = merged(docs)
-    by_term = entries.groupBy("lang", "term").agg(
-        F.sum("docs").alias("df"), F.sum("count").alias("lang_count"),
-        F.map_from_entries(F.collect_list(F.struct("source", "count"))).alias("counts"),
-    )
-    kept = by_term.filter(F.col("df") >= MIN_DOCS)
+    kept = stored(merged(docs).filter(F.col("df") >= MIN_DOCS), "stripes-kept")
     # groups that occur, with their occurrences of kept terms; V and N of each lang
     groups = docs.select(F.coalesce(F.col("lang"), F.lit("")).alias("lang"), F.coalesce(F.col("source"), F.lit("")).alias("source")).distinct()
-    occur = entries.join(kept.select("lang", "term"), ["lang", "term"]).groupBy("lang", "source").agg(F.sum("count").alias("n"))
+    occur = kept.select("lang", F.explode("counts").alias("source", "count")).groupBy("lang", "source").agg(F.sum("count").alias("n"))
     groups = groups.join(occur, ["lang", "source"], "left").fillna(0, ["n"])
     per_lang = groups.groupBy("lang").agg(
         F.sort_array(F.collect_list(F.struct("source", "n"))).alias("groups"), F.sum("n").alias("lang_n"),
