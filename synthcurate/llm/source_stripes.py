@@ -2,13 +2,15 @@
 
 Each task folds whole documents into stripes: for a (lang, term), the number of
 documents that hold the term and, per source, its documents and occurrences.
-A task keeps its stripes in a hash table and spills them as rows when the table
-holds ``STRIPE_ENTRIES`` entries, so its memory is bounded whatever it reads.
+A task keeps its stripes as Arrow tables that a hash aggregation combines (the
+terms of a batch are split and counted in Arrow's C++ kernels, A-Z lower-cased
+by Spark first) and spills them as rows when they hold ``STRIPE_ENTRIES``
+entries after combining, so its memory is bounded whatever it reads.
 Spilled stripes are merged by key in Spark: one shuffle by (lang, term), then
 sums per source and per term in the same partitions, so a term or source that
 fills a third of all rows arrives as at most one row per task, spill and
-source. Only stripes of kept terms are written; they carry their source counts; each emits its share of every divergence at
-once: a p value per source of its language, the term rows, and |p - q| for each
+source. Only stripes of kept terms are written; they carry their source
+counts; each emits its share of every divergence at once: a p value per source of its language, the term rows, and |p - q| for each
 pair of sources, which one more aggregation sums.
 
 Definitions (exact integer arithmetic, decimals of 38 digits where products
@@ -30,11 +32,10 @@ columns of the input are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,57 +50,59 @@ SMOOTH = 5
 SCALE = 1_000_000_000
 
 # Entries (lang, term, source) a task holds before it spills its stripes.
-STRIPE_ENTRIES = 200_000
+STRIPE_ENTRIES = 1_000_000
 
-_TERM = regex.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_STRIPE = pa.schema([("lang", pa.string()), ("term", pa.string()), ("source", pa.string()), ("docs", pa.int64()), ("count", pa.int64())])
+# What lies between terms: ASCII other than letters (A-Z were lower-cased before).
+_BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _STRIPE_DDL = "lang string, term string, source string, docs bigint, count bigint"
+_KEY = ["lang", "term", "source"]
 
 
-def _spill(table: dict) -> pa.RecordBatch:
-    """The entries of all stripes of a task, one row each."""
-    langs, terms, sources, docs, counts = [], [], [], [], []
-    for (lang, term), stripe in table.items():
-        for source, (d, c) in stripe.items():
-            langs.append(lang)
-            terms.append(term)
-            sources.append(source)
-            docs.append(d)
-            counts.append(c)
-    return pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip((langs, terms, sources, docs, counts), _STRIPE)], schema=_STRIPE)
+def _combine(table: pa.Table) -> pa.Table:
+    """Entries of equal key added up (a hash aggregation in Arrow)."""
+    out = table.group_by(_KEY, use_threads=False).aggregate([("docs", "sum"), ("count", "sum")])
+    return out.rename_columns({"docs_sum": "docs", "count_sum": "count"}).select([*_KEY, "docs", "count"])
+
+
+def _entries(batch: pa.RecordBatch) -> pa.Table:
+    """The stripe entries of a batch of documents: per (lang, term, source),
+    documents that hold the term and its occurrences."""
+    words = pc.split_pattern_regex(batch.column("text"), _BETWEEN)
+    flat = pc.list_flatten(words)
+    doc = pc.list_parent_indices(words)
+    keep = pc.not_equal(flat, "")
+    occurrences = pa.table({"doc": pc.filter(doc, keep), "term": pc.filter(flat, keep)})
+    per_doc = occurrences.group_by(["doc", "term"], use_threads=False).aggregate([("term", "count")])
+    at = per_doc.column("doc")
+    return _combine(pa.table({
+        "lang": pc.take(batch.column("lang"), at), "term": per_doc.column("term"), "source": pc.take(batch.column("source"), at),
+        "docs": pa.repeat(pa.scalar(1, pa.int64()), per_doc.num_rows) if per_doc.num_rows else pa.array([], pa.int64()),
+        "count": per_doc.column("term_count").cast(pa.int64()),
+    }))
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table: dict[tuple[str, str], dict[str, list[int]]] = {}
-    held = 0
+    held: list[pa.Table] = []
+    rows = 0
     for batch in batches:
-        text = batch.column("text").cast(pa.large_binary()).to_pylist()
-        lang = batch.column("lang").to_pylist()
-        source = batch.column("source").to_pylist()
-        for raw, lg, src in zip(text, lang, source):
-            for w, c in Counter(_TERM.findall((raw or b"").lower())).items():
-                stripe = table.get((lg, w))
-                if stripe is None:
-                    stripe = table[(lg, w)] = {}
-                entry = stripe.get(src)
-                if entry is None:
-                    stripe[src] = [1, c]
-                    held += 1
-                else:
-                    entry[0] += 1
-                    entry[1] += c
-            if held >= STRIPE_ENTRIES:
-                yield _spill(table)
-                table, held = {}, 0
-    if table:
-        yield _spill(table)
+        part = _entries(batch)
+        held.append(part)
+        rows += part.num_rows
+        if rows >= STRIPE_ENTRIES:
+            table = _combine(pa.concat_tables(held))
+            held, rows = [table], table.num_rows
+            if rows >= STRIPE_ENTRIES // 2:
+                yield from table.to_batches()
+                held, rows = [], 0
+    if held:
+        yield from _combine(pa.concat_tables(held)).to_batches()
 
 
 def stripes(docs: DataFrame) -> DataFrame:
     """Entries of the stripes of each task, spilled: (lang, term, source, docs, count)."""
     read = docs.select(
-        F.coalesce(F.col("text"), F.lit("")).alias("text"), F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
-        F.coalesce(F.col("source"), F.lit("")).alias("source"),
+        F.translate(F.coalesce(F.col("text"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("text"),
+        F.coalesce(F.col("lang"), F.lit("")).alias("lang"), F.coalesce(F.col("source"), F.lit("")).alias("source"),
     )
     return read.mapInArrow(_fold, _STRIPE_DDL)
 
