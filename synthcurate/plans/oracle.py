@@ -230,6 +230,7 @@ from measures m join quartiles q on m.measure = q.measure and m.gpu_config = q.g
 
 BODIES: dict[str, str] = {
     "scan_labeled": "select split, label, text from headlines",
+    "scan_array_split": "select split, row_id, label, text from headlines",
     "scan_synthetic": """
 select concat(model, '_', count(*) over (partition by model, prompt), '_prompt=', prompt, '.json') as dataset, headline, sentiment
 from datasets""",

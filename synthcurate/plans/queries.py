@@ -18,7 +18,7 @@ from synthcurate.plans.curate import CurationSpec, curate
 from synthcurate.plans.generate import GenerationSpec, generate
 from synthcurate.plans.inputs import Inputs
 from synthcurate.session import broadcast_if_small, join_on, materialize, scratch_path
-from synthcurate.sources import readers, sinks
+from synthcurate.sources import array_scan, readers, sinks
 from synthcurate.streaming import curate as streaming
 
 SEED = 42
@@ -78,6 +78,17 @@ def scan_labeled(i: Inputs) -> DataFrame:
     return readers.read_labeled(i.spark, f"{path}/split=train", f"{path}/split=validation")
 
 
+@query
+def scan_array_split(i: Inputs) -> DataFrame:
+    """Labelled headlines as JSON-array files, read back by byte ranges."""
+    path = scratch_path(i.spark, "array-split")
+    element = tx.object_json(row_id=F.col("row_id").cast("string"), text=tx.json_text(F.col("text")), label=F.col("label").cast("string"))
+    sinks.write_json_arrays(i.headlines(), path, ["split"], ["row_id"], element)
+    item = T.StructType([T.StructField("row_id", T.LongType()), *schemas.LABELED.fields])
+    rows = array_scan.scan_arrays(i.spark, path, item)
+    return rows.select(F.regexp_extract("file", "/split=([^/]+)/", 1).alias("split"), "row_id", "label", "text")
+
+
 @query
 def scan_synthetic(i: Inputs) -> DataFrame:
     """Datasets as named array files, with settings files below them."""
