@@ -137,6 +137,29 @@ def classified(attempts: DataFrame) -> DataFrame:
     return attempts.withColumn("action", error_action(F.col("error")))
 
 
+def request_fingerprint(prompts: DataFrame) -> str:
+    """A fingerprint of a request set that does not depend on row order or
+    partitioning: the count and the sum of 64-bit hashes of all columns."""
+    row = prompts.agg(
+        F.count("*").alias("n"), F.sum(F.xxhash64(*[F.col(c) for c in sorted(prompts.columns)]).cast("decimal(38,0)")).alias("h"),
+    ).first()
+    return f"{row['n']}:{row['h'] or 0}"
+
+
+def finished_rounds(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger beside the attempts: ``(round, requests, stopped)`` of each
+    round whose attempts were written in full. A round's entry is written
+    after its attempts, by a committed Spark write, so a run stopped within a
+    round leaves no entry for it."""
+    try:
+        rows = spark.read.schema("requests string, stopped boolean").json(f"{path}/ledger")
+    except Exception as e:  # no round finished yet
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], "round bigint, requests string, stopped boolean")
+    return rows.select(F.col("round").cast("bigint").alias("round"), "requests", "stopped")
+
+
 def run_rounds(
     prompts: DataFrame, completer: Completer, max_rounds: int, path: str | None = None,
     strict: bool = True, clean: bool = True, first_round: int = 1,
@@ -148,21 +171,38 @@ def run_rounds(
     and the prompts left unfilled. Each round is a partition of the attempts
     table at ``path``; only counts come to the driver. A provider that reports
     an exhausted limit ends the loop.
+
+    A ledger of finished rounds lies beside the attempts. Given the ``path`` of
+    a stopped run, the rounds go on after its last finished round (the
+    attempts of a round cut short are asked again) and no accepted prompt is
+    asked again; ``max_rounds`` counts the rounds of both runs. A ledger of
+    another request set is an error, as is going on after a stop.
     """
     spark = prompts.sparkSession
     path = path or scratch_path(spark, "attempts")
-    open_prompts = prompts
-    done = spark.createDataFrame([], schemas.ACCEPTED)
-    for round_no in range(first_round, first_round + max_rounds):
+    requests = request_fingerprint(prompts)
+    ledger = finished_rounds(spark, path).collect()  # a row per finished round
+    if any(r["requests"] != requests for r in ledger):
+        raise ValueError(f"the attempts at {path} belong to another request set")
+    last = max((r["round"] for r in ledger), default=first_round - 1)
+    stopped = any(r["stopped"] for r in ledger)
+    open_prompts, done = prompts, spark.createDataFrame([], schemas.ACCEPTED)
+    if ledger:
+        attempts = spark.read.parquet(f"{path}/gated").filter(F.col("attempt") <= last)
+        done = attempts.filter(F.col("items").isNotNull())
+        open_prompts = pending(prompts, done)
+    for round_no in range(last + 1, first_round + max_rounds):
+        if stopped or open_prompts.isEmpty():
+            break
         answers = completer(open_prompts, round_no, f"{path}/raw/attempt={round_no}")
         gated = gate(answers.withColumn("attempt", F.lit(round_no).cast("bigint")), strict, clean)
         gated.drop("attempt").write.mode("overwrite").parquet(f"{path}/gated/attempt={round_no}")
-        attempts = spark.read.schema(gated.schema).parquet(f"{path}/gated")
+        attempts = spark.read.schema(gated.schema).parquet(f"{path}/gated").filter(F.col("attempt") <= round_no)
         done = attempts.filter(F.col("items").isNotNull())
         open_prompts = pending(prompts, done)
-        stops = classified(attempts.filter(F.col("attempt") == round_no)).filter(F.col("action") == "stop")
-        if open_prompts.isEmpty() or not stops.isEmpty():
-            break
+        stopped = not classified(attempts.filter(F.col("attempt") == round_no)).filter(F.col("action") == "stop").isEmpty()
+        entry = spark.createDataFrame([(requests, stopped)], "requests string, stopped boolean")
+        entry.coalesce(1).write.mode("overwrite").json(f"{path}/ledger/round={round_no}")
     return done.select("prompt_id", "attempt", "items", "n_items"), open_prompts
 
 

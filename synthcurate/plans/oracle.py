@@ -337,6 +337,7 @@ select n.model, r.template as prompt, r.prompt_id, 1::bigint as attempt, 0::bigi
 from rendered r join named n on r.prompt_id = n.prompt_id
 qualify row_number() over (partition by n.model, r.template, headline order by r.prompt_id) = 1""",
     "retry_rounds": "select prompt_id, attempt, n_items from first_valid",
+    "resumed_rounds": "select prompt_id, attempt, n_items from first_valid",
     "letter_filter": "select doc_id, text as headline from documents where regexp_matches(text, '[a-zA-Z]')",
     "dedup_headline": """
 select * from datasets qualify row_number() over (partition by model, prompt, headline order by prompt_id, attempt, pos) = 1""",

@@ -450,6 +450,19 @@ def retry_rounds(i: Inputs) -> DataFrame:
     return accepted.select("prompt_id", "attempt", "n_items")
 
 
+@query
+def resumed_rounds(i: Inputs) -> DataFrame:
+    """The rounds of ``retry_rounds``, stopped after the first half and run on
+    from the ledger of that run."""
+    low, high = i.completions().agg(F.min("attempt"), F.max("attempt")).first()
+    n = 0 if low is None else high - low + 1
+    path = scratch_path(i.spark, "resumed")
+    completer = rounds.replay_completer(i.completions())
+    rounds.run_rounds(i.requests(), completer, max_rounds=n // 2, first_round=low or 1, path=path)
+    accepted, _ = rounds.run_rounds(i.requests(), completer, max_rounds=n, first_round=low or 1, path=path)
+    return accepted.select("prompt_id", "attempt", "n_items")
+
+
 # --- curation ----------------------------------------------------------------------
 
 
