@@ -237,6 +237,9 @@ from datasets""",
     "named_files": """
 select concat(model, '_', count(*), '_prompt=', prompt, '.json') as file, count(*) as n from datasets group by model, prompt""",
     "write_roundtrip": "select model, prompt, prompt_id, attempt, pos, headline, sentiment from datasets",
+    "committed_writes": """
+select model, prompt, prompt_id, attempt, pos, headline, sentiment from datasets d where attempt = 1 or not exists (
+ select 1 from datasets o where o.attempt = 1 and o.model is not distinct from d.model and o.prompt is not distinct from d.prompt)""",
     "missing_datasets": """
 select model, prompt, prompt_id, attempt, pos, headline from datasets d where not exists (
  select 1 from datasets o where o.attempt = 1 and o.model = d.model and o.prompt = d.prompt)""",

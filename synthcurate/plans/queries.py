@@ -18,7 +18,7 @@ from synthcurate.plans.curate import CurationSpec, curate
 from synthcurate.plans.generate import GenerationSpec, generate
 from synthcurate.plans.inputs import Inputs
 from synthcurate.session import broadcast_if_small, join_on, materialize, scratch_path
-from synthcurate.sources import array_scan, readers, sinks
+from synthcurate.sources import array_scan, committed, readers, sinks
 from synthcurate.streaming import curate as streaming
 
 SEED = 42
@@ -127,6 +127,18 @@ def missing_datasets(i: Inputs) -> DataFrame:
     return sinks.missing_datasets(rows, existing).select("model", "prompt", "prompt_id", "attempt", "pos", "headline")
 
 
+@query
+def committed_writes(i: Inputs) -> DataFrame:
+    """Two writers of overlapping datasets: first attempts, then all rows. A
+    dataset is kept once, as its first committer wrote it."""
+    root = scratch_path(i.spark, "committed")
+    rows = _datasets(i).select("model", "prompt", "prompt_id", "attempt", "pos", "headline", "sentiment")
+    committed.write_committed(rows.filter(F.col("attempt") == 1), root, writer="first-attempts")
+    committed.write_committed(rows, root, writer="all-attempts")
+    schema = "model string, prompt string, prompt_id bigint, attempt bigint, pos bigint, headline string, sentiment string"
+    return committed.read_committed(i.spark, root, schema)
+
+
 @query
 def run_metadata(i: Inputs) -> DataFrame:
     runs = i.requests().groupBy("model", F.col("template").alias("prompt")).agg(F.count("*").alias("num_prompts"))
