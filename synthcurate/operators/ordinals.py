@@ -145,3 +145,42 @@ def _cumulate(at: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(upto - amounts)], names=[*batch.schema.names, "_inside"])
 
     return cumulate
+
+
+def running_max(df: DataFrame, group: list[str], order: list[str], value: str, upto: str = "upto") -> DataFrame:
+    """Largest ``value`` of the group up to and including each row, in ``order``
+    (unique within a group). NULL values count as absent.
+
+    As ``running_totals``: one distributed sort; each sorted partition keeps a
+    running maximum per group run; the maxima of whole partitions (one row per
+    partition and group) are carried forward by a small window; a group of any
+    size is spread over many partitions.
+    """
+    schema = T.StructType([*df.schema.fields, T.StructField("_inside", T.LongType())])
+    rows = df.sort(*group, *order).mapInArrow(_cummax([df.columns.index(c) for c in group], df.columns.index(value)), schema)
+    rows = materialize(rows.withColumn("_part", F.spark_partition_id()))
+    parts = rows.groupBy(*group, "_part").agg(F.max(value).alias("_max"))
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = parts.select(*group, "_part", F.max("_max").over(earlier).alias("_carry"))
+    placed = join_on(rows, broadcast_if_small(carry), [*group, "_part"])
+    return placed.select(*df.columns, F.greatest("_inside", "_carry").alias(upto))
+
+
+def _cummax(keys: list[int], at: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Running maximum of column ``at`` within runs of equal ``keys`` of a sorted partition."""
+
+    def cummax(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key, best = object(), None
+        for batch in batches:
+            key_rows = list(zip(*[batch.column(k).to_pylist() for k in keys])) if keys else [()] * batch.num_rows
+            values = batch.column(at).to_pylist()
+            out = []
+            for key, v in zip(key_rows, values):
+                if key != last_key:
+                    last_key, best = key, None
+                if v is not None and (best is None or v > best):
+                    best = v
+                out.append(best)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=[*batch.schema.names, "_inside"])
+
+    return cummax

@@ -340,6 +340,16 @@ select n.model, r.template as prompt, r.prompt_id, 1::bigint as attempt, 0::bigi
 from rendered r join named n on r.prompt_id = n.prompt_id
 qualify row_number() over (partition by n.model, r.template, headline order by r.prompt_id) = 1""",
     "retry_rounds": "select prompt_id, attempt, n_items from first_valid",
+    "schedule_requests": """
+with e as (
+ select event_id, event_type, epoch_us(ts) as ready,
+  row_number() over (partition by event_type order by epoch_us(ts), event_id) - 1 as place
+ from events where ts is not null
+), s as (
+ select *, place * 1200000000 + max(ready - place * 1200000000) over (
+  partition by event_type order by ready, event_id rows between unbounded preceding and current row) as start from e
+)
+select event_id, event_type, place, ready, start, start - ready as wait from s""",
     "resumed_rounds": "select prompt_id, attempt, n_items from first_valid",
     "letter_filter": "select doc_id, text as headline from documents where regexp_matches(text, '[a-zA-Z]')",
     "dedup_headline": """

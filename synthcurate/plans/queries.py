@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from synthcurate import schemas
 from synthcurate.functions import text as tx
 from synthcurate.functions.completion import Field, Gate
-from synthcurate.operators import draws, gate, metrics, prompts, rounds, select
+from synthcurate.operators import draws, gate, metrics, prompts, rounds, schedule, select
 from synthcurate.operators.ordinals import running_totals
 from synthcurate.plans.curate import CurationSpec, curate
 from synthcurate.plans.generate import GenerationSpec, generate
@@ -475,6 +475,18 @@ def resumed_rounds(i: Inputs) -> DataFrame:
     return accepted.select("prompt_id", "attempt", "n_items")
 
 
+# Requests of an event type start at least this many microseconds apart.
+LANE_GAP_US = 20 * 60 * 1_000_000
+
+
+@query
+def schedule_requests(i: Inputs) -> DataFrame:
+    """Events as requests, one lane per event type, started under a rate limit."""
+    events = i.table("events").select("event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("ready"))
+    out = schedule.schedule(events, ["event_type"], "ready", "event_id", LANE_GAP_US)
+    return out.select("event_id", "event_type", "place", "ready", "start", "wait")
+
+
 # --- curation ----------------------------------------------------------------------
 
 
