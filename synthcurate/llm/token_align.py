@@ -17,10 +17,12 @@ last common end); a chunk without a common end is open as a whole. Two
 neighbouring fragments compose: the left suffix and the right prefix close a
 group, or, when the right side is open, extend the suffix. This is associative,
 so the fragments of a long document are composed in a tree whose levels are
-Spark aggregations by (document, chunk // 2); groups leave the tree in order
-with the fragment, while the work of a level (joining open ends, the sweep of
-each chunk) runs in many tasks. A document of one chunk is one fragment and
-skips the tree.
+Spark aggregations by (document, chunk // 2). Closed groups travel only as
+their summary (number of groups and links, link pairs with their counts, the
+group text); only open ends carry tokens. All of it is array arithmetic per
+document (numpy): the links of tokens that tile the same bytes are the
+elementary intervals between all token ends. A document of one chunk is one
+fragment, summarised where it is tokenised, and skips the tree.
 
 Corpus-wide, the count of an (A id, B id) pair is the number of documents (rows)
 that link it at least once; each link is then weighed by that count and by the
@@ -35,12 +37,12 @@ NULL; other columns are ignored; very long texts are tokenised whole.
 
 from __future__ import annotations
 
-import bisect
 import math
 from functools import lru_cache
 
-import pyarrow as pa
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,17 +53,27 @@ from .common import stored, texts
 
 # Bytes of a chunk of a document, by token ends; longer documents go through the tree.
 CHUNK_BYTES = 1 << 20
-
-_INTS = T.ArrayType(T.LongType())
-_TOKENS = T.StructType([
-    T.StructField("ok", T.BooleanType()), T.StructField("a", _INTS), T.StructField("a_end", _INTS),
-    T.StructField("b", _INTS), T.StructField("b_end", _INTS), T.StructField("size", T.LongType()),
+# A link pair as one number: A id times this plus B id (B ids are below it).
+PAIR = 1 << 20
+
+_I64 = pa.list_(pa.int64())
+_OPEN = pa.struct([("a", _I64), ("a_end", _I64), ("b", _I64), ("b_end", _I64)])
+_SUMMARY = pa.struct([("groups", pa.int64()), ("links", pa.int64()), ("pairs", _I64), ("counts", _I64), ("text", pa.string())])
+_FRAGMENT = pa.struct([("k", pa.int64()), ("closed", pa.bool_()), ("prefix", _OPEN), ("inner", _SUMMARY), ("suffix", _OPEN)])
+_RESULT = pa.struct([("ok", pa.bool_()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("whole", _SUMMARY), ("chunks", pa.list_(_FRAGMENT))])
+
+_OPEN_T = T.StructType([T.StructField(c, T.ArrayType(T.LongType())) for c in ("a", "a_end", "b", "b_end")])
+_SUMMARY_T = T.StructType([
+    T.StructField("groups", T.LongType()), T.StructField("links", T.LongType()), T.StructField("pairs", T.ArrayType(T.LongType())),
+    T.StructField("counts", T.ArrayType(T.LongType())), T.StructField("text", T.StringType()),
+])
+_FRAGMENT_T = T.StructType([
+    T.StructField("k", T.LongType()), T.StructField("closed", T.BooleanType()), T.StructField("prefix", _OPEN_T),
+    T.StructField("inner", _SUMMARY_T), T.StructField("suffix", _OPEN_T),
 ])
-_GROUP = T.StructType([T.StructField("at", T.LongType()), T.StructField("a", _INTS), T.StructField("a_end", _INTS),
-                       T.StructField("b", _INTS), T.StructField("b_end", _INTS)])
-_FRAGMENT = T.StructType([
-    T.StructField("closed", T.BooleanType()),
-    T.StructField("prefix", _GROUP), T.StructField("groups", T.ArrayType(_GROUP)), T.StructField("suffix", _GROUP),
+_RESULT_DDL = T.StructType([
+    T.StructField("ok", T.BooleanType()), T.StructField("n_a", T.LongType()), T.StructField("n_b", T.LongType()),
+    T.StructField("whole", _SUMMARY_T), T.StructField("chunks", T.ArrayType(_FRAGMENT_T)),
 ])
 
 
@@ -97,197 +109,200 @@ def _tokenizers(path_a: str, path_b: str):
     return a, a_bytes, b, b_bytes
 
 
-def _ends(ids: list[int], table: list[bytes]) -> list[int]:
-    out, at = [], 0
-    for i in ids:
-        at += len(table[i])
-        out.append(at)
-    return out
+@lru_cache(maxsize=2)
+def _lengths(path_a: str, path_b: str) -> tuple[np.ndarray, np.ndarray]:
+    _, a_bytes, _, b_bytes = _tokenizers(path_a, path_b)
+    return np.array([len(x) for x in a_bytes], np.int64), np.array([len(x) for x in b_bytes], np.int64)
 
 
-def encode(text: bytes | None, path_a: str, path_b: str) -> dict:
-    """Ids and byte ends of A and B; ``ok`` false where either differs from the bytes."""
-    if not text:
-        return {"ok": False, "a": [], "a_end": [], "b": [], "b_end": [], "size": 0}
-    a, a_bytes, b, b_bytes = _tokenizers(path_a, path_b)
-    s = text.decode("utf-8")
-    want = b" " + text
-    ai = a.encode(" " + s, add_special_tokens=False).ids
-    bi = b.encode(s)
-    ok = b"".join(a_bytes[i] for i in ai) == want and b"".join(b_bytes[i] for i in bi) == want
-    if not ok:
-        return {"ok": False, "a": [], "a_end": [], "b": [], "b_end": [], "size": 0}
-    return {"ok": True, "a": ai, "a_end": _ends(ai, a_bytes), "b": bi, "b_end": _ends(bi, b_bytes), "size": len(want)}
+def _tokens(a, a_end, b, b_end) -> dict:
+    return {"a": np.asarray(a, np.int64), "a_end": np.asarray(a_end, np.int64), "b": np.asarray(b, np.int64), "b_end": np.asarray(b_end, np.int64)}
+
+
+_NONE = _tokens([], [], [], [])
+_ZERO = {"groups": 0, "links": 0, "pairs": np.zeros(0, np.int64), "counts": np.zeros(0, np.int64), "text": ""}
 
 
-def _tokens_udf(path_a: str, path_b: str):
-    kind = pa.struct([("ok", pa.bool_()), ("a", pa.list_(pa.int64())), ("a_end", pa.list_(pa.int64())),
-                      ("b", pa.list_(pa.int64())), ("b_end", pa.list_(pa.int64())), ("size", pa.int64())])
+def _cat(x: dict, y: dict) -> dict:
+    return {k: np.concatenate([x[k], y[k]]) for k in ("a", "a_end", "b", "b_end")}
 
-    @F.arrow_udf(_TOKENS)
-    def tokens(text: pa.Array) -> pa.Array:
-        out = [pa.array([encode(t, path_a, path_b) for t in part], kind) for part in texts(text)]
-        return pa.concat_arrays(out) if out else pa.array([], kind)
 
-    return tokens
+def _part(t: dict, lo: int, hi: int) -> dict:
+    """Tokens whose end lies in (lo, hi]."""
+    ia, ja = np.searchsorted(t["a_end"], [lo, hi], side="right")
+    ib, jb = np.searchsorted(t["b_end"], [lo, hi], side="right")
+    return {"a": t["a"][ia:ja], "a_end": t["a_end"][ia:ja], "b": t["b"][ib:jb], "b_end": t["b_end"][ib:jb]}
 
 
-def _empty() -> dict:
-    return {"at": None, "a": [], "a_end": [], "b": [], "b_end": []}
+def summarize(t: dict, cuts: np.ndarray) -> dict:
+    """Summary of closed groups: ``t`` holds exactly their tokens, ``cuts`` their
+    common ends (ascending). Links are the elementary intervals between ends."""
+    if len(cuts) == 0:
+        return dict(_ZERO)
+    ends = np.union1d(t["a_end"], t["b_end"])
+    ia = np.searchsorted(t["a_end"], ends, side="left")
+    ib = np.searchsorted(t["b_end"], ends, side="left")
+    keys, counts = np.unique(t["a"][ia] * PAIR + t["b"][ib], return_counts=True)
+    split_a = np.split(t["a"], np.searchsorted(t["a_end"], cuts[:-1], side="right"))
+    split_b = np.split(t["b"], np.searchsorted(t["b_end"], cuts[:-1], side="right"))
+    text = ";".join(",".join(map(str, x.tolist())) + "|" + ",".join(map(str, y.tolist())) for x, y in zip(split_a, split_b))
+    return {"groups": len(cuts), "links": len(ends), "pairs": keys, "counts": counts.astype(np.int64), "text": text}
 
 
-def _group(a, a_end, b, b_end) -> dict:
-    return {"at": a_end[0] if a_end else (b_end[0] if b_end else None), "a": a, "a_end": a_end, "b": b, "b_end": b_end}
+def add(x: dict, y: dict) -> dict:
+    """Summaries of neighbouring closed groups, left first."""
+    if not x["groups"]:
+        return y
+    if not y["groups"]:
+        return x
+    keys, where = np.unique(np.concatenate([x["pairs"], y["pairs"]]), return_inverse=True)
+    counts = np.bincount(where, weights=np.concatenate([x["counts"], y["counts"]]), minlength=len(keys)).astype(np.int64)
+    return {"groups": x["groups"] + y["groups"], "links": x["links"] + y["links"], "pairs": keys, "counts": counts, "text": x["text"] + ";" + y["text"]}
 
 
-def fragment(a: list[int], a_end: list[int], b: list[int], b_end: list[int]) -> dict:
-    """The fragment of a chunk's tokens (ends ascending): open prefix, closed groups, open suffix."""
-    common = sorted(set(a_end) & set(b_end))
-    if not common:
-        return {"closed": False, "prefix": _group(a, a_end, b, b_end), "groups": [], "suffix": _empty()}
-    cuts_a = [0] + [bisect.bisect_right(a_end, c) for c in common] + [len(a)]
-    cuts_b = [0] + [bisect.bisect_right(b_end, c) for c in common] + [len(b)]
-    parts = [_group(a[i:j], a_end[i:j], b[k:m], b_end[k:m]) for i, j, k, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:])]
-    return {"closed": True, "prefix": parts[0], "groups": parts[1:-1], "suffix": parts[-1]}
+def _group(t: dict) -> dict:
+    """Summary of tokens that form one closed group."""
+    if len(t["a"]) == 0 and len(t["b"]) == 0:
+        return dict(_ZERO)
+    return summarize(t, np.array([max(t["a_end"][-1], t["b_end"][-1])]))
 
 
-def _join(x: dict, y: dict) -> dict:
-    return _group(x["a"] + y["a"], x["a_end"] + y["a_end"], x["b"] + y["b"], x["b_end"] + y["b_end"])
+def fragment(t: dict, k: int = 0) -> dict:
+    """The fragment of a chunk's tokens: open prefix, summary of closed groups, open suffix."""
+    cuts = np.intersect1d(t["a_end"], t["b_end"], assume_unique=True)
+    if len(cuts) == 0:
+        return {"k": k, "closed": False, "prefix": t, "inner": dict(_ZERO), "suffix": _NONE}
+    first, last = int(cuts[0]), int(cuts[-1])
+    return {
+        "k": k, "closed": True, "prefix": _part(t, -1, first), "inner": summarize(_part(t, first, last), cuts[1:]),
+        "suffix": _part(t, last, 1 << 62),
+    }
 
 
 def compose(left: dict, right: dict) -> dict:
     """The fragment of two neighbouring fragments; associative, the open empty fragment is neutral."""
+    k = left["k"] // 2
     if left["closed"] and right["closed"]:
-        middle = _join(left["suffix"], right["prefix"])
-        return {"closed": True, "prefix": left["prefix"], "groups": left["groups"] + [middle] + right["groups"], "suffix": right["suffix"]}
+        inner = add(add(left["inner"], _group(_cat(left["suffix"], right["prefix"]))), right["inner"])
+        return {"k": k, "closed": True, "prefix": left["prefix"], "inner": inner, "suffix": right["suffix"]}
     if left["closed"]:
-        return {"closed": True, "prefix": left["prefix"], "groups": left["groups"], "suffix": _join(left["suffix"], right["prefix"])}
+        return {"k": k, "closed": True, "prefix": left["prefix"], "inner": left["inner"], "suffix": _cat(left["suffix"], right["prefix"])}
     if right["closed"]:
-        return {"closed": True, "prefix": _join(left["prefix"], right["prefix"]), "groups": right["groups"], "suffix": right["suffix"]}
-    return {"closed": False, "prefix": _join(left["prefix"], right["prefix"]), "groups": [], "suffix": _empty()}
-
-
-def whole(frag: dict) -> list[dict]:
-    """The groups of a document's composed fragment: its ends are cuts too."""
-    out = [frag["prefix"]] + frag["groups"] + ([frag["suffix"]] if frag["closed"] else [])
-    return [g for g in out if g["a"] or g["b"]]
-
-
-def links(group: dict) -> list[tuple[int, int]]:
-    """(A id, B id) of each overlapping pair of a group, by a sweep over both ends."""
-    out, i, j = [], 0, 0
-    a, ae, b, be = group["a"], group["a_end"], group["b"], group["b_end"]
-    while i < len(a) and j < len(b):
-        out.append((a[i], b[j]))
-        if ae[i] < be[j]:
-            i += 1
-        elif be[j] < ae[i]:
-            j += 1
-        else:
-            i += 1
-            j += 1
-    return out
+        return {"k": k, "closed": True, "prefix": _cat(left["prefix"], right["prefix"]), "inner": right["inner"], "suffix": right["suffix"]}
+    return {"k": k, "closed": False, "prefix": _cat(left["prefix"], right["prefix"]), "inner": dict(_ZERO), "suffix": _NONE}
 
 
-def _chunks(tok: dict) -> list[dict]:
-    """The token lists of each chunk of CHUNK_BYTES bytes by ends."""
-    n = max(1, math.ceil(tok["size"] / CHUNK_BYTES))
-    out = []
-    for k in range(n):
-        lo, hi = k * CHUNK_BYTES, (k + 1) * CHUNK_BYTES
-        i, j = bisect.bisect_right(tok["a_end"], lo), bisect.bisect_right(tok["a_end"], hi)
-        p, q = bisect.bisect_right(tok["b_end"], lo), bisect.bisect_right(tok["b_end"], hi)
-        out.append({"k": k, "a": tok["a"][i:j], "a_end": tok["a_end"][i:j], "b": tok["b"][p:q], "b_end": tok["b_end"][p:q]})
-    return out
+def whole(frag: dict) -> dict:
+    """Summary of a document from its composed fragment: its ends are cuts too."""
+    out = add(_group(frag["prefix"]), frag["inner"])
+    return add(out, _group(frag["suffix"])) if frag["closed"] else out
 
 
-_CHUNK = T.ArrayType(T.StructType([T.StructField("k", T.LongType()), *[T.StructField(c, _INTS) for c in ("a", "a_end", "b", "b_end")]]))
+def encode(text: bytes | None, path_a: str, path_b: str) -> dict | None:
+    """Ids and byte ends of A and B, or None where either differs from the bytes."""
+    if not text:
+        return None
+    a, a_bytes, b, b_bytes = _tokenizers(path_a, path_b)
+    s = text.decode("utf-8")
+    want = b" " + text
+    ai = a.encode(" " + s, add_special_tokens=False).ids
+    bi = b.encode(s)
+    if b"".join(map(a_bytes.__getitem__, ai)) != want or b"".join(map(b_bytes.__getitem__, bi)) != want:
+        return None
+    la, lb = _lengths(path_a, path_b)
+    ai, bi = np.asarray(ai, np.int64), np.asarray(bi, np.int64)
+    return {"a": ai, "a_end": np.cumsum(la[ai]), "b": bi, "b_end": np.cumsum(lb[bi]), "size": len(want)}
 
 
-@F.udf(_CHUNK, useArrow=True)
-def _chunk_udf(tok):
-    return _chunks(tok.asDict())
+def _plain_open(t: dict) -> dict:
+    return {k: t[k].tolist() for k in ("a", "a_end", "b", "b_end")}
 
 
-@F.udf(_FRAGMENT, useArrow=True)
-def _fragment_udf(c):
-    return fragment(c["a"], c["a_end"], c["b"], c["b_end"])
+def _plain_summary(x: dict) -> dict:
+    return {"groups": int(x["groups"]), "links": int(x["links"]), "pairs": x["pairs"].tolist(), "counts": x["counts"].tolist(), "text": x["text"]}
 
 
-def _row(g) -> dict:
-    return g.asDict() if hasattr(g, "asDict") else g
+def _plain_fragment(f: dict) -> dict:
+    return {"k": f["k"], "closed": f["closed"], "prefix": _plain_open(f["prefix"]), "inner": _plain_summary(f["inner"]), "suffix": _plain_open(f["suffix"])}
 
 
-def _level(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One level of the tree: neighbours (2i, 2i+1) of a document composed."""
-    pdf = pdf.sort_values("k")
-    frags = [_as_dict(f) for f in pdf["frag"]]
-    out = frags[0]
-    for f in frags[1:]:
-        out = compose(out, f)
-    return pd.DataFrame({"row": [pdf["row"].iloc[0]], "k": [int(pdf["k"].iloc[0]) // 2], "frag": [out]})
+def result(text: bytes | None, path_a: str, path_b: str) -> dict:
+    """Per document: its summary when it is one chunk, else the fragments of its chunks."""
+    t = encode(text, path_a, path_b)
+    if t is None:
+        return {"ok": False, "n_a": 0, "n_b": 0, "whole": None, "chunks": []}
+    n = max(1, math.ceil(t["size"] / CHUNK_BYTES))
+    base = {"ok": True, "n_a": len(t["a"]), "n_b": len(t["b"])}
+    if n == 1:
+        return base | {"whole": _plain_summary(whole(fragment(t))), "chunks": []}
+    parts = [fragment(_part(t, k * CHUNK_BYTES, (k + 1) * CHUNK_BYTES), k) for k in range(n)]
+    return base | {"whole": None, "chunks": [_plain_fragment(f) for f in parts]}
+
 
+def _result_udf(path_a: str, path_b: str):
+    @F.arrow_udf(_RESULT_DDL)
+    def results(text: pa.Array) -> pa.Array:
+        out = [pa.array([result(t, path_a, path_b) for t in part], _RESULT) for part in texts(text)]
+        return pa.concat_arrays(out) if out else pa.array([], _RESULT)
 
-def _as_dict(f) -> dict:
-    f = _row(f)
-    return {"closed": bool(f["closed"]), "prefix": _plain(f["prefix"]), "groups": [_plain(g) for g in f["groups"]], "suffix": _plain(f["suffix"])}
+    return results
 
 
-def _plain(g) -> dict:
-    g = _row(g)
-    return {"at": g["at"], "a": list(g["a"]), "a_end": list(g["a_end"]), "b": list(g["b"]), "b_end": list(g["b_end"])}
+def _plain(x):
+    return x.asDict(recursive=True) if hasattr(x, "asDict") else x
 
 
-def composed(tokens: DataFrame) -> DataFrame:
-    """(row, groups) of each document with tokens: chunks, fragments, tree levels.
-    Documents of one chunk skip the tree."""
-    chunks = tokens.filter("tok.ok").select("row", F.explode(_chunk_udf("tok")).alias("c"), F.ceil(F.col("tok.size") / CHUNK_BYTES).alias("n"))
-    frags = chunks.select("row", "n", F.col("c.k").alias("k"), _fragment_udf("c").alias("frag"))
-    single = frags.filter("n <= 1").select("row", "k", "frag")
-    tree = frags.filter("n > 1").select("row", "k", "frag")
-    most = tokens.filter("tok.ok").agg(F.max(F.ceil(F.col("tok.size") / CHUNK_BYTES))).first()[0] or 1
-    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("k", T.LongType()), T.StructField("frag", _FRAGMENT)])
-    for _ in range(math.ceil(math.log2(max(most, 1)))):
-        tree = stored(tree.groupBy("row", (F.col("k") / 2).cast("long").alias("pair")).applyInPandas(_level, schema), "align-level")
-    frags = single.unionByName(tree)
-    ends = F.concat(F.array("frag.prefix"), "frag.groups", F.array(F.when(F.col("frag.closed"), F.col("frag.suffix"))))
-    return frags.select("row", F.filter(F.array_compact(ends), lambda g: (F.size(g["a"]) > 0) | (F.size(g["b"]) > 0)).alias("groups"))
+def _from_row(f) -> dict:
+    f = _plain(f)
+    o = lambda x: _tokens(x["a"], x["a_end"], x["b"], x["b_end"])
+    i = f["inner"]
+    inner = {"groups": i["groups"], "links": i["links"], "pairs": np.asarray(i["pairs"], np.int64), "counts": np.asarray(i["counts"], np.int64), "text": i["text"]}
+    return {"k": int(f["k"]), "closed": bool(f["closed"]), "prefix": o(f["prefix"]), "inner": inner, "suffix": o(f["suffix"])}
 
 
-def _link_pairs(groups):
-    out: dict[tuple[int, int], int] = {}
-    for g in groups:
-        for p in links(_plain(g)):
-            out[p] = out.get(p, 0) + 1
-    return [{"a": a, "b": b, "n": n} for (a, b), n in out.items()]
+def _level(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One level of the tree: neighbours (2i, 2i+1) of a document composed."""
+    frags = sorted((_from_row(f) for f in pdf["frag"]), key=lambda f: f["k"])
+    out = frags[0] if len(frags) == 1 else compose(frags[0], frags[1])
+    out["k"] = frags[0]["k"] // 2
+    return pd.DataFrame({"row": [int(pdf["row"].iloc[0])], "frag": [_plain_fragment(out)]})
 
 
-_PAIRS = T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("n", T.LongType())]))
-_pairs_udf = F.udf(_link_pairs, _PAIRS, useArrow=True)
+def _final(pdf: pd.DataFrame) -> pd.DataFrame:
+    f = _from_row(pdf["frag"].iloc[0])
+    return pd.DataFrame({"row": [int(pdf["row"].iloc[0])], "whole": [_plain_summary(whole(f))]})
 
 
 def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """Per row of ``docs``: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
+    spark = docs.sparkSession
     keyed = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    tokens = stored(keyed.select("row", "doc_id", _tokens_udf(path_a, path_b)(F.col("text")).alias("tok")), "align-tokens")
-    groups = stored(composed(tokens), "align-groups")
-    pairs = groups.select("row", F.explode(_pairs_udf("groups")).alias("p")).select("row", "p.a", "p.b", "p.n")
+    res = stored(keyed.select("row", "doc_id", _result_udf(path_a, path_b)(F.col("text")).alias("r")), "align-docs")
+    # documents of several chunks: their fragments are composed level by level
+    frags = res.filter(F.size("r.chunks") > 0).select("row", F.explode("r.chunks").alias("frag"))
+    most = res.agg(F.max(F.size("r.chunks"))).first()[0] or 0
+    level = T.StructType([T.StructField("row", T.LongType()), T.StructField("frag", _FRAGMENT_T)])
+    for _ in range(math.ceil(math.log2(most)) if most > 1 else 0):
+        frags = stored(frags.groupBy("row", (F.col("frag.k") / 2).cast("long")).applyInPandas(_level, level), "align-level")
+    final = T.StructType([T.StructField("row", T.LongType()), T.StructField("whole", _SUMMARY_T)])
+    long_docs = frags.groupBy("row").applyInPandas(_final, final) if most > 1 else spark.createDataFrame([], final)
+    summaries = stored(res.filter(F.col("r.whole").isNotNull()).select("row", F.col("r.whole").alias("whole")).unionByName(long_docs), "align-summaries")
     # corpus-wide: documents that link a pair, and the best count of each A id
-    counts = pairs.groupBy("a", "b").agg(F.count("*").alias("count"))
-    best = counts.groupBy("a").agg(F.max("count").alias("best"))
-    weights = broadcast_if_small(counts.join(best, "a"))
-    per_doc = pairs.join(weights, ["a", "b"]).groupBy("row").agg(
+    pairs = summaries.select("row", F.explode(F.arrays_zip("whole.pairs", "whole.counts")).alias("p")).select(
+        "row", F.col("p.pairs").alias("pair"), F.col("p.counts").alias("n"),
+    )
+    counts = pairs.groupBy("pair").agg(F.count("*").alias("count"))
+    best = counts.groupBy((F.col("pair") / PAIR).cast("long").alias("a")).agg(F.max("count").alias("best"))
+    weights = broadcast_if_small(counts.withColumn("a", (F.col("pair") / PAIR).cast("long")).join(best, "a").drop("a"))
+    per_doc = pairs.join(weights, "pair").groupBy("row").agg(
         F.sum(F.col("n") * F.col("count")).alias("count_sum"), F.sum(F.when(F.col("count") == F.col("best"), F.col("n")).otherwise(0)).alias("n_best"),
     )
-    text = F.array_join(F.transform("groups", lambda g: F.concat(F.array_join(g["a"], ","), F.lit("|"), F.array_join(g["b"], ","))), ";")
-    shaped = groups.select(
-        "row", F.size("groups").cast("bigint").alias("n_groups"),
-        F.aggregate("groups", F.lit(0).cast("bigint"), lambda acc, g: acc + F.size(g["a"]) + F.size(g["b"]) - 1).alias("n_links"),
-        F.sha2(text, 256).alias("groups_sha256"),
+    shaped = summaries.select(
+        "row", F.col("whole.groups").alias("n_groups"), F.col("whole.links").alias("n_links"), F.sha2(F.col("whole.text"), 256).alias("groups_sha256"),
     )
-    out = tokens.select("row", "doc_id", F.size("tok.a").cast("bigint").alias("n_a"), F.size("tok.b").cast("bigint").alias("n_b"))
+    out = res.select("row", "doc_id", F.col("r.n_a").alias("n_a"), F.col("r.n_b").alias("n_b"))
     out = out.join(shaped, "row", "left").join(per_doc, "row", "left")
     return out.select(
-        "doc_id", "n_a", "n_b", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("n_groups", "n_links", "n_best", "count_sum")],
+        "doc_id", "n_a", "n_b", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_groups", "n_links", "n_best", "count_sum")],
         F.coalesce("groups_sha256", F.lit("")).alias("groups_sha256"),
     )

@@ -68,21 +68,17 @@ def test_fragments_compose_in_any_tree(paths):
     rnd = random.Random(3)
     text = " ".join(rnd.choice(["alpha", "béta", "中文", "<|endoftext|>", "x", "  ", "zz9", "😀", "\n"]) for _ in range(400))
     tok = ta.encode(text.encode(), *paths)
-    whole = ta.whole(ta.fragment(tok["a"], tok["a_end"], tok["b"], tok["b_end"]))
+    one = ta.whole(ta.fragment(tok))
+    plain = lambda x: (x["groups"], x["links"], x["pairs"].tolist(), x["counts"].tolist(), x["text"])
     for size in (1, 2, 3, 7, 50, 5000):
-        pieces = []
-        for lo in range(0, tok["size"], size):
-            ia = [i for i, e in enumerate(tok["a_end"]) if lo < e <= lo + size]
-            ib = [i for i, e in enumerate(tok["b_end"]) if lo < e <= lo + size]
-            pieces.append(ta.fragment([tok["a"][i] for i in ia], [tok["a_end"][i] for i in ia], [tok["b"][i] for i in ib], [tok["b_end"][i] for i in ib]))
+        pieces = [ta.fragment(ta._part(tok, lo, lo + size), k) for k, lo in enumerate(range(0, tok["size"], size))]
         left = pieces[0]
         for f in pieces[1:]:
             left = ta.compose(left, f)
-        # another bracketing: pairs first
         level = pieces
         while len(level) > 1:
             level = [ta.compose(level[i], level[i + 1]) if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
-        assert ta.whole(left) == whole == ta.whole(level[0])
+        assert plain(ta.whole(left)) == plain(one) == plain(ta.whole(level[0]))
 
 
 def test_spark_equals_brute_force(spark, paths, monkeypatch):
