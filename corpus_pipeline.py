@@ -37,8 +37,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return simhash_vp.keep_one(docs).select(*docs.columns)
+    """One document of each group of near duplicates, by the SimHash operator with
+    the shingles and bit distance of its contract (four words, four bits)."""
+    return simhash_vp.keep_one(docs, simhash_vp.EXACT).select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

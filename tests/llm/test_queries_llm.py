@@ -75,7 +75,7 @@ def test_pipeline_decisions_take_effect(spark):
     assert {r.doc_id for r in good.collect()} == {k for k, v in scores.items() if v == 1}
     assert sum(len(r.equal) + len(r.near) for r in line_dedup.decisions(lines).collect()) == 0
     assert all(r.n_chars == len(r.text) for r in lines.collect() if r.text is not None)
-    assert simhash_vp.near_duplicates(single, simhash_vp.SIMILAR).select("root").distinct().count() == single.count()
+    assert simhash_vp.near_duplicates(single, simhash_vp.EXACT).select("root").distinct().count() == single.count()
     bench = table(spark, sf, "benchmark")
     assert clean.select(decontaminate_wm.contamination(clean, bench)["n_hit"].alias("n")).filter("n > 0").count() == 0
     assert {r.doc_id for r in corpus_pipeline.run(spark, sf).collect()} == {r.doc_id for r in clean.collect()}
