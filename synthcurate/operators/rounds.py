@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from synthcurate import schemas
@@ -162,7 +162,7 @@ def finished_rounds(spark: SparkSession, path: str) -> DataFrame:
 
 def run_rounds(
     prompts: DataFrame, completer: Completer, max_rounds: int, path: str | None = None,
-    strict: bool = True, clean: bool = True, first_round: int = 1,
+    strict: bool = True, clean: bool = True, first_round: int = 1, checks: Mapping[str, Column] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Ask for all prompts, then again for those without an accepted
     completion, for at most ``max_rounds`` rounds.
@@ -170,7 +170,8 @@ def run_rounds(
     Returns the accepted completions ``(prompt_id, attempt, items, n_items)``
     and the prompts left unfilled. Each round is a partition of the attempts
     table at ``path``; only counts come to the driver. A provider that reports
-    an exhausted limit ends the loop.
+    an exhausted limit ends the loop. ``checks`` are the gate's further named
+    tests over the items; a completion that fails one is not accepted.
 
     A ledger of finished rounds lies beside the attempts. Given the ``path`` of
     a stopped run, the rounds go on after its last finished round (the
@@ -195,7 +196,7 @@ def run_rounds(
         if stopped or open_prompts.isEmpty():
             break
         answers = completer(open_prompts, round_no, f"{path}/raw/attempt={round_no}")
-        gated = gate(answers.withColumn("attempt", F.lit(round_no).cast("bigint")), strict, clean)
+        gated = gate(answers.withColumn("attempt", F.lit(round_no).cast("bigint")), strict, clean, checks)
         gated.drop("attempt").write.mode("overwrite").parquet(f"{path}/gated/attempt={round_no}")
         attempts = spark.read.schema(gated.schema).parquet(f"{path}/gated").filter(F.col("attempt") <= round_no)
         done = attempts.filter(F.col("items").isNotNull())
@@ -286,7 +287,7 @@ def run_quota(
         rate = found / asked if found else per_prompt
         count = max(1, math.ceil((target - have - found) / rate))
         answers = completer(make_prompts(asked, count), round_no, f"{path}/raw/attempt={round_no}")
-        gated = gate(answers.withColumn("attempt", F.lit(round_no).cast("bigint")), strict, clean)
+        gated = gate(answers.withColumn("attempt", F.lit(round_no).cast("bigint")), strict, clean, checks)
         gated.drop("attempt").write.mode("overwrite").parquet(f"{path}/gated/attempt={round_no}")
         stored = spark.read.schema(gated.schema).parquet(f"{path}/gated")
         asked += count

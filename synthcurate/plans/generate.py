@@ -53,7 +53,7 @@ def generate(
     asked_path = scratch_path(spark, "prompts")
     prompt_table(requests, labeled, templates, spec).select("prompt_id", "template", "model", "prompt").write.parquet(asked_path)
     asked = spark.read.parquet(asked_path)
-    done, unfilled = rounds.run_rounds(asked, completer, spec.max_rounds, strict=choice.strict, clean=choice.clean)
+    done, unfilled = rounds.run_rounds(asked, completer, spec.max_rounds, strict=choice.strict, clean=choice.clean, checks=choice.checks)
     names = asked.select("prompt_id", "model", F.col("template").alias("prompt"))
     rows = flatten(done.join(names, "prompt_id").transform(choice.each_output))
     if choice.deduplicate:

@@ -66,3 +66,12 @@ def test_query(spark):
     got = QUERIES["resumed_rounds"](spark, "/root/testdata/sf0.001")
     want = QUERIES["retry_rounds"](spark, "/root/testdata/sf0.001")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_checks_reject_in_rounds(spark):
+    answers = completions(spark)
+    prompts = spark.range(40).select(F.col("id").alias("prompt_id"), F.concat(F.lit("p"), F.col("id")).alias("prompt"))
+    odd = {"odd_headline": F.exists("items", lambda x: F.col("prompt_id") % 2 == 1)}
+    done, left = rounds.run_rounds(prompts, rounds.replay_completer(answers), max_rounds=5, checks=odd)
+    assert {r.prompt_id for r in done.collect()} == {p for p in range(40) if p % 2 == 1}
+    assert left.count() == 20
