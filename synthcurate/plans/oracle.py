@@ -245,7 +245,7 @@ select model, prompt, prompt_id, attempt, pos, headline from datasets d where no
  select 1 from datasets o where o.attempt = 1 and o.model = d.model and o.prompt = d.prompt)""",
     "run_metadata": f"""
 select concat({model_name('model')}, '_prompt=', template, '_metadata.json') as file, count(*) as num_prompts,
- model, template as prompt, '3' as num_shots, '1.0' as temperature, '0.95' as top_p
+ model, template as prompt, '3' as num_shots, '1.0' as temperature, '0.95' as top_p, '1024' as max_tokens, '1' as num_tickers
 from requests group by model, template""",
     "strip_urls": r"""
 select doc_id, regexp_replace(concat(case when doc_id % 7 = 0 then concat('https://x.example/$ABC/', doc_id, ' ') else '' end, text),

@@ -139,12 +139,16 @@ def committed_writes(i: Inputs) -> DataFrame:
     return committed.read_committed(i.spark, root, schema)
 
 
+# Fixed value: the most tokens of a completion, as the run settings record it.
+MAX_TOKENS = 1024
+
+
 @query
 def run_metadata(i: Inputs) -> DataFrame:
     runs = i.requests().groupBy("model", F.col("template").alias("prompt")).agg(F.count("*").alias("num_prompts"))
     settings = F.create_map(
         F.lit("MODEL"), "model", F.lit("PROMPT"), "prompt", F.lit("NUM_SHOTS"), F.lit("3"),
-        F.lit("TEMPERATURE"), F.lit("0.0"),
+        F.lit("TEMPERATURE"), F.lit("0.0"), F.lit("MAX_TOKENS"), F.lit(str(MAX_TOKENS)), F.lit("NUM_TICKERS"), F.lit("1"),
     )
     path = scratch_path(i.spark, "runs")
     named = runs.withColumn("settings", settings).withColumn(
@@ -152,7 +156,7 @@ def run_metadata(i: Inputs) -> DataFrame:
     )
     sinks.write_runs(sinks.run_settings(named, {"TEMPERATURE": 1.0, "TOP_P": 0.95}), path)
     stored = i.spark.read.schema("file string, num_prompts bigint, settings map<string,string>").parquet(path)
-    keys = ("MODEL", "PROMPT", "NUM_SHOTS", "TEMPERATURE", "TOP_P")
+    keys = ("MODEL", "PROMPT", "NUM_SHOTS", "TEMPERATURE", "TOP_P", "MAX_TOKENS", "NUM_TICKERS")
     return stored.select("file", "num_prompts", *[F.col("settings")[k].alias(k.lower()) for k in keys])
 
 
