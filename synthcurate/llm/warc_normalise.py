@@ -121,7 +121,10 @@ def _number(field: str | None) -> int | None:
 
 
 def read_archive(path: str) -> Iterator[tuple]:
-    """Records of a normalised archive, each found through the sidecar."""
+    """Records of a normalised archive, each found through the sidecar. The
+    SHA-1 and length of every response payload are computed from the bytes read
+    and must equal its head; a revisit has no payload and keeps its head's,
+    which its response's check covers."""
     store, place = opened(path)
     with store.open_input_file(place) as data, store.open_input_stream(f"{place}.idx") as raw:
         for line in gzip.io.BufferedReader(raw):
@@ -134,9 +137,13 @@ def read_archive(path: str) -> Iterator[tuple]:
             http, _, payload = block.partition(b"\r\n\r\n")
             size = next(int(x.split(b": ")[1]) for x in http.split(b"\r\n") if x.startswith(b"Content-Length"))
             uri = fields.get("WARC-Target-URI")
+            digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
+            if fields["WARC-Type"] == "response" and (len(payload) != size or payload_digest(payload) != digest):
+                # the bytes read decide; a damaged payload is an error, not a record
+                raise ValueError(f"{path}: record {fields['WARC-Record-ID']} at offset {entry['offset']} differs from its length or digest")
             yield (
                 _number(fields["WARC-Record-ID"]), None if uri is None else json.loads(uri), fields["WARC-Type"],
-                _number(fields.get("WARC-Refers-To")), fields["WARC-Payload-Digest"].removeprefix("sha1:"), size, payload,
+                _number(fields.get("WARC-Refers-To")), digest, size, payload,
             )
 
 

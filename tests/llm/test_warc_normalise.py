@@ -59,3 +59,17 @@ def test_no_pages(spark):
 
 def test_digest():
     assert w.payload_digest(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
+
+
+def test_a_damaged_payload_is_an_error(tmp_path):
+    js = json
+    good = w.encode_record(7, "http://a.example/", "response", None, b"<p>hello</p>")
+    bad = good.replace(b"hello", b"jello")
+    for name, record in (("good", good), ("bad", bad)):
+        z = zlib.compressobj(9, zlib.DEFLATED, 31)
+        member = z.compress(record) + z.flush()
+        (tmp_path / name).write_bytes(member)
+        (tmp_path / f"{name}.idx").write_bytes(js.dumps({"offset": 0, "length": len(member)}).encode() + b"\n")
+    assert [r[-1] for r in w.read_archive(str(tmp_path / "good"))] == [b"<p>hello</p>"]
+    with pytest.raises(ValueError, match="differs"):
+        list(w.read_archive(str(tmp_path / "bad")))
