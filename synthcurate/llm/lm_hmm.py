@@ -43,6 +43,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from synthcurate.operators.ordinals import running_totals
+
 from .common import stored, texts
 
 STATES = 12
@@ -122,9 +124,30 @@ class Lexicon:
         return np.log10(np.asarray(c) + 1.0) - np.log10(self.class_n[k] + self.class_v[k] + 1.0)
 
 
+def commonest(counts: DataFrame, k: int) -> pa.Table:
+    """The ``k`` commonest tokens (ties by token bytes), commonest first. A
+    threshold comes from the count of counts (one row per distinct count, at most
+    about the square root of twice the number of tokens); only the tokens of the
+    count at the threshold are ranked, by a distributed sort. No task gathers
+    more than ``k`` rows, and the driver gets them."""
+    words = counts.filter(F.octet_length("token") > 0)
+    above, cut = 0, None
+    for c, m in words.groupBy("c").agg(F.count("*").alias("m")).orderBy(F.desc("c")).collect():
+        if above + m >= k:
+            cut = c
+            break
+        above += m
+    if cut is None:
+        chosen = words
+    else:
+        tied = running_totals(words.filter(F.col("c") == cut).withColumn("_g", F.lit(0)), ["_g"], ["token"], before="_rank")
+        chosen = words.filter(F.col("c") > cut).unionByName(tied.filter(F.col("_rank") < k - above).select("token", "c"))
+    return chosen.toArrow().sort_by([("c", "descending"), ("token", "ascending")])
+
+
 def lexicon(counts: DataFrame) -> Lexicon:
     """``counts`` is a stored table (token, c)."""
-    top = counts.filter(F.octet_length("token") > 0).orderBy(F.desc("c"), "token").limit(KNOWN - 1).toArrow()
+    top = commonest(counts, KNOWN - 1)
     end = counts.filter(F.octet_length("token") == 0).select("c").first()
     tokens = [END, *top.column(0).to_pylist()]
     own = np.array([end[0] if end else 0, *top.column(1).to_pylist()], np.int64)
