@@ -81,7 +81,20 @@ def class_of(token: bytes) -> int:
 
 
 def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(token, c) over all texts."""
+    """(token, c) over all texts, as ``tokens_of`` cuts them, counted by Spark:
+    words split at ASCII white space after A-Z are lower-cased, words longer
+    than ``LONGEST`` bytes replaced by a space and their SHA-256, and one end
+    (the empty token) for every row."""
+    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = docs.select(F.explode(F.split(lowered, "[\\x20\\x09-\\x0D]+")).alias("w")).filter(F.col("w") != "")
+    token = F.when(F.octet_length("w") > LONGEST, F.concat(F.lit(" "), F.sha2(F.col("w"), 256))).otherwise(F.col("w")).cast("binary")
+    counted = words.groupBy(token.alias("token")).agg(F.count("*").alias("c"))
+    ends = docs.groupBy().agg(F.count("*").alias("c")).select(F.lit(END).cast("binary").alias("token"), "c").filter("c > 0")
+    return counted.unionByName(ends)
+
+
+def token_counts_python(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(token, c) by ``tokens_of`` in Python tasks: the plain form of ``token_counts``."""
 
     def work(batches):
         seen: Counter[bytes] = Counter()
