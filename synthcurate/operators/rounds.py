@@ -213,6 +213,7 @@ PromptMaker = Callable[[DataFrame], DataFrame]
 def run_quotas(
     datasets: DataFrame, make_prompts: PromptMaker, completer: Completer, by: list[str], max_rounds: int,
     path: str | None = None, per_prompt: float = 3.0, strict: bool | Gate | None = True, clean: bool = True,
+    checks: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Ask new prompts for many datasets at once until each has its examples.
 
@@ -222,7 +223,8 @@ def run_quotas(
     ``prompt_id``, ``prompt``), numbered in dataset order. A dataset is closed
     when it has enough, or when it got fewer prompts than it asked for. The
     result holds whole completions in prompt order and may overshoot by the
-    last one of a dataset. An exhausted provider limit ends the loop.
+    last one of a dataset. An exhausted provider limit ends the loop. ``checks``
+    are the gate's further named tests, as in ``run_rounds``.
     """
     spark = datasets.sparkSession
     path = path or scratch_path(spark, "quotas")
@@ -243,7 +245,7 @@ def run_quotas(
         prompts = spark.read.parquet(prompts_path)
         answers = completer(prompts, round_no, f"{path}/raw/attempt={round_no}")
         named = answers.join(prompts.select(*by, "prompt_id"), "prompt_id")
-        gated = gate(named.withColumn("attempt", F.lit(round_no).cast("bigint")), strict, clean)
+        gated = gate(named.withColumn("attempt", F.lit(round_no).cast("bigint")), strict, clean, checks)
         gated.drop("attempt").write.mode("overwrite").parquet(f"{path}/gated/attempt={round_no}")
         stored = spark.read.schema(gated.schema).parquet(f"{path}/gated")
         this = stored.filter(F.col("attempt") == round_no)
@@ -269,7 +271,7 @@ def run_quotas(
 def run_quota(
     make_prompts: Callable[[int, int], DataFrame], completer: Completer, target: int, max_rounds: int,
     spark: SparkSession, path: str | None = None, have: int = 0, per_prompt: float = 3.0,
-    strict: bool = True, clean: bool = True,
+    strict: bool = True, clean: bool = True, checks: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Ask new prompts until ``target`` examples are accepted.
 
