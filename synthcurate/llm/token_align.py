@@ -37,6 +37,7 @@ NULL; other columns are ignored; very long texts are tokenised whole.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from functools import lru_cache
 
@@ -249,15 +250,43 @@ def result(text: bytes | None, path_a: str, path_b: str) -> dict:
     n = max(1, math.ceil(t["size"] / CHUNK_BYTES))
     base = {"ok": True, "n_a": len(t["a"]), "n_b": len(t["b"])}
     if n == 1:
-        return base | {"whole": _plain_summary(whole(fragment(t))), "chunks": []}
+        return base | {"whole": _hashed(whole(fragment(t))), "chunks": []}
     parts = [fragment(_part(t, k * CHUNK_BYTES, (k + 1) * CHUNK_BYTES), k) for k in range(n)]
     return base | {"whole": None, "chunks": [_plain_fragment(f) for f in parts]}
 
 
+def _hashed(x: dict) -> dict:
+    """A document's summary with its group text replaced by the text's SHA-256 (lowercase hex)."""
+    return x | {"text": hashlib.sha256(x["text"].encode()).hexdigest()}
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    offsets = np.zeros(len(arrays) + 1, np.int32)
+    np.cumsum([len(a) for a in arrays], out=offsets[1:])
+    values = np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int64)))
+
+
+def _arrow(rows: list[dict]) -> pa.Array:
+    """Results of a slice as Arrow, the numeric lists straight from numpy."""
+    empty = np.zeros(0, np.int64)
+    wholes = [r["whole"] or {"groups": 0, "links": 0, "pairs": empty, "counts": empty, "text": ""} for r in rows]
+    summary = pa.StructArray.from_arrays(
+        [pa.array([w["groups"] for w in wholes], pa.int64()), pa.array([w["links"] for w in wholes], pa.int64()),
+         _lists([w["pairs"] for w in wholes]), _lists([w["counts"] for w in wholes]), pa.array([w["text"] for w in wholes], pa.string())],
+        fields=list(_SUMMARY), mask=pa.array([r["whole"] is None for r in rows]),
+    )
+    return pa.StructArray.from_arrays(
+        [pa.array([r["ok"] for r in rows], pa.bool_()), pa.array([r["n_a"] for r in rows], pa.int64()),
+         pa.array([r["n_b"] for r in rows], pa.int64()), summary, pa.array([r["chunks"] for r in rows], pa.list_(_FRAGMENT))],
+        fields=list(_RESULT),
+    )
+
+
 def _result_udf(path_a: str, path_b: str):
     @F.arrow_udf(_RESULT_DDL)
     def results(text: pa.Array) -> pa.Array:
-        out = [pa.array([result(t, path_a, path_b) for t in part], _RESULT) for part in texts(text)]
+        out = [_arrow([result(t, path_a, path_b) for t in part]) for part in texts(text)]
         return pa.concat_arrays(out) if out else pa.array([], _RESULT)
 
     return results
@@ -285,7 +314,7 @@ def _level(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _final(pdf: pd.DataFrame) -> pd.DataFrame:
     f = _from_row(pdf["frag"].iloc[0])
-    return pd.DataFrame({"row": [int(pdf["row"].iloc[0])], "whole": [_plain_summary(whole(f))]})
+    return pd.DataFrame({"row": [int(pdf["row"].iloc[0])], "whole": [_plain_summary(_hashed(whole(f)))]})
 
 
 def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -301,6 +330,7 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         frags = stored(frags.groupBy("row", (F.col("frag.k") / 2).cast("long")).applyInPandas(_level, level), "align-level")
     final = T.StructType([T.StructField("row", T.LongType()), T.StructField("whole", _SUMMARY_T)])
     long_docs = frags.groupBy("row").applyInPandas(_final, final) if most > 1 else spark.createDataFrame([], final)
+    # a summary's text is already the SHA-256 of the group text
     summaries = stored(res.filter(F.col("r.whole").isNotNull()).select("row", F.col("r.whole").alias("whole")).unionByName(long_docs), "align-summaries")
     # corpus-wide: documents that link a pair, and the best count of each A id
     pairs = summaries.select("row", F.explode(F.arrays_zip("whole.pairs", "whole.counts")).alias("p")).select(
@@ -313,7 +343,7 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         F.sum(F.col("n") * F.col("count")).alias("count_sum"), F.sum(F.when(F.col("count") == F.col("best"), F.col("n")).otherwise(0)).alias("n_best"),
     )
     shaped = summaries.select(
-        "row", F.col("whole.groups").alias("n_groups"), F.col("whole.links").alias("n_links"), F.sha2(F.col("whole.text"), 256).alias("groups_sha256"),
+        "row", F.col("whole.groups").alias("n_groups"), F.col("whole.links").alias("n_links"), F.col("whole.text").alias("groups_sha256"),
     )
     out = res.select("row", "doc_id", F.col("r.n_a").alias("n_a"), F.col("r.n_b").alias("n_b"))
     out = out.join(shaped, "row", "left").join(per_doc, "row", "left")
