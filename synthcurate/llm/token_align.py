@@ -129,6 +129,9 @@ def _tokens(a, a_end, b, b_end) -> dict:
     return {"a": np.asarray(a, np.int64), "a_end": np.asarray(a_end, np.int64), "b": np.asarray(b, np.int64), "b_end": np.asarray(b_end, np.int64)}
 
 
+# Each id as decimal text with the mark that follows it in the group text.
+_NAMES = {mark: np.array([f"{i}{mark}" for i in range(PAIR)]) for mark in (",", "|", ";", "")}
+
 _NONE = _tokens([], [], [], [])
 _ZERO = {"groups": 0, "links": 0, "pairs": np.zeros(0, np.int64), "counts": np.zeros(0, np.int64), "text": ""}
 
@@ -155,10 +158,10 @@ def summarize(t: dict, cuts: np.ndarray) -> dict:
     keys, counts = np.unique(t["a"][ia] * PAIR + t["b"][ib], return_counts=True)
     # the group text at once: each id with the mark after it, in order of group, side, place
     ga, gb = np.searchsorted(cuts, t["a_end"], side="left"), np.searchsorted(cuts, t["b_end"], side="left")
-    mark_a = np.where(np.r_[ga[1:] != ga[:-1], True], "|", ",")
-    mark_b = np.where(np.r_[gb[1:] != gb[:-1], True], ";", ",")
-    mark_b[-1] = ""
-    items = np.concatenate([np.char.add(t["a"].astype(str), mark_a), np.char.add(t["b"].astype(str), mark_b)])
+    last_a, last_b = np.r_[ga[1:] != ga[:-1], True], np.r_[gb[1:] != gb[:-1], True]
+    item_b = np.where(last_b, _NAMES[";"][t["b"]], _NAMES[","][t["b"]])
+    item_b[-1] = _NAMES[""][t["b"][-1]]
+    items = np.concatenate([np.where(last_a, _NAMES["|"][t["a"]], _NAMES[","][t["a"]]), item_b])
     side = np.r_[np.zeros(len(ga), np.int8), np.ones(len(gb), np.int8)]
     place = np.r_[np.arange(len(ga)), np.arange(len(gb))]
     text = "".join(items[np.lexsort((place, side, np.r_[ga, gb]))].tolist())
@@ -223,11 +226,14 @@ def encode(text: bytes | None, path_a: str, path_b: str) -> dict | None:
     want = b" " + text
     ai = a.encode_ordinary(" " + s)
     bi = b.encode(s)
-    if b"".join(map(a_bytes.__getitem__, ai)) != want or b"".join(map(b_bytes.__getitem__, bi)) != want:
-        return None
     la, lb = _lengths(path_a, path_b)
     ai, bi = np.asarray(ai, np.int64), np.asarray(bi, np.int64)
-    return {"a": ai, "a_end": np.cumsum(la[ai]), "b": bi, "b_end": np.cumsum(lb[bi]), "size": len(want)}
+    a_end, b_end = np.cumsum(la[ai]), np.cumsum(lb[bi])
+    # Byte-pair encoding by ranks cuts the bytes it is given, so A's bytes are the
+    # text's when their lengths add up; B's pieces may be normalised and are compared.
+    if not len(ai) or a_end[-1] != len(want) or b"".join(map(b_bytes.__getitem__, bi)) != want:
+        return None
+    return {"a": ai, "a_end": a_end, "b": bi, "b_end": b_end, "size": len(want)}
 
 
 def _plain_open(t: dict) -> dict:
