@@ -19,10 +19,11 @@ group, or, when the right side is open, extend the suffix. This is associative,
 so the fragments of a long document are composed in a tree whose levels are
 Spark aggregations by (document, chunk // 2). Closed groups travel only as
 their summary (number of groups and links, link pairs with their counts, the
-group text); only open ends carry tokens. All of it is array arithmetic per
-document (numpy): the links of tokens that tile the same bytes are the
-elementary intervals between all token ends. A document of one chunk is one
-fragment, summarised where it is tokenised, and skips the tree.
+group text); only open ends carry tokens. All of it is array arithmetic
+(numpy): the links of tokens that tile the same bytes are the elementary
+intervals between all token ends. A document of one chunk is one fragment
+without open ends; it is summarised where it is tokenised, in one pass with its
+neighbours of up to ``BATCH_BYTES`` bytes, and skips the tree.
 
 Corpus-wide, the count of an (A id, B id) pair is the number of documents (rows)
 that link it at least once; each link is then weighed by that count and by the
@@ -54,6 +55,8 @@ from .common import stored, texts
 
 # Bytes of a chunk of a document, by token ends; longer documents go through the tree.
 CHUNK_BYTES = 1 << 20
+# Bytes of documents that are summarised in one pass.
+BATCH_BYTES = 1 << 20
 # A link pair as one number: A id times this plus B id (B ids are below it).
 PAIR = 1 << 20
 
@@ -129,8 +132,16 @@ def _tokens(a, a_end, b, b_end) -> dict:
     return {"a": np.asarray(a, np.int64), "a_end": np.asarray(a_end, np.int64), "b": np.asarray(b, np.int64), "b_end": np.asarray(b_end, np.int64)}
 
 
-# Each id as decimal text with the mark that follows it in the group text.
-_NAMES = {mark: np.array([f"{i}{mark}" for i in range(PAIR)]) for mark in (",", "|", ";", "")}
+@lru_cache(maxsize=4)
+def _names(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For ids below ``size`` (at most ``PAIR``, seven digits): the id as decimal
+    text with the mark that follows it in the group text, eight bytes padded with
+    zeros as one number. First A's ids inside a group and at its end, then B's;
+    last, the bytes of each that are not padding."""
+    digits = np.arange(size).astype("S7")
+    marked = {mark: np.char.add(digits, mark).astype("S8").view("<u8") for mark in (b",", b"|", b";")}
+    return np.r_[marked[b","], marked[b"|"]], np.r_[marked[b","], marked[b";"]], np.char.str_len(digits).astype(np.int64) + 1
+
 
 _NONE = _tokens([], [], [], [])
 _ZERO = {"groups": 0, "links": 0, "pairs": np.zeros(0, np.int64), "counts": np.zeros(0, np.int64), "text": ""}
@@ -147,25 +158,50 @@ def _part(t: dict, lo: int, hi: int) -> dict:
     return {"a": t["a"][ia:ja], "a_end": t["a_end"][ia:ja], "b": t["b"][ib:jb], "b_end": t["b_end"][ib:jb]}
 
 
+def summaries(t: dict, bounds: np.ndarray) -> list[dict]:
+    """Summaries of stretches of closed groups, one after the other: ``t`` holds
+    exactly their tokens, ``bounds`` where each stretch ends (ascending). Links are
+    the elementary intervals between ends. The group texts are bytes."""
+    a, b, base = t["a"], t["b"], min(t["a_end"][0], t["b_end"][0])
+    at_a, at_b = np.zeros(bounds[-1] - base + 1, bool), np.zeros(bounds[-1] - base + 1, bool)
+    at_a[t["a_end"] - base] = at_b[t["b_end"] - base] = True
+    ends = np.flatnonzero(at_a | at_b)
+    of_a, of_b = at_a[ends], at_b[ends]
+    cut = of_a & of_b
+    # tokens of either side and groups, up to each end
+    n_a, n_b, n_cut = np.cumsum(of_a), np.cumsum(of_b), np.cumsum(cut)
+    upto = np.searchsorted(ends, bounds - base, side="right")
+    stretch = np.repeat(np.arange(len(bounds)), np.diff(upto, prepend=0))
+    # an interval lies in the tokens that are the first to end with or after it
+    keys = np.sort((stretch * PAIR + a[n_a - of_a]) * PAIR + b[n_b - of_b])
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    counts, keys = np.diff(first, append=len(keys)), keys[first]
+    pair_upto = np.searchsorted(keys, np.arange(1, len(bounds) + 1) * PAIR * PAIR)
+    keys %= PAIR * PAIR
+    # the group text: each id with the mark after it, put where its group, side and place say
+    size = 1 << int(max(a.max(), b.max())).bit_length()
+    names_a, names_b, width = _names(size)
+    group, last_a, last_b = n_cut - cut, cut[of_a], cut[of_b]
+    items = np.empty(len(a) + len(b), "<u8")
+    items[np.arange(len(a)) + np.r_[0, n_b[cut]][group[of_a]]] = names_a[a + size * last_a]
+    items[np.arange(len(b)) + n_a[cut][group[of_b]]] = names_b[b + size * last_b]
+    letters = items.view(np.uint8)
+    letters = letters[letters != 0].tobytes()
+    text_upto = np.cumsum(width[a])[n_a[upto - 1] - 1] + np.cumsum(width[b])[n_b[upto - 1] - 1]
+    out, link, pair, letter, groups = [], 0, 0, 0, 0
+    for i, j, k, g in zip(upto.tolist(), pair_upto.tolist(), text_upto.tolist(), n_cut[upto - 1].tolist()):
+        out.append({"groups": g - groups, "links": i - link, "pairs": keys[pair:j], "counts": counts[pair:j], "text": letters[letter : k - 1]})
+        link, pair, letter, groups = i, j, k, g
+    return out
+
+
 def summarize(t: dict, cuts: np.ndarray) -> dict:
     """Summary of closed groups: ``t`` holds exactly their tokens, ``cuts`` their
-    common ends (ascending). Links are the elementary intervals between ends."""
+    common ends (ascending)."""
     if len(cuts) == 0:
         return dict(_ZERO)
-    ends = np.union1d(t["a_end"], t["b_end"])
-    ia = np.searchsorted(t["a_end"], ends, side="left")
-    ib = np.searchsorted(t["b_end"], ends, side="left")
-    keys, counts = np.unique(t["a"][ia] * PAIR + t["b"][ib], return_counts=True)
-    # the group text at once: each id with the mark after it, in order of group, side, place
-    ga, gb = np.searchsorted(cuts, t["a_end"], side="left"), np.searchsorted(cuts, t["b_end"], side="left")
-    last_a, last_b = np.r_[ga[1:] != ga[:-1], True], np.r_[gb[1:] != gb[:-1], True]
-    item_b = np.where(last_b, _NAMES[";"][t["b"]], _NAMES[","][t["b"]])
-    item_b[-1] = _NAMES[""][t["b"][-1]]
-    items = np.concatenate([np.where(last_a, _NAMES["|"][t["a"]], _NAMES[","][t["a"]]), item_b])
-    side = np.r_[np.zeros(len(ga), np.int8), np.ones(len(gb), np.int8)]
-    place = np.r_[np.arange(len(ga)), np.arange(len(gb))]
-    text = "".join(items[np.lexsort((place, side, np.r_[ga, gb]))].tolist())
-    return {"groups": len(cuts), "links": len(ends), "pairs": keys, "counts": counts.astype(np.int64), "text": text}
+    out = summaries(t, cuts[-1:])[0]
+    return out | {"text": out["text"].decode()}
 
 
 def add(x: dict, y: dict) -> dict:
@@ -224,14 +260,12 @@ def encode(text: bytes | None, path_a: str, path_b: str) -> dict | None:
     a, a_bytes, b, b_bytes = _tokenizers(path_a, path_b)
     s = text.decode("utf-8")
     want = b" " + text
-    ai = a.encode_ordinary(" " + s)
-    bi = b.encode(s)
     la, lb = _lengths(path_a, path_b)
-    ai, bi = np.asarray(ai, np.int64), np.asarray(bi, np.int64)
+    ai, bi = np.array(a.encode_ordinary(" " + s), np.int64), b.encode_as_numpy(s).astype(np.int64)
     a_end, b_end = np.cumsum(la[ai]), np.cumsum(lb[bi])
     # Byte-pair encoding by ranks cuts the bytes it is given, so A's bytes are the
     # text's when their lengths add up; B's pieces may be normalised and are compared.
-    if not len(ai) or a_end[-1] != len(want) or b"".join(map(b_bytes.__getitem__, bi)) != want:
+    if not len(ai) or a_end[-1] != len(want) or b"".join(map(b_bytes.__getitem__, bi.tolist())) != want:
         return None
     return {"a": ai, "a_end": a_end, "b": bi, "b_end": b_end, "size": len(want)}
 
@@ -248,17 +282,36 @@ def _plain_fragment(f: dict) -> dict:
     return {"k": f["k"], "closed": f["closed"], "prefix": _plain_open(f["prefix"]), "inner": _plain_summary(f["inner"]), "suffix": _plain_open(f["suffix"])}
 
 
-def result(text: bytes | None, path_a: str, path_b: str) -> dict:
+def results(part: list[bytes | None], path_a: str, path_b: str) -> list[dict]:
     """Per document: its summary when it is one chunk, else the fragments of its chunks."""
-    t = encode(text, path_a, path_b)
-    if t is None:
-        return {"ok": False, "n_a": 0, "n_b": 0, "whole": None, "chunks": []}
-    n = max(1, math.ceil(t["size"] / CHUNK_BYTES))
-    base = {"ok": True, "n_a": len(t["a"]), "n_b": len(t["b"])}
-    if n == 1:
-        return base | {"whole": _hashed(whole(fragment(t))), "chunks": []}
-    parts = [fragment(_part(t, k * CHUNK_BYTES, (k + 1) * CHUNK_BYTES), k) for k in range(n)]
-    return base | {"whole": None, "chunks": [_plain_fragment(f) for f in parts]}
+    out, held, size = [], [], 0
+
+    def summed():
+        shift = np.cumsum([0, *(t["size"] for _, t in held)])
+        moved = [t | {"a_end": t["a_end"] + at, "b_end": t["b_end"] + at} for (_, t), at in zip(held, shift.tolist())]
+        joined = {k: np.concatenate([t[k] for t in moved]) for k in ("a", "a_end", "b", "b_end")}
+        # a document's bounds are common ends, so that all its groups are closed
+        for (row, _), x in zip(held, summaries(joined, shift[1:])):
+            row["whole"] = x | {"text": hashlib.sha256(x["text"]).hexdigest()}
+
+    for text in part:
+        t = encode(text, path_a, path_b)
+        if t is None:
+            out.append({"ok": False, "n_a": 0, "n_b": 0, "whole": None, "chunks": []})
+            continue
+        out.append({"ok": True, "n_a": len(t["a"]), "n_b": len(t["b"]), "whole": None, "chunks": []})
+        n = math.ceil(t["size"] / CHUNK_BYTES)
+        if n > 1:
+            out[-1]["chunks"] = [_plain_fragment(fragment(_part(t, k * CHUNK_BYTES, (k + 1) * CHUNK_BYTES), k)) for k in range(n)]
+            continue
+        held.append((out[-1], t))
+        size += t["size"]
+        if size >= BATCH_BYTES:
+            summed()
+            held, size = [], 0
+    if held:
+        summed()
+    return out
 
 
 def _hashed(x: dict) -> dict:
@@ -291,11 +344,11 @@ def _arrow(rows: list[dict]) -> pa.Array:
 
 def _result_udf(path_a: str, path_b: str):
     @F.arrow_udf(_RESULT_DDL)
-    def results(text: pa.Array) -> pa.Array:
-        out = [_arrow([result(t, path_a, path_b) for t in part]) for part in texts(text)]
+    def apply(text: pa.Array) -> pa.Array:
+        out = [_arrow(results(part, path_a, path_b)) for part in texts(text)]
         return pa.concat_arrays(out) if out else pa.array([], _RESULT)
 
-    return results
+    return apply
 
 
 def _plain(x):

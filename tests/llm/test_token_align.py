@@ -95,6 +95,31 @@ def test_spark_equals_brute_force(spark, paths, monkeypatch):
         assert [got[i] for i in range(len(texts))] == want
 
 
+def test_neighbours_are_summarised_in_one_pass(paths, monkeypatch):
+    """Documents of one chunk share a pass of array arithmetic; each gets the summary of its own fragment."""
+    rnd = random.Random(9)
+    words = ["the", "Über", "日本語", "<s>", "a", "  ", "x1", "🙂", "don't", "\n\n", "q" * 90]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randrange(1, 60))).encode() for _ in range(50)]
+    texts += [None, b"", "▁".encode(), texts[0], texts[0], b"\x00", b" "]
+    want = []
+    for t in texts:
+        tok = ta.encode(t, *paths)
+        want.append(tok and ta.whole(ta.fragment(tok)))
+    passes, plain = [], ta.summaries
+    monkeypatch.setattr(ta, "summaries", lambda t, bounds: passes.append(len(bounds)) or plain(t, bounds))
+    for size, most in ((1 << 20, 1), (2000, 12), (1, 60)):
+        monkeypatch.setattr(ta, "BATCH_BYTES", size)
+        passes.clear()
+        got = ta.results(texts, *paths)
+        assert sum(passes) == sum(w is not None for w in want) and len(passes) <= most
+        for g, w in zip(got, want):
+            assert g["ok"] == (w is not None)
+            if w is not None:
+                x = g["whole"]
+                assert (x["groups"], x["links"], x["pairs"].tolist(), x["counts"].tolist()) == (w["groups"], w["links"], w["pairs"].tolist(), w["counts"].tolist())
+                assert x["text"] == hashlib.sha256(w["text"].encode()).hexdigest()
+
+
 def test_query_on_tables(spark, paths):
     from synthcurate.llm.queries import op12_token_alignment
     sf = "/root/testdata/sf0.001"
