@@ -56,6 +56,8 @@ LONGEST = 64
 #: Tokens of one training piece, and of a batch of pieces run side by side.
 PIECE = 65_536
 BATCH = 400_000
+#: Moves whose expected counts are summed in single precision at a time.
+MOVES = 8192
 #: Symbols a task holds at a time, besides one Arrow batch.
 GATHER = 3_000_000
 TASK_COUNTS = 300_000
@@ -283,27 +285,41 @@ def expected(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.nda
     those of moves still lack the factor of the model's own. Single precision
     is enough for counts: every state is scaled to sum to one."""
     k, move, back = len(model.start), model.move.astype(np.float32), model.move.T.astype(np.float32)
-    emit, ones = model.emit.astype(np.float32), np.ones(len(model.start), np.float32)
-    for at in _batches(lengths):
+    emit, ones = model.emit.astype(np.float32), np.ones((len(model.start), 1), np.float32)
+    runs = list(_batches(lengths))
+    # Written anew by every batch. A step is short, so it makes no arrays of its own
+    # and leaves to whole passes over the batch what does not carry over.
+    longest = max((int(lengths[at].sum()) for at in runs), default=0)
+    rooms = [np.empty((longest, width), np.float32) for width in (k, k, k, 1)]
+    for at in runs:
         seen, active, begin, _ = _side_by_side(flat, starts[at], lengths[at])
-        emitted, alpha = emit[seen], np.empty((len(seen), k), np.float32)
-        state = np.repeat(model.start.astype(np.float32)[None], len(at), 0)
+        seen, edges = seen.astype(np.int64), begin.tolist()
+        emitted, alpha, beta, scales = (room[: len(seen)] for room in rooms)
+        np.take(emit, seen, axis=0, out=emitted, mode="clip")
+        alpha[: active[0]] = model.start
+        state = alpha[:0]
         for t, n in enumerate(active):
-            low, high = begin[t], begin[t + 1]
-            state = (state[:n] @ move if t else state) * emitted[low:high]
-            scale = (1 / (state @ ones))[:, None]
+            low, high = edges[t], edges[t + 1]
+            state = np.dot(state[:n], move, out=alpha[low:high]) if t else alpha[:high]
+            state *= emitted[low:high]
+            scale = np.dot(state, ones, out=scales[low:high])
+            np.reciprocal(scale, out=scale)
             state *= scale
-            alpha[low:high] = state
-            emitted[low:high] *= scale
+        emitted *= scales
         # Backward: with scaled emissions every posterior is alpha times beta.
-        beta = np.ones((active[0], k), np.float32)
+        beta.fill(1)  # sequences that end keep ones
         for t in range(len(active) - 1, 0, -1):
-            n, low, before = active[t], begin[t], begin[t - 1]
-            weighted = emitted[low : low + n] * beta[:n]
-            sums.move += alpha[before : before + n].T @ weighted
-            alpha[low : low + n] *= beta[:n]
-            beta[:n] = weighted @ back  # sequences that end here keep ones
-        alpha[: active[0]] *= beta
+            n, low, before = active[t], edges[t], edges[t - 1]
+            weighted = emitted[low : low + n]
+            weighted *= beta[low : low + n]
+            np.dot(weighted, back, out=beta[before : before + n])
+        # Moves into each place from the one before it in its sequence, summed in
+        # double precision over short blocks.
+        came = np.arange(active[0], len(seen)) - np.repeat(active[:-1], active[1:])
+        for low in range(0, len(came), MOVES):
+            block = came[low : low + MOVES]
+            sums.move += np.take(alpha, block, axis=0, mode="clip").T @ emitted[active[0] + low :][: len(block)]
+        alpha *= beta
         sums.start += alpha[: active[0]].sum(0)
         for z in range(k):
             sums.emit[:, z] += np.bincount(seen, alpha[:, z], len(sums.emit))

@@ -61,6 +61,48 @@ def test_expected_counts_are_those_of_all_paths(flat, batch, monkeypatch):
     assert close(sums.start, start) and close(sums.move * model.move, move) and close(sums.emit, emit)
 
 
+class Counted(h.Model):
+    """Expected counts that tell how often moves are added to them."""
+
+    times = 0
+
+    def __setattr__(self, name, value):
+        object.__setattr__(self, "times", self.times + (name == "move"))
+        object.__setattr__(self, name, value)
+
+
+@pytest.mark.parametrize("block", [1, 7, 8192])
+def test_moves_are_summed_by_blocks_not_by_steps(block, monkeypatch):
+    monkeypatch.setattr(h, "MOVES", block)
+    rng, model = np.random.default_rng(2), small_model()
+    lengths = np.array([300, 1, 300, 17, 2])
+    starts = np.cumsum(lengths) - lengths
+    flat = rng.integers(0, 5, lengths.sum())
+    sums = Counted(np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3)))
+    before = sums.times
+    h.expected(model, flat, starts, lengths, sums)
+    assert sums.times - before == -(-int((lengths - 1).sum()) // block)
+    # plain forward-backward in double precision
+    start, move, emit = np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))
+    for at, n in zip(starts, lengths):
+        seen = flat[at : at + n]
+        alpha, beta = np.zeros((n, 3)), np.ones((n, 3))
+        for t in range(n):
+            alpha[t] = (alpha[t - 1] @ model.move if t else model.start) * model.emit[seen[t]]
+            alpha[t] /= alpha[t].sum()
+        for t in range(n - 1, 0, -1):
+            beta[t - 1] = model.move @ (model.emit[seen[t]] * beta[t])
+            beta[t - 1] /= beta[t - 1].sum()
+        post = alpha * beta / (alpha * beta).sum(1, keepdims=True)
+        start += post[0]
+        np.add.at(emit, seen, post)
+        for t in range(1, n):
+            pair = alpha[t - 1][:, None] * model.move * (model.emit[seen[t]] * beta[t])
+            move += pair / pair.sum()
+    assert np.allclose(sums.start, start, rtol=1e-4) and np.allclose(sums.emit, emit, rtol=1e-4)
+    assert np.allclose(sums.move * model.move, move, rtol=1e-4)
+
+
 def test_probabilities_of_all_tokens_sum_to_one(spark):
     """Emissions of symbols and q within each class are distributions, with one
     unseen token in each class."""
