@@ -118,13 +118,15 @@ class Lexicon:
     v: int
     symbol_n: np.ndarray
 
-    def log_base(self, c):
-        return np.log10(np.asarray(c) + 1.0) - np.log10(self.n + self.v + 1.0)
-
     def log_in_class(self, symbol, c):
         k = np.asarray(symbol) - SYMBOLS
         return np.log10(np.asarray(c) + 1.0) - np.log10(self.class_n[k] + self.class_v[k] + 1.0)
 
+    def logs(self) -> tuple[np.ndarray, np.ndarray, float]:
+        """log10 of c + 1 of each known token, with 0 at the end for any other; of
+        the size of each class; of the size of all."""
+        return np.append(np.log10(self.counts + 1.0), 0.0), np.log10(self.class_n + self.class_v + 1.0), float(np.log10(self.n + self.v + 1.0))
+
 
 def commonest(counts: DataFrame, k: int) -> pa.Table:
     """The ``k`` commonest tokens (ties by token bytes), commonest first. A
@@ -178,34 +180,33 @@ ENCODED = "n_tokens bigint, n_known bigint, base double, inner double, symbols a
 
 
 def encode(docs: DataFrame, words: Broadcast, keep: list[str]) -> DataFrame:
-    """Symbols of every text; sums over its common tokens; its other tokens."""
+    """Symbols of every text; its other tokens; base and inner sums, which lack
+    only log10(c + 1) of those (c their counts, to be joined)."""
     kinds = docs.select(*keep).schema
     names = [x.split()[0] for x in ENCODED.split(", ")]
     arrow = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.int32())]
 
-    def one(raw: bytes, lex: Lexicon) -> tuple:
+    def one(raw: bytes, lex: Lexicon, log_c: np.ndarray, log_class: np.ndarray, log_all: float) -> tuple:
         tokens = tokens_of(raw)
         numbers = np.fromiter(map(lex.known.get, tokens, repeat(-1)), np.int32, len(tokens))
-        symbols, common = lex.symbols[numbers], numbers[numbers >= 0]
-        rare: dict[bytes, int] = {}
-        if len(common) < len(tokens):
-            places = np.flatnonzero(numbers < 0)
-            unknown = [tokens[i] for i in places.tolist()]
-            symbols[places] = [SYMBOLS + class_of(t) for t in unknown]
-            rare = Counter(unknown)
-        c = lex.counts[common]
-        in_class = common >= SYMBOLS
+        symbols, logs = lex.symbols[numbers], log_c[numbers]
+        places = np.flatnonzero(numbers < 0)
+        unknown = [tokens[i] for i in places.tolist()]
+        symbols[places] = [SYMBOLS + class_of(t) for t in unknown]
+        rare = Counter(unknown)
+        in_class = np.flatnonzero(symbols >= SYMBOLS)
         return (
-            len(tokens), int((c > 0).sum()), float(lex.log_base(c).sum()),
-            float(lex.log_in_class(lex.symbols[common[in_class]], c[in_class]).sum()), symbols, list(rare), list(rare.values()),
+            len(tokens), int(np.count_nonzero(logs)), float(logs.sum() - len(tokens) * log_all),
+            float((logs[in_class] - log_class[symbols[in_class] - SYMBOLS]).sum()), symbols, list(rare), list(rare.values()),
         )
 
     def work(batches):
         lex = words.value
+        logs = lex.logs()
         for batch in batches:
             at = 0
             for part in texts(batch.column(len(keep))):
-                rows = [one(raw or b"", lex) for raw in part]
+                rows = [one(raw or b"", lex, *logs) for raw in part]
                 columns = [batch.column(i).slice(at, len(part)) for i in range(len(keep))]
                 columns += [pa.array(c, k) for c, k in zip(zip(*rows), arrow)]
                 yield pa.record_batch(columns, [*keep, *names])
@@ -266,17 +267,18 @@ def _side_by_side(flat: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tup
 
 def forward(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """log10 probability of each sequence by the scaled forward recursion."""
-    out, ones = np.zeros(len(starts)), np.ones(len(model.start))
+    out, ones = np.zeros(len(starts)), np.ones((len(model.start), 1))
     for at in _batches(lengths):
         seen, active, begin, sequence = _side_by_side(flat, starts[at], lengths[at])
-        emitted, scales = model.emit[seen], np.empty(len(seen))
+        emitted, scales, edges = np.take(model.emit, seen, axis=0), np.empty((len(seen), 1)), begin.tolist()
         state = np.repeat(model.start[None], len(at), 0)
         for t, n in enumerate(active):
-            low, high = begin[t], begin[t + 1]
-            state = (state[:n] @ model.move if t else state) * emitted[low:high]
-            scales[low:high] = scale = state @ ones
-            state /= scale[:, None]
-        out[at] = np.bincount(sequence, np.log10(scales), len(at))
+            low, high = edges[t], edges[t + 1]
+            if t:
+                state = np.dot(state[:n], model.move)
+            state *= emitted[low:high]
+            state /= np.dot(state, ones, out=scales[low:high])
+        out[at] = np.bincount(sequence, np.log10(scales[:, 0]), len(at))
     return out
 
 
@@ -402,24 +404,18 @@ def scores(docs: DataFrame, training: Column, states: int = STATES, rounds: int
     kind = docs.schema["doc_id"].dataType.simpleString()
     plain = encoded.select("row", "doc_id", "train", "n_tokens", "n_known", "base", "inner", "symbols").mapInArrow(work, narrow.format(kind) + ", forward double")
 
-    @F.arrow_udf("int")
-    def class_column(token: pa.Array) -> pa.Array:
-        return pa.array([class_of(t) for t in token.to_pylist()], pa.int32())
-
     rare = encoded.select("row", F.inline(F.arrays_zip(F.col("rare").alias("token"), F.col("rare_n").alias("times"))))
     left = counts.select(F.col("token").alias("of"), "c")
     met = rare.join(left, F.col("token") == F.col("of"), "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    size_of = F.element_at(F.array(*[F.lit(float(np.log10(n + v + 1.0))) for n, v in zip(lex.class_n, lex.class_v)]), class_column("token") + 1)
-    log_c = F.log10(F.col("c") + 1.0)
+    # one sum serves both scores: what else they take from a rarer token is in the encoded sums
     met = met.groupBy("row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("times") * (log_c - float(np.log10(lex.n + lex.v + 1.0)))).alias("more_base"),
-        F.sum(F.col("times") * (log_c - size_of)).alias("more_inner"),
+        F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("more"),
     ).withColumnRenamed("row", "of_row")
     both = plain.join(met, F.col("row") == F.col("of_row"), "left")
     zero = F.lit(0.0)
     return both.select(
         "doc_id", "train", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(int(lex.n)).cast("bigint").alias("train_tokens"), (F.col("base") + F.coalesce("more_base", zero)).alias("base_score"),
-        (F.col("forward") + F.col("inner") + F.coalesce("more_inner", zero)).alias("score"),
+        F.lit(int(lex.n)).cast("bigint").alias("train_tokens"), (F.col("base") + F.coalesce("more", zero)).alias("base_score"),
+        (F.col("forward") + F.col("inner") + F.coalesce("more", zero)).alias("score"),
     )

@@ -154,6 +154,31 @@ def test_rare_tokens_go_through_the_join(spark, monkeypatch):
         assert (row.n_tokens, row.n_known) == (len(own), sum(w in c for w in own))
 
 
+def test_joined_tokens_need_counts_alone(spark, monkeypatch, capsys):
+    """Rows of the join with the counts go through no Python; the class of a rarer
+    token is taken where its text is encoded. Scores are the sums over all tokens."""
+    monkeypatch.setattr(h, "KNOWN", 4)
+    monkeypatch.setattr(h, "SYMBOLS", 2)
+    texts = ["a a a b", "a b c c", "d d e f1 f1", None, "zz q-q d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = h.scores(docs, F.col("doc_id") < 3, states=1, rounds=1)
+    found.explain()
+    assert "ArrowEvalPython" not in capsys.readouterr().out
+    c = Counter(w.encode() for t in texts[:3] for w in [*t.split(), ""])
+    lex = h.lexicon(h.stored(h.token_counts(docs.filter("doc_id < 3")), "t"))
+    for r in found.collect():
+        own = [w.encode() for w in [*(texts[r.doc_id] or "").split(), ""]]
+        symbol = [lex.known[w] if lex.known.get(w, 2) < 2 else 2 + h.class_of(w) for w in own]
+        inner = sum(float(lex.log_in_class(s, c[w])) for s, w in zip(symbol, own) if s >= 2)
+        base = sum(math.log10((c[w] + 1) / (lex.n + lex.v + 1)) for w in own)
+        assert math.isclose(r.base_score, base, rel_tol=1e-12) and r.n_known == sum(w in c for w in own)
+        counted = Counter(lex.known[w] if lex.known.get(w, 2) < 2 else 2 + h.class_of(w) for t in texts[:3] for w in [x.encode() for x in [*t.split(), ""]])
+        prior = (lex.symbol_n + 0.5) / (lex.symbol_n + 0.5).sum()
+        trained = np.array([counted[s] for s in range(2 + h.CLASSES)]) + 50.0 * prior
+        trained /= trained.sum()
+        assert math.isclose(r.score, inner + sum(math.log10(trained[s]) for s in symbol), rel_tol=1e-5)
+
+
 def test_query_base_and_gain(spark):
     rows = QUERIES["op5_hmm_scores"](spark, f"{DATA}/sf0.001").collect()
     texts = {r.doc_id: (r.text or "").encode().lower().split() + [b""] for r in spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").collect()}
