@@ -56,8 +56,6 @@ LONGEST = 64
 #: Tokens of one training piece, and of a batch of pieces run side by side.
 PIECE = 65_536
 BATCH = 400_000
-#: Moves whose expected counts are summed in single precision at a time.
-MOVES = 8192
 #: Symbols a task holds at a time, besides one Arrow batch.
 GATHER = 3_000_000
 TASK_COUNTS = 300_000
@@ -77,11 +75,20 @@ def tokens_of(text: bytes) -> list[bytes]:
 
 def class_of(token: bytes) -> int:
     """One of ``CLASSES``: what kinds of characters it has, and its ending."""
+    if token.isalpha() and token.islower():  # as bytes: letters a-z alone
+        return zlib.crc32(token[-2:]) % (CLASSES // 4)
     other = token.translate(None, _LETTERS)
     kind = 0 if not other else 1 if len(other.translate(None, _DIGITS)) < len(other) else 2 if other.isascii() else 3
     return kind * (CLASSES // 4) + zlib.crc32(token[-2:]) % (CLASSES // 4)
 
 
+def class_column(token: Column) -> Column:
+    """``class_of`` as a Spark expression of a binary column."""
+    text = token.cast("string")
+    kind = F.when(text.rlike(r"\A[a-z]*\z"), 0).when(text.rlike("[0-9]"), 1).when(text.rlike(r"[^\x00-\x7F]"), 3).otherwise(2)
+    return kind * (CLASSES // 4) + (F.crc32(F.substring(token, -2, 2)) % (CLASSES // 4)).cast("int")
+
+
 def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(token, c) over all texts."""
 
@@ -159,12 +166,8 @@ def lexicon(counts: DataFrame) -> Lexicon:
     symbol_n = np.zeros(SYMBOLS + CLASSES)
     symbol_n[: len(own[:SYMBOLS])] = own[:SYMBOLS]
 
-    @F.arrow_udf("int")
-    def class_column(token: pa.Array) -> pa.Array:
-        return pa.array([class_of(t) if t else -1 for t in token.to_pylist()], pa.int32())
-
     totals = counts.groupBy().agg(F.sum("c"), F.count("*")).first()
-    by_class = counts.groupBy(class_column("token").alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).filter("k >= 0").collect()
+    by_class = counts.filter(F.octet_length("token") > 0).groupBy(class_column(F.col("token")).alias("k")).agg(F.sum("c"), F.count("*")).collect()
     class_n, class_v = np.zeros(CLASSES), np.zeros(CLASSES)
     for k, n, v in by_class:
         class_n[k], class_v[k] = n, v
@@ -288,7 +291,7 @@ def expected(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.nda
     is enough for counts: every state is scaled to sum to one."""
     k, move, back = len(model.start), model.move.astype(np.float32), model.move.T.astype(np.float32)
     emit, ones = model.emit.astype(np.float32), np.ones((len(model.start), 1), np.float32)
-    runs = list(_batches(lengths))
+    runs, moves = list(_batches(lengths)), sums.move
     # Written anew by every batch. A step is short, so it makes no arrays of its own
     # and leaves to whole passes over the batch what does not carry over.
     longest = max((int(lengths[at].sum()) for at in runs), default=0)
@@ -314,13 +317,8 @@ def expected(model: Model, flat: np.ndarray, starts: np.ndarray, lengths: np.nda
             n, low, before = active[t], edges[t], edges[t - 1]
             weighted = emitted[low : low + n]
             weighted *= beta[low : low + n]
+            moves += np.dot(alpha[before : before + n].T, weighted)
             np.dot(weighted, back, out=beta[before : before + n])
-        # Moves into each place from the one before it in its sequence, summed in
-        # double precision over short blocks.
-        came = np.arange(active[0], len(seen)) - np.repeat(active[:-1], active[1:])
-        for low in range(0, len(came), MOVES):
-            block = came[low : low + MOVES]
-            sums.move += np.take(alpha, block, axis=0, mode="clip").T @ emitted[active[0] + low :][: len(block)]
         alpha *= beta
         sums.start += alpha[: active[0]].sum(0)
         for z in range(k):

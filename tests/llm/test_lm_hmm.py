@@ -61,27 +61,15 @@ def test_expected_counts_are_those_of_all_paths(flat, batch, monkeypatch):
     assert close(sums.start, start) and close(sums.move * model.move, move) and close(sums.emit, emit)
 
 
-class Counted(h.Model):
-    """Expected counts that tell how often moves are added to them."""
-
-    times = 0
-
-    def __setattr__(self, name, value):
-        object.__setattr__(self, "times", self.times + (name == "move"))
-        object.__setattr__(self, name, value)
-
-
-@pytest.mark.parametrize("block", [1, 7, 8192])
-def test_moves_are_summed_by_blocks_not_by_steps(block, monkeypatch):
-    monkeypatch.setattr(h, "MOVES", block)
+@pytest.mark.parametrize("batch", [1, 310, 400_000])
+def test_expected_counts_of_long_sequences(batch, monkeypatch):
+    monkeypatch.setattr(h, "BATCH", batch)
     rng, model = np.random.default_rng(2), small_model()
     lengths = np.array([300, 1, 300, 17, 2])
     starts = np.cumsum(lengths) - lengths
     flat = rng.integers(0, 5, lengths.sum())
-    sums = Counted(np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3)))
-    before = sums.times
+    sums = h.Model(np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3)))
     h.expected(model, flat, starts, lengths, sums)
-    assert sums.times - before == -(-int((lengths - 1).sum()) // block)
     # plain forward-backward in double precision
     start, move, emit = np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))
     for at, n in zip(starts, lengths):
@@ -179,6 +167,13 @@ def test_joined_tokens_need_counts_alone(spark, monkeypatch, capsys):
         assert math.isclose(r.score, inner + sum(math.log10(trained[s]) for s in symbol), rel_tol=1e-5)
 
 
+def test_classes_by_spark_are_those_of_python(spark):
+    tokens = [b"", b"a", b"zz", b"q1", b"7", b"-", b"a-b", "é".encode(), "straße".encode(), "é1".encode(), "中文".encode(), b"AB", b"aB", b"\x00",
+              b"\x7f", b" " + b"0a" * 32, "🙂".encode(), b"a\x80", b"\xff\xfe", b"x\x85"]
+    rows = spark.createDataFrame([(bytearray(t),) for t in tokens], "token binary").select("token", h.class_column(F.col("token")).alias("k")).collect()
+    assert [r.k for r in rows] == [h.class_of(bytes(r.token)) for r in rows] and len(rows) == len(tokens)
+
+
 def test_query_base_and_gain(spark):
     rows = QUERIES["op5_hmm_scores"](spark, f"{DATA}/sf0.001").collect()
     texts = {r.doc_id: (r.text or "").encode().lower().split() + [b""] for r in spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").collect()}
